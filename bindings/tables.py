@@ -45,6 +45,16 @@ ZONES = [
     (5, [[(-70.5, 40), (-69.5, 40), (-70, 43)]]),
 ]
 
+SUPPLIED = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey long, l_linenumber int, l_quantity double, l_discount double, "
+    "l_tax double, l_returnflag string",
+    "customer": "c_custkey long, c_name string, c_acctbal double",
+    "nation": "n_nationkey int, n_name string",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string",
+}
+
 MOBILE_EVENTS = ("click", "view")
 
 
@@ -67,8 +77,13 @@ class Inputs:
     zone_edges: DataFrame
 
 
+def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """A supplied table under its stated schema, so that no job runs to infer one."""
+    return spark.read.schema(SUPPLIED[table]).parquet(f"{sf}/{table}.parquet")
+
+
 def _orders(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/orders.parquet").select(
+    return _read(spark, sf, "orders").select(
         F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("v"),
         F.col("o_orderstatus").alias("st"),
@@ -84,7 +99,7 @@ def landing_tables(spark: SparkSession, sf: str) -> LandingTables:
     orders = _orders(spark, sf)
     k, v = F.col("k"), F.col("v")
     set_no = F.col("l_linenumber") % 3
-    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    lines = _read(spark, sf, "lineitem")
     records = lines.join(orders, F.col("l_orderkey") == k).select(
         v.alias("vr_number_fishing"),
         k.alias("trip_id"),
@@ -113,10 +128,10 @@ def landing_tables(spark: SparkSession, sf: str) -> LandingTables:
         (v % 5).cast("int").alias("nafo_unit_area_id"),
         (v % 25).cast("int").alias("lic_quota_id"),
     )
-    customers = spark.read.parquet(f"{sf}/customer.parquet")
+    customers = _read(spark, sf, "customer")
     balance = F.col("c_acctbal")
-    regions = spark.read.parquet(f"{sf}/region.parquet")
-    nations = spark.read.parquet(f"{sf}/nation.parquet")
+    regions = _read(spark, sf, "region")
+    nations = _read(spark, sf, "nation")
     key = F.col("n_nationkey")
     code = F.element_at(F.array(*[F.lit(c) for c in SFLT_CODES]), key + 1)
     numbered = F.when((F.col("st") == "O") & ~_is(25, 17, "v"), 742).otherwise(741)
@@ -169,9 +184,9 @@ def observer_tables(spark: SparkSession, sf: str) -> ObserverTables:
     points = sets.withColumn("p", F.explode(F.sequence(F.lit(1), F.lit(2))))
     gears = observed.select(k.alias("gear_id"), "k", "st")
     text = k.cast("string")
-    features = [F.when(_is(9), 89), F.when(_is(2), 90), F.when(_is(5), 50)]
+    features = [F.when(_is(7), 89), F.when(_is(2), 90), F.when(_is(5), 50)]
     return ObserverTables(
-        isvessels=spark.read.parquet(f"{sf}/customer.parquet").select(
+        isvessels=_read(spark, sf, "customer").select(
             F.col("c_custkey").alias("vess_id"),
             F.col("c_custkey").cast("string").alias("cfv"),
             F.col("c_name").alias("vessel_name"),
@@ -197,7 +212,7 @@ def observer_tables(spark: SparkSession, sf: str) -> ObserverTables:
             .when(_is(4) & (s == 2), 4)
             .otherwise(1)
             .alias("setcd_id"),
-            F.when(_is(12, 3), 16)
+            F.when(_is(12, 2), 16)
             .when(_is(12, 7), F.lit(None))
             .when((k + s) % 2 == 0, 10)
             .otherwise(11)
@@ -230,7 +245,7 @@ def observer_tables(spark: SparkSession, sf: str) -> ObserverTables:
 
 
 def _positions(spark: SparkSession, sf: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf}/events.parquet").select(
+    events = _read(spark, sf, "events").select(
         "event_id", "event_type", "user_id", F.date_format("ts", "HH:mm:ss").alias("clock")
     )
     day = F.date_sub("d", (F.col("event_id") % 3).cast("int"))

@@ -53,12 +53,12 @@ def length_class(length: Column) -> Column:
 def decode_coordinate(packed: Column, sign: int = 1) -> Column:
     """Packed DDMMmm integer to decimal degrees, 5 places, null when not positive.
 
-    The arithmetic is decimal up to the rounding, so halves round as exact numbers do.
+    Counted in whole hundred-thousandths of a degree, so the rounding is that of exact numbers.
     """
-    degrees = F.floor(packed / F.lit(10000)).cast("decimal(12,0)")
-    minutes = F.pmod(packed.cast("long"), F.lit(10000)).cast("decimal(12,6)")
-    value = F.round(degrees + minutes / F.lit(6000).cast("decimal(5,0)"), 5).cast("double")
-    return F.when(packed > 0, value * F.lit(float(sign)))
+    degrees = F.floor(packed / 10000)
+    minutes = packed.cast("long") - degrees * 10000
+    units = degrees * 100000 + F.floor((minutes * 100000 + 3000) / 6000)
+    return F.when(packed > 0, units / F.lit(sign * 100000.0))
 
 
 def sector_table(spark: SparkSession, codes: dict[int, tuple[int, ...]] | None = None) -> DataFrame:

@@ -1,26 +1,34 @@
-"""Cut a long lineage in the folder the session names."""
+"""Cut a long lineage with a table in the folder the session names."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and go on from there.
+def work_folder(spark: SparkSession) -> str | None:
+    """The session's ``spark.checkpoint.dir``, shared storage on a cluster.
 
-    The folder is the session's ``spark.checkpoint.dir`` (shared storage on a cluster).  A local
-    session without one gets a scratch folder; a cluster session without one keeps its lineage,
+    A local session without one gets a scratch folder; a cluster session without one has none,
     because a machine-local folder would not outlive its machine.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            context.setCheckpointDir(configured)
-        elif context.master.startswith("local"):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="haulback-"))
-        else:
-            return df
-    return df.checkpoint(eager=True)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    if spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="haulback-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+        return folder
+    return None
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write the rows as Parquet and go on from there; readers prune columns and push filters."""
+    folder = work_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/haulback/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

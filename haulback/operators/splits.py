@@ -210,3 +210,11 @@ def observed_quarters(landings: DataFrame) -> Split:
         .drop("_full")
         .withColumn("COMMENT", F.lit(FULLY_OBSERVED_COMMENT)),
     )
+
+
+def removed_records(*steps: Split) -> DataFrame:
+    """Log of the removed records of all splits, in their order."""
+    first, *rest = [split.removed.select(*schemas.ZONED, "COMMENT") for split in steps]
+    for part in rest:
+        first = first.unionByName(part)
+    return first

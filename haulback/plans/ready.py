@@ -16,6 +16,7 @@ from haulback.operators.splits import (
     no_panel,
     non_commercial,
     observed_quarters,
+    removed_records,
     split_directed,
     tag_directed,
 )
@@ -64,8 +65,8 @@ def ready_data(
 ) -> ReadyData:
     """Reconcile, classify, locate, split and aggregate one year's landings.
 
-    ``keep`` is applied where one result feeds several tables: the observer trips, the reconciled,
-    the located and the tagged landings.  By default each is written once to the checkpoint
+    ``keep`` is applied where one result feeds several tables: the observer trips, and the landings
+    as reconciled, located, split by panel, tagged and kept.  By default each is written once to the checkpoint
     folder; ``as_is`` leaves the whole graph lazy, for a caller who reads one table only.
     """
     observers = keep(pull_observer_trips(observer_tables, year))
@@ -87,15 +88,13 @@ def ready_data(
     zoned = split_by_zone(located, observers, positions, cells, cell)
     commercial = non_commercial(zoned.kept, observers)
     panel = no_panel(commercial.kept, panel_features(observer_tables, year), exclusive=exclusive)
-    tagged = keep(tag_directed(panel.kept, sought_sets(observer_tables, year)))
+    tagged = keep(tag_directed(keep(panel.kept), sought_sets(observer_tables, year)))
     directed = split_directed(tagged, by_record=by_record)
     landings = keep(directed.kept)
     coverage = coverage_summary(landings)
     quarters = observed_quarters(landings)
 
-    removed = zoned.removed
-    for split in (commercial, panel, directed, quarters):
-        removed = removed.unionByName(split.removed)
+    removed = removed_records(zoned, commercial, panel, directed, quarters)
 
     kept = quarters.kept if drop_fully_observed else landings
     trips = aggregate_trips(kept, require_sector=require_sector)

@@ -16,7 +16,7 @@ from haulback.functions.codes import (
     length_class,
     tonnage_class,
 )
-from haulback.functions.missing import count_where, na_sum
+from haulback.functions.missing import known_sum, na_sum
 from haulback.operators.joins import null_safe_join
 
 AREA_PREFIX = "5Z"
@@ -57,13 +57,17 @@ def year_range(date: Column, year: int | None) -> Column:
     return (date >= F.lit(dt.date(year, 1, 1))) & (date < F.lit(dt.date(year + 1, 1, 1)))
 
 
-def landing_records(tables: LandingTables, year: int | None = None) -> DataFrame:
-    """Species records of the area and year with vessel, area and fleet attributes."""
-    records = tables.records.filter(
+def wanted_records(tables: LandingTables, year: int | None = None) -> DataFrame:
+    """Records of the three species landed in the year, with a known fishing date."""
+    return tables.records.filter(
         F.col("species_code").isin(*SPECIES)
         & year_range(F.col("landed_date"), year)
         & F.quarter("date_fished").isNotNull()
     )
+
+
+def with_attributes(records: DataFrame, tables: LandingTables, *measures: str) -> DataFrame:
+    """Records of the area with vessel, area and fleet attributes, under the wide column names."""
     areas = tables.areas.filter(F.col("area").startswith(AREA_PREFIX))
     fleets = (
         tables.lic_quotas.join(tables.sflt_quotas, "sflt_quota_id")
@@ -94,10 +98,17 @@ def landing_records(tables: LandingTables, year: int | None = None) -> DataFrame
         F.col("licence_id").alias("LICENCE_ID"),
         F.col("sflt_desc_id").alias("SFLT_DESC_ID"),
         F.col("desc_eng").alias("DESC_ENG"),
-        F.col("species_code").alias("SPECIES_CODE"),
-        F.col("rnd_weight_kgs").alias("RND_WEIGHT_KGS"),
         F.col("mon_doc_id").alias("MON_DOC_ID"),
+        *measures,
+    )
+
+
+def landing_records(tables: LandingTables, year: int | None = None) -> DataFrame:
+    """Species records of the area and year with vessel, area and fleet attributes."""
+    named = wanted_records(tables, year).withColumnsRenamed(
+        {"species_code": "SPECIES_CODE", "rnd_weight_kgs": "RND_WEIGHT_KGS"}
     )
+    return with_attributes(named, tables, "SPECIES_CODE", "RND_WEIGHT_KGS")
 
 
 def trip_numbers(tables: LandingTables) -> DataFrame:
@@ -114,23 +125,44 @@ def species_weights(records: DataFrame) -> DataFrame:
     )
 
 
-def widen_species(records: DataFrame) -> DataFrame:
-    """Same sums with one column per species in a single aggregation; an absent species is null."""
-    weights = []
-    for code in SPECIES:
-        own = F.col("SPECIES_CODE") == code
-        weights.append(
-            F.when(count_where(own) > 0, na_sum("RND_WEIGHT_KGS", own)).alias(str(code))
-        )
-    return records.groupBy(*schemas.LANDING_KEYS).agg(*weights).select(*schemas.LANDING)
+def landing_records_with_trip(tables: LandingTables, year: int | None = None) -> DataFrame:
+    return with_trip_numbers(landing_records(tables, year), tables)
 
 
-def landing_records_with_trip(tables: LandingTables, year: int | None = None) -> DataFrame:
-    return null_safe_join(
-        landing_records(tables, year), trip_numbers(tables), ["MON_DOC_ID"], salts=16
-    )
+def with_trip_numbers(records: DataFrame, tables: LandingTables) -> DataFrame:
+    """Records with their document's trip number; several numbers repeat the record."""
+    return null_safe_join(records, trip_numbers(tables), ["MON_DOC_ID"], salts=16)
+
+
+# What is known of a species in a group of records.
+ABSENT, KNOWN, UNKNOWN = 0, 1, 2
+
+
+def _state(code: int) -> str:
+    return f"_state_{code}"
 
 
 def pull_landings(tables: LandingTables, year: int | None = None) -> DataFrame:
-    """Wide landings of one year (of all years without one)."""
-    return widen_species(landing_records_with_trip(tables, year))
+    """Wide landings of one year (of all years without one).
+
+    Records are folded by their own keys first, so the attribute joins, the document join and the
+    wide grouping handle one row per set instead of one per species record.  A weight is null when
+    the species is absent or any of its records has no weight.
+    """
+    records = wanted_records(tables, year)
+    keys = [c for c in records.columns if c not in ("species_code", "rnd_weight_kgs")]
+    weight = F.col("rnd_weight_kgs")
+    partial, total = [], []
+    for code in SPECIES:
+        own = F.col("species_code") == code
+        state = F.when(own & weight.isNull(), UNKNOWN).when(own, KNOWN).otherwise(ABSENT)
+        partial += [
+            known_sum(F.when(own, weight)).alias(str(code)),
+            F.max(state).alias(_state(code)),
+        ]
+        known = F.max(_state(code)) == KNOWN
+        total.append(F.when(known, F.sum(str(code))).alias(str(code)))
+    folded = records.groupBy(*keys).agg(*partial)
+    measures = [c for code in SPECIES for c in (str(code), _state(code))]
+    numbered = with_trip_numbers(with_attributes(folded, tables, *measures), tables)
+    return numbered.groupBy(*schemas.LANDING_KEYS).agg(*total).select(*schemas.LANDING)
