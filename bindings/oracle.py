@@ -439,8 +439,8 @@ S["drawn"] = """SELECT d."GROUP", REP, COD, HAD, OBS FROM draws d JOIN indexed i
     ON d."GROUP" = i."GROUP" AND d.IDX = i.IDX"""
 S["replicates"] = multiplier("drawn", '"GROUP", REP').replace("AS MULTIPLIER", "AS MULT")
 S["normal"] = "SELECT * FROM (" + values(normal_score_rows(NBOOT)) + ") AS t(K, Z)"
-S["ranks"] = f"""SELECT "GROUP", REP, MULT, row_number() OVER (PARTITION BY "GROUP"
-    ORDER BY MULT NULLS LAST, REP) AS ID, CASE WHEN NOT isnan(MULT) THEN (SELECT count(*)
+S["ranks"] = f"""SELECT "GROUP", REP, MULT, CAST(row_number() OVER (PARTITION BY "GROUP"
+    ORDER BY MULT NULLS LAST, REP) AS INTEGER) AS ID, CASE WHEN NOT isnan(MULT) THEN (SELECT count(*)
     FROM replicates o WHERE o."GROUP" = r."GROUP" AND o.MULT <= r.MULT) END AS AT_MOST
     FROM replicates r"""
 S["scores"] = f"""SELECT *, CASE WHEN 2 * Z0 + ZALPHA > {SATURATION} THEN 'inf'::DOUBLE
