@@ -77,7 +77,9 @@ class Work:
 
     @cached_property
     def zoned(self) -> Split:
-        return zones.split_by_zone(self.located, self.observers, self.positions, self.cells)
+        return zones.split_by_zone(
+            self.located, self.observers, self.positions, self.cells, keep=cut_lineage
+        )
 
     @cached_property
     def commercial(self) -> Split:

@@ -15,7 +15,11 @@ PRIME = 2**31 - 1
 
 
 def coefficients(*stream: Column) -> list[Column]:
-    """Four columns _a0.._a3 for the stream named by the given columns."""
+    """Four columns _a0.._a3 for the stream named by the given columns.
+
+    Put a shuffle between these and an exploded draw number: generated code puts off a column until
+    it is used, which after an explode is once per draw.
+    """
     digest = F.md5(F.concat_ws("|", *[s.cast("string") for s in stream]))
     return [
         (F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("long") % PRIME).alias(f"_a{i}")
@@ -30,7 +34,8 @@ def uniform_index(x: Column, n: Column) -> Column:
     u = F.col("_a3")
     for name in ("_a2", "_a1", "_a0"):
         u = (u * x + F.col(name)) % p
-    return F.floor(u.cast("double") / F.lit(float(PRIME)) * n.cast("double"))
+    index = F.floor(u.cast("double") / F.lit(float(PRIME)) * n.cast("double"))
+    return F.coalesce(index, F.lit(0).cast("long"))
 
 
 def normal_score_rows(n: int) -> list[tuple[int, float]]:

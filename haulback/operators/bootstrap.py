@@ -34,6 +34,8 @@ NBOOT = 1000
 BLOCK_SIZE = 8192
 DRAWS_PER_ROW = 65536
 HASH_DIGITS = 3
+# Most trips whose blocks are sent to every task (17 bytes a trip); beyond it both sides shuffle.
+BROADCAST_TRIPS = 2_000_000
 # The normal distribution function rounds to 1 above this score.
 SATURATION = 8.292
 PROBABILITIES = [k / 1000 for k in range(1, 991)]
@@ -143,6 +145,8 @@ def block_draws(
 ) -> DataFrame:
     """How many of each replicate's N draws fall in each block: GROUP, REP, BLOCK, DRAWS.
 
+    With them go the coefficients of the block's own stream of draws.
+
     Work is spread by (group, replicate, chunk of draws), so a large group fills many tasks.
     """
     partitions = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -155,8 +159,8 @@ def block_draws(
     chunks = (
         reps.filter(F.col("N") > block_size)
         .withColumn("CHUNK", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .repartition(partitions, "GROUP", "REP", "CHUNK")
         .select("*", *coefficients(F.lit(seed), F.col("GROUP"), F.col("REP")))
+        .repartition(partitions, "GROUP", "REP", "CHUNK")
     )
     start = F.col("CHUNK") * DRAWS_PER_ROW
     end = F.least(start + DRAWS_PER_ROW, F.col("N")) - 1
@@ -166,17 +170,18 @@ def block_draws(
         .groupBy("GROUP", "REP", F.floor(F.col("IDX") / block_size).alias("BLOCK"))
         .agg(F.count(F.lit(1)).alias("DRAWS"))
     )
-    return one_block.unionByName(drawn)
+    # The counts are few but each stands for many draws: keep their partitions apart.
+    streams = coefficients(F.lit(seed), F.col("GROUP"), F.col("REP"), F.col("BLOCK"))
+    counts = one_block.unionByName(drawn).select("*", *streams)
+    return counts.repartition(partitions, "GROUP", "REP", "BLOCK")
 
 
-def replicate_sums(blocks: DataFrame, draws: DataFrame, seed: int) -> DataFrame:
+def replicate_sums(blocks: DataFrame, draws: DataFrame) -> DataFrame:
     """The four ratio sums of every replicate; null when an unknown row was drawn."""
-    joined = draws.join(blocks, ["GROUP", "BLOCK"]).select(
-        "*", *coefficients(F.lit(seed), F.col("GROUP"), F.col("REP"), F.col("BLOCK"))
-    )
     at = uniform_index(F.col("K"), F.size("FLAGS")).cast("int")
     picked = (
-        joined.withColumn("K", F.explode(F.sequence(F.lit(1).cast("long"), F.col("DRAWS"))))
+        draws.join(blocks, ["GROUP", "BLOCK"])
+        .withColumn("K", F.explode(F.sequence(F.lit(1).cast("long"), F.col("DRAWS"))))
         .withColumn("AT", at)
         .select(
             "GROUP",
@@ -202,10 +207,11 @@ def replicate_multipliers(
     data: DataFrame, nboot: int = NBOOT, seed: int = 10, block_size: int = BLOCK_SIZE
 ) -> DataFrame:
     """MULT of every (GROUP, REP)."""
-    numbered = number_rows(data)
+    blocks = row_blocks(number_rows(data), block_size)
+    if data.count() <= BROADCAST_TRIPS:
+        blocks = F.broadcast(blocks)
     sizes = data.groupBy("GROUP").agg(F.count(F.lit(1)).alias("N"))
-    draws = block_draws(sizes, nboot, seed, block_size)
-    sums = replicate_sums(row_blocks(numbered, block_size), draws, seed)
+    sums = replicate_sums(blocks, block_draws(sizes, nboot, seed, block_size))
     return sums.select("GROUP", "REP", multiplier().alias("MULT"))
 
 

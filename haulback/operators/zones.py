@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulback import schemas
 from haulback.operators.joins import Split, null_safe_join
-from haulback.sources.positions import position_days
+from haulback.sources.positions import POSITION_DAY, position_day_text, position_days
 
 NO_ZONE_COMMENT = "NO ZONE"  # Fixed value.
 CELL = 0.25
@@ -88,15 +90,21 @@ def locate(
 
 
 def mean_positions(positions: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """Mean position per vessel and day; ``wanted`` limits the work to its vessel-days."""
-    days = position_days(positions)
+    """Mean position per vessel and day; ``wanted`` limits the work to its vessel-days.
+
+    The wanted days are put into the positions' text form, so only positions that count are parsed.
+    """
     if wanted is not None:
         keys = wanted.select(
-            F.col("VR_NUMBER_FISHING").alias("VR_NUMBER"), F.col("DATE_FISHED").alias("DATE")
+            F.col("VR_NUMBER_FISHING").alias("VR_NUMBER"),
+            F.date_format("DATE_FISHED", POSITION_DAY).alias("_day"),
         ).distinct()
-        days = null_safe_join(days, keys, ["VR_NUMBER", "DATE"], "left_semi")
-    return days.groupBy("VR_NUMBER", "DATE").agg(
-        F.avg("LATITUDE").alias("MEAN_LAT"), F.avg("LONGITUDE").alias("MEAN_LON")
+        positions = positions.withColumn("_day", position_day_text())
+        positions = positions.join(keys, ["VR_NUMBER", "_day"], "left_semi")
+    return (
+        position_days(positions)
+        .groupBy("VR_NUMBER", "DATE")
+        .agg(F.avg("LATITUDE").alias("MEAN_LAT"), F.avg("LONGITUDE").alias("MEAN_LON"))
     )
 
 
@@ -156,10 +164,14 @@ def split_by_zone(
     positions: DataFrame,
     cells: DataFrame,
     cell: float = CELL,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Split:
-    """The split for landings already located by their reported position."""
+    """The split for landings already located by their reported position.
+
+    ``keep`` is applied to the corrected landings, which both sides read.
+    """
     in_zone = F.coalesce(F.col("ZONE") >= 1, F.lit(False))
-    corrected = corrected_zones(located.filter(~in_zone), observers, positions, cells, cell)
+    corrected = keep(corrected_zones(located.filter(~in_zone), observers, positions, cells, cell))
     return Split(
         kept=located.filter(in_zone).unionByName(corrected.filter(in_zone)).select(*schemas.ZONED),
         removed=corrected.filter(~in_zone)

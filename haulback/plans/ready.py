@@ -85,7 +85,7 @@ def ready_data(
     cells = zone_cells(zone_edges, cell)
     sectored = assign_sector(reconciled_landings(labelled))
     located = keep(locate(sectored, cells, "LAT", "LON", "ZONE", cell))
-    zoned = split_by_zone(located, observers, positions, cells, cell)
+    zoned = split_by_zone(located, observers, positions, cells, cell, keep)
     commercial = non_commercial(zoned.kept, observers)
     panel = no_panel(commercial.kept, panel_features(observer_tables, year), exclusive=exclusive)
     tagged = keep(tag_directed(keep(panel.kept), sought_sets(observer_tables, year)))

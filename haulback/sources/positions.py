@@ -25,8 +25,11 @@ def read_positions(spark: SparkSession, snapshot_dir: str, year: int) -> DataFra
 
 def position_days(positions: DataFrame) -> DataFrame:
     """Positions with their calendar day; the stamp is wall-clock text, so no time zone applies."""
-    day = F.substring("POSITION_UTC_DATE", 1, 10)
-    return positions.withColumn("DATE", F.try_to_date(day, POSITION_DAY))
+    return positions.withColumn("DATE", F.try_to_date(position_day_text(), POSITION_DAY))
+
+
+def position_day_text() -> Column:
+    return F.substring("POSITION_UTC_DATE", 1, 10)
 
 
 def parse_day_month_year(text: Column, fmt: str = "dd-MM-yyyy") -> Column:
