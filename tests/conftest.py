@@ -8,6 +8,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("haulback-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
