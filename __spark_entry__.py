@@ -21,6 +21,7 @@ from haulback.operators.joins import Split  # noqa: E402
 from haulback.operators.lineage import cut_lineage  # noqa: E402
 from haulback.operators.sector import assign_sector  # noqa: E402
 from haulback.operators.splits import removed_records  # noqa: E402
+from haulback.session import tune  # noqa: E402
 from haulback.sources import landings, observers, positions, snapshots  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -33,8 +34,7 @@ class Work:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.inputs = tables.inputs(spark, sf_dir)
+        self.inputs = tables.inputs(tune(spark), sf_dir)
 
     @cached_property
     def wide(self) -> DataFrame:
@@ -193,7 +193,6 @@ def _select(step: str, *rounded: str, cols: str = "*", digits: int = 6) -> str:
     return f"SELECT {cols} FROM {step}"
 
 
-_BOTH_FLAGS = ["TRIP", "TRIP_OBS"]
 _OUT = sql.columns([*_LANDED, "TRIP_OBS"])
 _CURVE = ("perc", "bcperc", "MEANMULT", "perc2", "bcperc2")
 _SCORES = ("MULT", "ZALPHA", "Z0", "CORRECTED")

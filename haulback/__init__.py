@@ -14,6 +14,7 @@ from haulback.operators.splits import (
 )
 from haulback.operators.zones import assign_zone
 from haulback.plans.ready import ready_data
+from haulback.session import tune
 from haulback.sources.landings import LandingTables, pull_landings
 from haulback.sources.observers import ObserverTables, pull_observer_trips
 from haulback.sources.snapshots import write_snapshot
@@ -35,5 +36,6 @@ __all__ = [
     "pull_observer_trips",
     "ready_data",
     "species_sought",
+    "tune",
     "write_snapshot",
 ]
