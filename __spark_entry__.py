@@ -137,7 +137,7 @@ class Work:
     @cached_property
     def boot(self) -> bootstrap.Bootstrap:
         return bootstrap.bootstrap_multiplier(
-            self.kept_trips, self.groups, sql.NBOOT, seed=sql.SEED, block_size=sql.BLOCK_SIZE
+            self.kept_trips, self.groups, sql.NBOOT, seed=sql.SEED
         )
 
     @cached_property
@@ -421,6 +421,15 @@ def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
             lambda w: _rounded(w.boot.replicates, "MULT"),
             _select("replicates", "MULT"),
         ),
+        "bootstrap_replicates_in_small_blocks": (
+            lambda w: _rounded(
+                bootstrap.bootstrap_multiplier(
+                    w.kept_trips, w.groups, sql.NBOOT, seed=sql.SEED, block_size=sql.SMALL_BLOCK
+                ).replicates,
+                "MULT",
+            ),
+            _select("replicates_small", "MULT"),
+        ),
         "bootstrap_scores": (
             lambda w: _rounded(
                 bootstrap.ranked_scores(w.boot.replicates, sql.NBOOT).drop("PLAIN"), *_SCORES
@@ -522,6 +531,6 @@ _WITHOUT_DATES = {
     "trip_numbers", "stratum_groups", "fleet_coverage", "mean_coverage", "fleets_all_observed",
     "stratum_coverage", "strata_all_observed", "fully_observed_strata", "grouping_table",
     "landings_multiplier", "landings_multiplier_by_sector", "grouped_trips",
-    "bootstrap_replicates", "bootstrap_scores", "bootstrap_summary", "bootstrap_curves",
+    "bootstrap_replicates", "bootstrap_replicates_in_small_blocks", "bootstrap_scores", "bootstrap_summary", "bootstrap_curves",
     "vessel_totals", "significant_totals", "vessel_discards", "vessel_discards_ignoring_empty",
 }

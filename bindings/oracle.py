@@ -11,11 +11,11 @@ import re
 from bindings.tables import MOBILE_EVENTS, SFLT_CODES, zone_edge_rows
 from haulback.functions.codes import LENGTH_BOUNDS, SECTOR_CODES, TONNAGE_BOUNDS
 from haulback.functions.draws import PRIME, normal_score_rows
-from haulback.operators.bootstrap import DRAWS_PER_ROW, PROBABILITIES, SATURATION
+from haulback.operators.bootstrap import BLOCK_SIZE, PROBABILITIES, SATURATION
 
 SEED = 10
 NBOOT = 1000
-BLOCK_SIZE = 512
+SMALL_BLOCK = 256
 YEAR = 1998
 
 
@@ -423,21 +423,30 @@ def index(x: str, n: str) -> str:
 S["indexed"] = """SELECT *, row_number() OVER (
     PARTITION BY "GROUP" ORDER BY ROW_KEY, COD, HAD, OBS) - 1 AS IDX,
     count(*) OVER (PARTITION BY "GROUP") AS N FROM grouped"""
-S["blocks"] = f"""SELECT "GROUP", IDX // {BLOCK_SIZE} AS BLOCK, count(*) AS SIZE, any_value(N) AS N
-    FROM indexed GROUP BY ALL"""
 S["reps"] = f"""SELECT "GROUP", N, CAST(rep AS INTEGER) AS REP,
     {coefficients(f"concat_ws('|', {SEED}, {G}, rep)")}
     FROM (SELECT "GROUP", count(*) AS N FROM grouped GROUP BY ALL), range({NBOOT}) AS r(rep)"""
-S["block_counts"] = f"""SELECT "GROUP", REP, {index("K", "N")} // {BLOCK_SIZE} AS BLOCK,
+
+
+def add_draws(size: int, tag: str = "") -> None:
+    """Steps of the resample with blocks of the given size."""
+    S[f"blocks{tag}"] = f"""SELECT "GROUP", IDX // {size} AS BLOCK, count(*) AS SIZE FROM indexed
+    GROUP BY ALL"""
+    S[f"block_counts{tag}"] = f"""SELECT "GROUP", REP, {index("K", "N")} // {size} AS BLOCK,
     count(*) AS DRAWS FROM (SELECT *, unnest(range(N)) AS K FROM reps) GROUP BY ALL"""
-S["block_streams"] = f"""SELECT c.*, b.SIZE,
-    {coefficients(f"concat_ws('|', {SEED}, c.{G}, REP, c.BLOCK)")}
-    FROM block_counts c JOIN blocks b ON c."GROUP" = b."GROUP" AND c.BLOCK = b.BLOCK"""
-S["draws"] = f"""SELECT "GROUP", REP, BLOCK * {BLOCK_SIZE} + {index("K", "SIZE")} AS IDX
-    FROM (SELECT *, unnest(range(1, DRAWS + 1)) AS K FROM block_streams)"""
-S["drawn"] = """SELECT d."GROUP", REP, COD, HAD, OBS FROM draws d JOIN indexed i
+    S[f"block_streams{tag}"] = f"""SELECT c.*, b.SIZE,
+    {coefficients(f"concat_ws('|', {SEED}, c.{G}, REP, c.BLOCK)")} FROM block_counts{tag} c
+    JOIN blocks{tag} b ON c."GROUP" = b."GROUP" AND c.BLOCK = b.BLOCK"""
+    S[f"draws{tag}"] = f"""SELECT "GROUP", REP, BLOCK * {size} + {index("K", "SIZE")} AS IDX
+    FROM (SELECT *, unnest(range(1, DRAWS + 1)) AS K FROM block_streams{tag})"""
+    S[f"drawn{tag}"] = f"""SELECT d."GROUP", REP, COD, HAD, OBS FROM draws{tag} d JOIN indexed i
     ON d."GROUP" = i."GROUP" AND d.IDX = i.IDX"""
-S["replicates"] = multiplier("drawn", '"GROUP", REP').replace("AS MULTIPLIER", "AS MULT")
+    ratios = multiplier(f"drawn{tag}", '"GROUP", REP')
+    S[f"replicates{tag}"] = ratios.replace("AS MULTIPLIER", "AS MULT")
+
+
+add_draws(BLOCK_SIZE)
+add_draws(SMALL_BLOCK, "_small")
 S["normal"] = "SELECT * FROM (" + values(normal_score_rows(NBOOT)) + ") AS t(K, Z)"
 S["ranks"] = f"""SELECT "GROUP", REP, MULT, CAST(row_number() OVER (PARTITION BY "GROUP"
     ORDER BY MULT NULLS LAST, REP) AS INTEGER) AS ID, CASE WHEN NOT isnan(MULT) THEN (SELECT count(*)

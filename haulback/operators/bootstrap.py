@@ -31,7 +31,7 @@ from haulback.operators.ratio import PARTS, multiplier
 EXCLUDED = "excluded"  # Fixed value: reserved group name.
 WEIGHT_FLOOR = 0.001  # Fixed value: stands in for a zero weight.
 NBOOT = 1000
-BLOCK_SIZE = 8192
+BLOCK_SIZE = 16384
 DRAWS_PER_ROW = 65536
 HASH_DIGITS = 3
 # Most trips whose blocks are sent to every task (17 bytes a trip); beyond it both sides shuffle.
