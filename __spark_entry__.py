@@ -15,12 +15,14 @@ from pyspark.sql import functions as F  # noqa: E402
 from bindings import oracle as sql  # noqa: E402
 from bindings import tables  # noqa: E402
 from haulback import schemas  # noqa: E402
-from haulback.operators import allocate, bootstrap, coverage, ratio, splits, trips, zones  # noqa: E402
+from haulback.operators import allocate, bootstrap, coverage, ratio, splits  # noqa: E402
+from haulback.operators import trips, zones  # noqa: E402
 from haulback.operators import reconcile as rec  # noqa: E402
 from haulback.operators.joins import Split  # noqa: E402
 from haulback.operators.lineage import cut_lineage  # noqa: E402
 from haulback.operators.sector import assign_sector  # noqa: E402
 from haulback.operators.splits import removed_records  # noqa: E402
+from haulback.plans.ready import ReadyData, ready_data  # noqa: E402
 from haulback.session import tune  # noqa: E402
 from haulback.sources import landings, observers, positions, snapshots  # noqa: E402
 
@@ -153,6 +155,11 @@ class Work:
             self.zoned, self.commercial, self.panel, self.sought, self.quarters
         )
 
+    def ready_data(self) -> ReadyData:
+        """The library's own chain from raw tables, independent of the steps above."""
+        i = self.inputs
+        return ready_data(i.landings, i.observers, self.positions, i.zone_edges)
+
     @cached_property
     def quarters(self) -> Split:
         return splits.observed_quarters(self.sought.kept)
@@ -226,6 +233,20 @@ def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
         "observer_trips": (lambda w: w.observers, _select("observers")),
         "panel_features": (lambda w: w.panel_features, _select("panel_features")),
         "sought_sets": (lambda w: w.sought_sets, _select("sought_sets")),
+        "observer_trips_of_year": (
+            lambda w: observers.pull_observer_trips(w.inputs.observers, year),
+            f"({sql.STEPS['observers']})".replace(
+                "FROM points", f"FROM (SELECT * FROM points WHERE year(setdate) = {year})"
+            ),
+        ),
+        "panel_features_of_year": (
+            lambda w: observers.panel_features(w.inputs.observers, year),
+            f"SELECT * FROM panel_features WHERE year(LANDING_DATE) = {year}",
+        ),
+        "sought_sets_of_year": (
+            lambda w: observers.sought_sets(w.inputs.observers, year),
+            f"SELECT * FROM sought_sets WHERE year(LANDING_DATE) = {year}",
+        ),
         "vessel_positions": (
             lambda w: positions.position_days(w.positions),
             _select("positions", cols="* EXCLUDE (mobile)"),
@@ -393,6 +414,7 @@ def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
         "removed_records": (lambda w: w.removed(), _select("removed")),
         # Trips and multiplier.
         "ready_trips": (lambda w: w.trips, _select("trips")),
+        "ready_data_trips": (lambda w: w.ready_data().trips, _select("trips")),
         "ready_trips_not_fully_observed": (
             lambda w: trips.aggregate_trips(
                 w.quarters.kept
@@ -531,6 +553,7 @@ _WITHOUT_DATES = {
     "trip_numbers", "stratum_groups", "fleet_coverage", "mean_coverage", "fleets_all_observed",
     "stratum_coverage", "strata_all_observed", "fully_observed_strata", "grouping_table",
     "landings_multiplier", "landings_multiplier_by_sector", "grouped_trips",
-    "bootstrap_replicates", "bootstrap_replicates_in_small_blocks", "bootstrap_scores", "bootstrap_summary", "bootstrap_curves",
+    "bootstrap_replicates", "bootstrap_replicates_in_small_blocks", "bootstrap_scores",
+    "bootstrap_summary", "bootstrap_curves",
     "vessel_totals", "significant_totals", "vessel_discards", "vessel_discards_ignoring_empty",
 }

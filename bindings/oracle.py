@@ -363,7 +363,8 @@ S["removed"] = " UNION ALL ".join(
 def trips_of(table: str) -> str:
     return f"""SELECT {columns(TRIP_KEYS)}, coalesce(sum("100"), 0) AS COD,
     coalesce(sum("110"), 0) AS HAD, coalesce(sum("170"), 0) AS POL,
-    CASE WHEN TRIP IS NULL THEN 'N' ELSE 'Y' END AS OBS FROM {table} GROUP BY {columns(TRIP_KEYS)}"""
+    CASE WHEN TRIP IS NULL THEN 'N' ELSE 'Y' END AS OBS FROM {table}
+    GROUP BY {columns(TRIP_KEYS)}"""
 
 
 # Trips, groups, multiplier.

@@ -21,7 +21,7 @@ class CoverageSummary(NamedTuple):
 
 
 def coverage_by(landings: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Observed and unobserved fishing sets per key; a group always has a set, so no zero divisor."""
+    """Observed and unobserved fishing sets per key; every group has a set to divide by."""
     counted = landings.groupBy(*on).agg(
         count_where(F.col("TRIP").isNotNull()).alias("OBS"),
         count_where(F.col("TRIP").isNull()).alias("UNOBS"),

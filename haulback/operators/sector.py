@@ -9,7 +9,7 @@ from haulback.functions.codes import sector_table
 
 
 def assign_sector(df: DataFrame, sectors: DataFrame | None = None) -> DataFrame:
-    """Add SECTOR; null for a code in no sector.  The default code table has 25 fixed rows."""
+    """Add SECTOR; null for a code in no sector.  The default code table has 26 fixed rows."""
     if sectors is None:
         sectors = F.broadcast(sector_table(df.sparkSession))
     return df.join(sectors, "SFLT_DESC_ID", "left").select(*df.columns, "SECTOR")

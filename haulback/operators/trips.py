@@ -47,6 +47,8 @@ def grouping_table(trips: DataFrame) -> DataFrame:
         .filter(coverage != 1)
         .withColumn(
             "DGROUP",
-            F.when((coverage > GOOD_COVERAGE) & (coverage < 1), 1).when(coverage < GOOD_COVERAGE, 2),
+            F.when((coverage > GOOD_COVERAGE) & (coverage < 1), 1).when(
+                coverage < GOOD_COVERAGE, 2
+            ),
         )
     )

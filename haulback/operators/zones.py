@@ -110,7 +110,9 @@ def mean_positions(positions: DataFrame, wanted: DataFrame | None = None) -> Dat
 
 def observer_positions(observers: DataFrame) -> DataFrame:
     """One position per observed trip: least latitude and longitude of its rows."""
-    return observers.groupBy("TRIP").agg(F.min("LAT").alias("OBS_LAT"), F.min("LON").alias("OBS_LON"))
+    return observers.groupBy("TRIP").agg(
+        F.min("LAT").alias("OBS_LAT"), F.min("LON").alias("OBS_LON")
+    )
 
 
 def corrected_zones(

@@ -65,9 +65,10 @@ def ready_data(
 ) -> ReadyData:
     """Reconcile, classify, locate, split and aggregate one year's landings.
 
-    ``keep`` is applied where one result feeds several tables: the observer trips, and the landings
-    as reconciled, located, split by panel, tagged and kept.  By default each is written once to the checkpoint
-    folder; ``as_is`` leaves the whole graph lazy, for a caller who reads one table only.
+    ``keep`` is applied where one result feeds several tables: the observer trips, and the
+    landings as reconciled, located, corrected, split by panel, tagged and kept.  By default each
+    is written once to the checkpoint folder; ``as_is`` leaves the whole graph lazy, for a caller
+    who reads one table only.
     """
     observers = keep(pull_observer_trips(observer_tables, year))
     labelled = keep(
