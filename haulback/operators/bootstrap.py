@@ -128,7 +128,9 @@ def row_blocks(numbered: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Rows of each group packed into blocks of at most ``block_size``, in IDX order."""
     row = F.struct("IDX", "COD", "HAD", _flag_code().alias("FLAG"))
     return (
-        numbered.groupBy("GROUP", F.floor(F.col("IDX") / block_size).alias("BLOCK"))
+        numbered.withColumn("BLOCK", F.floor(F.col("IDX") / block_size))
+        .repartition(_partitions(numbered), "GROUP", "BLOCK")
+        .groupBy("GROUP", "BLOCK")
         .agg(F.sort_array(F.collect_list(row)).alias("ROWS"))
         .select(
             "GROUP",
@@ -140,6 +142,11 @@ def row_blocks(numbered: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     )
 
 
+def _partitions(df: DataFrame) -> int:
+    """Stated where work outweighs bytes, because adaptive execution merges partitions by bytes."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def block_draws(
     sizes: DataFrame, nboot: int, seed: int, block_size: int = BLOCK_SIZE
 ) -> DataFrame:
@@ -149,7 +156,6 @@ def block_draws(
 
     Work is spread by (group, replicate, chunk of draws), so a large group fills many tasks.
     """
-    partitions = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reps = sizes.withColumn("REP", F.explode(F.sequence(F.lit(0), F.lit(nboot - 1))))
     one_block = (
         reps.filter(F.col("N") <= block_size)
@@ -160,7 +166,7 @@ def block_draws(
         reps.filter(F.col("N") > block_size)
         .withColumn("CHUNK", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         .select("*", *coefficients(F.lit(seed), F.col("GROUP"), F.col("REP")))
-        .repartition(partitions, "GROUP", "REP", "CHUNK")
+        .repartition(_partitions(sizes), "GROUP", "REP", "CHUNK")
     )
     start = F.col("CHUNK") * DRAWS_PER_ROW
     end = F.least(start + DRAWS_PER_ROW, F.col("N")) - 1
@@ -170,10 +176,8 @@ def block_draws(
         .groupBy("GROUP", "REP", F.floor(F.col("IDX") / block_size).alias("BLOCK"))
         .agg(F.count(F.lit(1)).alias("DRAWS"))
     )
-    # The counts are few but each stands for many draws: keep their partitions apart.
     streams = coefficients(F.lit(seed), F.col("GROUP"), F.col("REP"), F.col("BLOCK"))
-    counts = one_block.unionByName(drawn).select("*", *streams)
-    return counts.repartition(partitions, "GROUP", "REP", "BLOCK")
+    return one_block.unionByName(drawn).select("*", *streams)
 
 
 def replicate_sums(blocks: DataFrame, draws: DataFrame) -> DataFrame:
@@ -207,11 +211,16 @@ def replicate_multipliers(
     data: DataFrame, nboot: int = NBOOT, seed: int = 10, block_size: int = BLOCK_SIZE
 ) -> DataFrame:
     """MULT of every (GROUP, REP)."""
+    sizes = data.groupBy("GROUP").agg(F.count(F.lit(1)).alias("N"))
     blocks = row_blocks(number_rows(data), block_size)
+    draws = block_draws(sizes, nboot, seed, block_size)
     if data.count() <= BROADCAST_TRIPS:
         blocks = F.broadcast(blocks)
-    sizes = data.groupBy("GROUP").agg(F.count(F.lit(1)).alias("N"))
-    sums = replicate_sums(blocks, block_draws(sizes, nboot, seed, block_size))
+        draws = draws.repartition(_partitions(data), "GROUP", "REP", "BLOCK")
+    else:
+        # Partitioned as the blocks are; one block's draws are the most a task must do at once.
+        draws = draws.repartition(_partitions(data), "GROUP", "BLOCK")
+    sums = replicate_sums(blocks, draws)
     return sums.select("GROUP", "REP", multiplier().alias("MULT"))
 
 
