@@ -6,6 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 from functools import cached_property
+from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -533,15 +534,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return ratio.landings_multiplier(w.trips, ["SECTOR"])
 
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and statements of the training-data operators; none where the subpackage is absent."""
+    if find_spec("haulback.llm") is None or find_spec("corpus_pipeline") is None:
+        return {}, {}
+    import corpus_pipeline
+
+    from haulback.llm import queries as llm
+
+    statement = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {**llm.SQL, **statement}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(build) for name, (build, _) in _definitions().items()}
+    own = {name: _query(build) for name, (build, _) in _definitions().items()}
+    return own | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    own = {
         name: sql.statement(select if name in _WITHOUT_DATES else _dates_as_text_sql(select))
         for name, (_, select) in _definitions().items()
     }
+    return own | _training_data()[1]
 
 
 def _dates_as_text_sql(select: str) -> str:

@@ -2,33 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SETTING = "spark.checkpoint.dir"
 
-def work_folder(spark: SparkSession) -> str | None:
-    """The session's ``spark.checkpoint.dir``, shared storage on a cluster.
 
-    A local session without one gets a scratch folder; a cluster session without one has none,
-    because a machine-local folder would not outlive its machine.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="haulback-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    return None
+def work_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """The folder given, else the session's ``spark.checkpoint.dir``: storage all executors share."""
+    folder = folder or spark.conf.get(SETTING, None)
+    if not folder:
+        raise ValueError(f"no folder for intermediate tables: pass folder=, or set {SETTING}")
+    return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write the rows as Parquet and go on from there; readers prune columns and push filters."""
-    folder = work_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/haulback/{uuid.uuid4().hex}"
+    path = f"{work_folder(df.sparkSession, folder)}/haulback/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_work(spark: SparkSession, folder: str | None = None) -> bool:
+    """Delete the tables that ``cut_lineage`` has left in the folder; true if there were any.
+
+    Frames that still read them fail from then on, so only their owner can tell when to do this.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{work_folder(spark, folder)}/haulback")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,8 +9,9 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = entry.SMOKE_DIR
-QUERIES = entry.queries()
-STATEMENTS = entry.oracle_sql()
+LLM_QUERIES, LLM_STATEMENTS = entry._training_data()
+QUERIES = {k: v for k, v in entry.queries().items() if k not in LLM_QUERIES}
+STATEMENTS = {k: v for k, v in entry.oracle_sql().items() if k not in LLM_STATEMENTS}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="supplied tables are absent")
 
