@@ -33,11 +33,14 @@ LOWER[65:91] += 32
 
 
 def text_blocks(
-    batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BLOCK_BYTES
+    batches: Iterator[pa.RecordBatch],
+    text: str = "text",
+    limit: int = BLOCK_BYTES,
+    most_rows: int = 4096,
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Rows in blocks of about ``limit`` bytes of text: the rows, their UTF-8 bytes, the offsets.
 
-    A null text is empty. A text beyond the limit is a block of its own.
+    Blocks hold ``most_rows`` rows at most. A null text is empty. A text beyond the limit is a block of its own.
     """
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text))
@@ -47,6 +50,7 @@ def text_blocks(
         while start < batch.num_rows:
             before = total[start - 1] if start else 0
             end = max(start + 1, int(np.searchsorted(total, before + limit, side="right")))
+            end = min(end, start + most_rows)
             rows = batch.slice(start, end - start)
             yield rows, *text_bytes(col.slice(start, end - start))
             start = end

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulback.llm import quality, url_filter
+from haulback.llm import extract, langid, quality, scoring, url_filter
 from haulback.llm.url_filter import ALLOW, BLOCK, Rule
 
 URL_RULES = (
@@ -28,6 +28,26 @@ def fold(key: str, n: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % n
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit_language_model(docs.filter(fold("doc_id", 4) != 2))
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    found = langid.predict_language(docs, model)
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return extract.extract_text(pages, extract.learn_weights(pages))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = scoring.score(docs, scoring.train(docs.filter(fold("doc_id", 10) != 0)))
+    held_out = F.coalesce(fold("doc_id", 10) == 0, F.lit(False)).alias("held_out")
+    return scored.select("*", held_out)
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -37,6 +57,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_url_filters": op5_url_filters,
     "op7_quality_rules": op7_quality_rules,
 }
