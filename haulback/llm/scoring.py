@@ -30,8 +30,9 @@ class Settings(NamedTuple):
     #: Grams of three and more symbols are kept if they make up this share of all, so that there
     #: are at most 1 / floor of each order, at any size of the corpus.
     floor: float = 2.0**-20
-    #: The most frequent words, whose counts are looked up in place; the others are joined.
-    head: int = 1 << 18
+    #: Words that make up this share of all tokens are looked up in place; the others are joined.
+    #: So at most 1 / head_share words go along with a task, at any size of the corpus.
+    head_share: float = 2.0**-22
     #: Texts are read in slices side by side.
     slice: int = 512
 
@@ -307,14 +308,14 @@ def score(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str
     text is empty. Repeated rows and null keys are scored each by itself; an empty table gives no
     rows; other columns are not read.
 
-    Counts of the ``head`` most frequent words go along with the task; the other words of all texts
-    are joined with the counts, and no one of them is frequent enough to make a join uneven.
+    Counts of the frequent words go along with the task; the other words of all texts are joined with
+    the counts, and no one of them is frequent enough to make a join uneven.
     """
     spark, s = docs.sparkSession, model.settings
-    head = model.words.orderBy(F.desc("n"), "word").limit(s.head).orderBy("word").toArrow()
-    parts = spark.sparkContext.broadcast(
-        (head.column("word").to_numpy(), head.column("n").to_numpy(), model.automaton)
-    )
+    head = model.words.filter(F.col("n") >= max(1.0, s.head_share * model.train_tokens)).toArrow()
+    order = np.argsort(head.column("word").to_numpy())
+    frequent = [head.column(c).to_numpy()[order] for c in ("word", "n")]
+    parts = spark.sparkContext.broadcast((*frequent, model.automaton))
     most = model.train_tokens + 0.1 * (model.distinct + 1)
     schema = docs.select(key).schema.add("row", "long").add("word", "long").add("n_tokens", "long")
     schema = schema.add("n_known", "long").add("base", "double").add("score", "double")

@@ -7,7 +7,7 @@ import pytest
 
 from haulback.llm.scoring import Settings, score, train
 
-SETTINGS = Settings(order=3, floor=1e-9, head=20, slice=16)
+SETTINGS = Settings(order=3, floor=1e-9, head_share=0.02, slice=16)
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
