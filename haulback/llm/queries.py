@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulback.llm import extract, langid, quality, scoring, url_filter
+from haulback.llm import (
+    extract,
+    jaccard,
+    langid,
+    quality,
+    scoring,
+    substrings,
+    suffixes,
+    url_filter,
+)
 from haulback.llm.url_filter import ALLOW, BLOCK, Rule
 
 URL_RULES = (
@@ -36,6 +45,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score")
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return extract.extract_text(pages, extract.learn_weights(pages))
@@ -56,12 +69,26 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(_table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_passages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_strings(_table(spark, sf_dir, "documents"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_html_extraction": op3_html_extraction,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_url_filters": op5_url_filters,
     "op7_quality_rules": op7_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 
