@@ -1,4 +1,10 @@
-"""Filter, deduplicate, decontaminate and encode the documents, one operator after another."""
+"""Filter, deduplicate, decontaminate and encode the documents, one operator after another.
+
+Every stage works on all that its predecessor kept. Rows are told apart by ``doc_id``: rows that
+repeat one stay or go together, and a row without one has nothing to be matched by, so only the
+quality rules can remove it. Columns beyond ``doc_id``, ``text``, ``lang`` and ``n_chars`` pass
+through the filters as they are.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +13,67 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulback.llm import quality
+from haulback.llm import jaccard, pieces, quality, substrings, tiling
 from haulback.operators.lineage import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    verdicts = quality.judge_quality(docs)
-    kept = verdicts.filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    """Documents that the quality rules keep; of rows that share an id, all if one is kept."""
+    kept = quality.judge_quality(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each group of near copies."""
+    found = jaccard.near_duplicates(docs)
+    other = found.filter("doc_id != component_id").select(F.col("doc_id").alias("other_id")).distinct()
+    return docs.join(other, docs["doc_id"] == other["other_id"], "left_anti")
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur earlier; those that had nothing else go.
+
+    A document that loses words gets its other words, joined by spaces, and their ``n_chars``.
+    """
+    found = substrings.remove_passages(docs).filter("n_removed > 0").dropDuplicates(["doc_id"])
+    changed = found.select(
+        F.col("doc_id").alias("changed_id"),
+        F.col("kept").alias("kept_text"),
+        (F.col("n_removed") == F.col("n_words")).alias("nothing_left"),
+    )
+    joined = docs.join(changed, docs["doc_id"] == changed["changed_id"], "left")
+    left = joined.filter(~F.coalesce("nothing_left", F.lit(False)))
+    new = F.col("kept_text").isNotNull()
+    values = {
+        "text": F.when(new, F.col("kept_text")).otherwise(F.col("text")),
+        "n_chars": F.when(new, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")),
+    }
+    return left.select(*(values[c].alias(c) if c in values else docs[c] for c in docs.columns))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = tiling.find_contaminated(docs, items).select(F.col("doc_id").alias("leak_id")).distinct()
+    return docs.join(found, docs["doc_id"] == found["leak_id"], "left_anti")
+
+
+def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids) of the documents left."""
+    return pieces.encode(docs).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("sentencepiece", sentencepiece_ids),
+]
 
-#: The later stages are beyond SQL; tests/llm holds them against brute force.
+#: Exact tilings, sets of links and merges are beyond SQL; tests/llm holds them against brute force.
 ORACLE_SQL: str | None = None
 
 

@@ -11,10 +11,12 @@ from haulback.llm import (
     extract,
     jaccard,
     langid,
+    pieces,
     quality,
     scoring,
     substrings,
     suffixes,
+    tiling,
     url_filter,
 )
 from haulback.llm.url_filter import ALLOW, BLOCK, Rule
@@ -65,6 +67,13 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the digest of what they decode to."""
+    decoded = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents")))
+    n_tokens = F.size("ids").cast("long").alias("n_tokens")
+    return decoded.select("doc_id", n_tokens, "ids", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(_table(spark, sf_dir, "documents"))
 
@@ -74,6 +83,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return tiling.find_contaminated(docs, items)
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.remove_strings(_table(spark, sf_dir, "documents"))
     digest = F.sha2("kept", 256).alias("kept_sha256")
@@ -86,8 +100,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_extraction": op3_html_extraction,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_url_filters": op5_url_filters,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
