@@ -5,10 +5,14 @@ around a few sampled pivots would hold every text on their boundary. Regions are
 each rare shingle opens one, a text joins the regions of the shingles that any set within the
 threshold must share with it, and the region's least document is its pivot. Then
 
-1. every document is measured against its regions' pivots; those near one make its cell;
-2. regions that hold one cell alone are done, whatever their size. In the others the documents of
-   different cells are joined again, but only inside the window that the triangle inequality leaves:
-   two documents can be near if their distances to the pivot differ by the threshold at most.
+1. every document is measured against the pivots of its regions, as far as their sets can overlap
+   enough after the places of the shingle; those near one make its cell;
+2. regions that hold one cell alone are done, whatever their size. In the others every document is
+   measured against a neighbour of another cell, in an order that changes from round to round, until
+   a round joins no cells any more or a few rounds are over;
+3. regions that still hold several cells are joined exactly: all pairs of documents of different
+   cells inside the window that the triangle inequality leaves (their distances to the pivot differ
+   by the threshold at most), as far as their sets can overlap enough.
 
 Bit signatures bound distances from below before any set is fetched; what they leave is counted
 exactly. Nothing is sampled and nothing is capped.
@@ -21,10 +25,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulback.llm.arrays import LOWER, gram_hashes, list_array, text_blocks, word_bounds, word_hashes
+from haulback.llm.arrays import LOWER, distinct, gram_hashes, list_array, text_blocks, word_bounds, word_hashes
 from haulback.llm.components import connected_components
 from haulback.operators.lineage import cut_lineage
 
@@ -39,6 +43,8 @@ class Settings(NamedTuple):
     #: Counters of the sketch that orders shingles from rare to frequent; any order gives the same
     #: links, a finer one smaller regions.
     counters: int = 1 << 22
+    #: Rounds of step 2 at most; they save work in step 3, which is exact by itself.
+    rounds: int = 2
     #: Sets are fetched by a broadcast of the documents asked for up to this many, else by a shuffle.
     broadcast_docs: int = 200_000
 
@@ -65,7 +71,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
             ids.append(gram_hashes(words, n)[cuts[short]] >> np.uint64(64 - _ID_BITS))
             owner.append(short)
     ids, owner = np.concatenate(ids), np.concatenate(owner).astype(np.uint64)
-    keys = np.unique((owner << np.uint64(_ID_BITS)) | ids)
+    keys = distinct((owner << np.uint64(_ID_BITS)) | ids)
     sizes = np.bincount((keys >> np.uint64(_ID_BITS)).astype(np.int64), minlength=rows)
     return keys & np.uint64((1 << _ID_BITS) - 1), sizes
 
@@ -185,10 +191,11 @@ def _counter(ids: np.ndarray, size: int) -> np.ndarray:
 
 
 def region_members(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Rows (token, doc, n, pivot) of the regions that several documents share.
+    """Rows (token, doc, n, place, pivot, pivot_n, pivot_place) of the regions that several documents share.
 
     Sets of Jaccard similarity t share a shingle among the rarest n - ceil(t * n) + 1 of either, so
-    a document joins the regions of that many. Copies within a task join once.
+    a document joins the regions of that many; ``place`` is the shingle's among all of the document,
+    from the rarest on. Copies within a task join once.
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(shingle_ranks(docs, settings))
@@ -205,13 +212,15 @@ def region_members(docs: DataFrame, settings: Settings) -> DataFrame:
             keep = at < np.repeat(prefix, sizes)
             row = np.repeat(np.arange(len(sizes)), sizes)[keep]
             token = (keys[keep] & np.uint64((1 << _ID_BITS) - 1)).view(np.int64)
-            columns = [pa.array(x) for x in (token, doc[row], sizes[row])]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "doc", "n"])
+            columns = [pa.array(x) for x in (token, doc[row], sizes[row], at[keep])]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "doc", "n", "place"])
 
-    found = docs.mapInArrow(members, "token long, doc long, n long")
+    found = docs.mapInArrow(members, "token long, doc long, n long, place long")
     region = Window.partitionBy("token")
-    shared = found.withColumns({"pivot": F.min("doc").over(region), "size": F.count("*").over(region)})
-    return shared.filter("size > 1").select("token", "doc", "n", "pivot")
+    least = F.min(F.struct("doc", "n", "place")).over(region)
+    shared = found.withColumns({"p": least, "size": F.count("*").over(region)}).filter("size > 1")
+    pivot = [F.col(f"p.{c}").alias(f"pivot{tail}") for c, tail in (("doc", ""), ("n", "_n"), ("place", "_place"))]
+    return shared.select("token", "doc", "n", "place", *pivot)
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -274,6 +283,58 @@ def _distances(pairs: DataFrame, sets: DataFrame, docs: DataFrame, settings: Set
     return cut_lineage(near.unionByName(far))
 
 
+def _star(cells: DataFrame) -> DataFrame:
+    return cells.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _divided(member: DataFrame, cells: DataFrame) -> DataFrame:
+    """Members, with their cell, of the regions that hold several cells."""
+    named = member.drop("cell").join(cells.withColumnRenamed("component", "cell"), "node", "left")
+    named = named.withColumn("cell", F.coalesce("cell", "node"))
+    ends = named.groupBy("token").agg(F.min("cell").alias("low"), F.max("cell").alias("high"))
+    return cut_lineage(named.join(ends.filter("low != high").select("token"), "token", "left_semi"))
+
+
+def _can_link(n: str, place: str, m: str, other: str, settings: Settings) -> Column:
+    """Can sets of sizes n and m be near whose first common shingle has these places in them?
+
+    The sizes bound the similarity, and so do the shingles that are left from those places on.
+    """
+    n, place, m, other = (F.col(c) for c in (n, place, m, other))
+    p = settings.percent
+    return (100 * F.least(n, m) >= p * F.greatest(n, m)) & (
+        (100 + p) * F.least(n - place, m - other) >= p * (n + m)
+    )
+
+
+def _neighbours(member: DataFrame, turn: int, settings: Settings) -> DataFrame:
+    """Pairs (a, b) of members next to each other in their region, if of different cells."""
+    order = Window.partitionBy("token").orderBy(F.xxhash64("node", F.lit(turn)))
+    before = member.withColumns({f"_{c}": F.lag(c).over(order) for c in ("node", "n", "place", "cell")})
+    able = before.filter(F.col("_cell") != F.col("cell")).filter(_can_link("n", "place", "_n", "_place", settings))
+    return able.select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b")).distinct()
+
+
+def _window_pairs(member: DataFrame, measured: DataFrame, settings: Settings) -> DataFrame:
+    """All pairs (a, b) of members of a region, of different cells, that can still be near."""
+    spoke = measured.select("a", "b", "low", "high")
+    ends = (F.greatest("node", "pivot_node") == F.col("a")) & (F.least("node", "pivot_node") == F.col("b"))
+    own = F.col("node") == F.col("pivot_node")
+    bound = lambda c, d: F.when(own, F.lit(0.0)).otherwise(F.coalesce(c, F.lit(d))).alias(c)
+    member = member.join(spoke, ends, "left")
+    member = cut_lineage(member.select("token", "node", "n", "place", "cell", bound("low", 0.0), bound("high", 1.0)))
+    x, y = member.alias("x"), member.alias("y")
+    window = 1 - settings.percent / 100 + 1e-9
+    apart = x.join(y, F.col("x.token") == F.col("y.token")).filter(
+        (F.col("x.node") > F.col("y.node"))
+        & (F.col("x.cell") != F.col("y.cell"))
+        & _can_link("x.n", "x.place", "y.n", "y.place", settings)
+        & (F.col("x.low") - F.col("y.high") <= window)
+        & (F.col("y.low") - F.col("x.high") <= window)
+    )
+    return apart.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
@@ -305,38 +366,30 @@ def near_duplicates(
 
     regions = cut_lineage(region_members(named, settings))
     # 1. Each document against the pivots of its regions.
-    spokes = regions.filter("doc != pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
+    able = _can_link("n", "place", "pivot_n", "pivot_place", settings)
+    spokes = regions.filter("doc != pivot").filter(able).select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
     spokes = as_nodes(spokes.distinct()).distinct()
     measured = _distances(spokes, sets, named, settings)
     links = measured.filter("linked").select("a", "b")
     cells = connected_components(links)
-    # 2. Regions that several cells still share, inside the triangle inequality's window.
-    member = regions.join(nodes.select("doc", "node"), "doc").select("token", "n", "node", "pivot").distinct()
+    # 2. Regions that several cells still share: neighbours in a changing order.
+    member = regions.join(node_of, "doc").select("token", "n", "place", "node", "pivot").distinct()
     pivots = node_of.select(F.col("doc").alias("pivot"), F.col("node").alias("pivot_node"))
-    member = member.join(pivots, "pivot")
-    member = member.join(cells.withColumnRenamed("component", "cell"), "node", "left")
-    member = member.withColumn("cell", F.coalesce("cell", "node"))
-    several = member.groupBy("token").agg(F.min("cell").alias("c"), F.max("cell").alias("d")).filter("c != d")
-    member = member.join(several.select("token"), "token", "left_semi")
-    spoke = measured.select("a", "b", "low", "high")
-    ends = (F.greatest("node", "pivot_node") == F.col("a")) & (F.least("node", "pivot_node") == F.col("b"))
-    member = member.join(spoke, ends, "left")
-    own = F.col("node") == F.col("pivot_node")
-    bound = lambda c, d: F.when(own, F.lit(0.0)).otherwise(F.coalesce(c, F.lit(d))).alias(c)
-    member = cut_lineage(member.select("token", "node", "n", "cell", bound("low", 0.0), bound("high", 1.0)))
-    x, y = member.alias("x"), member.alias("y")
-    window = 1 - settings.percent / 100 + 1e-9
-    apart = x.join(y, F.col("x.token") == F.col("y.token")).filter(
-        (F.col("x.node") > F.col("y.node"))
-        & (F.col("x.cell") != F.col("y.cell"))
-        & (100 * F.least("x.n", "y.n") >= settings.percent * F.greatest("x.n", "y.n"))
-        & (F.col("x.low") - F.col("y.high") <= window)
-        & (F.col("y.low") - F.col("x.high") <= window)
-    )
-    pairs = apart.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    pairs = cut_lineage(pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti"))
-    more = _distances(pairs, sets, named, settings).filter("linked").select("a", "b")
-    found = connected_components(cells.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    member = cut_lineage(member.join(pivots, "pivot").drop("pivot"))
+    known = measured.select("a", "b")
+    for turn in range(settings.rounds):
+        member = _divided(member, cells)
+        pairs = _neighbours(member, turn, settings).join(known, ["a", "b"], "left_anti")
+        more = _distances(cut_lineage(pairs), sets, named, settings)
+        known = known.unionByName(more.select("a", "b"))
+        more = more.filter("linked").select("a", "b")
+        if more.isEmpty():
+            break
+        cells = connected_components(_star(cells).unionByName(more))
+    # 3. All pairs that are left, inside the triangle inequality's window.
+    pairs = _window_pairs(_divided(member, cells), measured, settings).join(known, ["a", "b"], "left_anti")
+    more = _distances(cut_lineage(pairs), sets, named, settings).filter("linked").select("a", "b")
+    found = connected_components(_star(cells).unionByName(more))
     labelled = node.join(found.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     labelled = labelled.select(*same, F.coalesce("component", "node").alias("component"))
     out = described.drop("bits").join(labelled, same, "left")
