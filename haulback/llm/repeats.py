@@ -16,6 +16,7 @@ repeated passages. Symbols, grams, contexts and windows are compared by 64-bit h
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulback.llm.arrays import _BASE, _mixed, gram_hashes, list_array, signed, sliding_min, text_blocks
+from haulback.llm.arrays import _BASE, _mixed, gram_hashes, signed, sliding_min, text_blocks
 from haulback.operators.lineage import cut_lineage
 
 #: Symbols of a block of texts, as 64-bit values, and the bounds of the texts in them.
@@ -57,14 +58,20 @@ class Anchors(NamedTuple):
     context: np.ndarray
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
+@lru_cache(4)
+def _powers(inverse: bool, size: int) -> np.ndarray:
+    out = np.full(size, _INVERSE if inverse else _BASE, np.uint64)
     out[0] = 1
     return np.cumprod(out)
 
 
-def find_anchors(values: np.ndarray, cuts: np.ndarray, scheme: Scheme) -> Anchors:
-    """The anchors of a block; places and starts are counted from the block's first symbol."""
+def find_anchors(
+    values: np.ndarray, cuts: np.ndarray, scheme: Scheme, contexts: bool = True
+) -> Anchors:
+    """The anchors of a block; places and starts are counted from the block's first symbol.
+
+    Without ``contexts`` these are left out, for a reader who has their marks.
+    """
     n, w = len(values) - scheme.window + 1, scheme.window - scheme.gram + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
@@ -77,9 +84,14 @@ def find_anchors(values: np.ndarray, cuts: np.ndarray, scheme: Scheme) -> Anchor
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else place
     count = np.diff(np.append(first, len(place)))
     place, start = place[first], starts[first]
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(values * _powers(_BASE, len(values))[:-1])])
+    if not contexts:
+        none = np.zeros(0, np.int64)
+        return Anchors(row[start], place, start, count, none, none)
+    size = 1 << max(16, int(len(values)).bit_length())
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers(False, size)[: len(values)], out=sums[1:])
     covered = sums[start + count - 1 + scheme.window] - sums[start]
-    inverse = _powers(_INVERSE, len(values))
+    inverse = _powers(True, size)
     shape = (place - start).astype(np.uint64) * np.uint64(1 << 20) + count.astype(np.uint64)
     context = _mixed(covered * inverse[start] + _mixed(shape))
     gram = (grams[place] & _LOW).astype(np.uint32).view(np.int32)
@@ -150,7 +162,7 @@ def marked_anchors(
 ) -> tuple[np.ndarray, np.ndarray, Anchors, np.ndarray]:
     """A block's symbols, bounds, anchors, and the mark bits of each anchor; -1 where it has none."""
     values, cuts = scheme.symbols(data, offsets)
-    found = find_anchors(values, cuts, scheme)
+    found = find_anchors(values, cuts, scheme, contexts=False)
     counts = np.nan_to_num(pa.compute.list_value_length(marks).to_numpy(zero_copy_only=False)).astype(np.int64)
     flat = marks.flatten().to_numpy()
     owner = np.repeat(np.arange(len(counts)), counts)
@@ -169,6 +181,16 @@ def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(counts.sum())) + np.repeat(starts - np.cumsum(counts) + counts, counts)
 
 
+def own_windows(
+    values: np.ndarray, cuts: np.ndarray, found: Anchors, own: np.ndarray, docs: pa.Array, scheme: Scheme
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the windows of some of a block's anchors: hash, text and start in the text."""
+    starts = _spread(found.start[own], found.count[own])
+    row = np.repeat(found.row[own], found.count[own])
+    hashes = signed(gram_hashes(values, scheme.window)[starts])
+    return hashes, docs.to_numpy(zero_copy_only=False)[row], starts - cuts[row]
+
+
 def window_rows(marked: DataFrame, scheme: Scheme, bits: tuple[int, ...]) -> DataFrame:
     """Rows (hash, doc, start) of the windows of the anchors with one of these marks."""
 
@@ -179,12 +201,8 @@ def window_rows(marked: DataFrame, scheme: Scheme, bits: tuple[int, ...]) -> Dat
             own = np.isin(how, bits)
             if not own.any():
                 continue
-            starts = _spread(found.start[own], found.count[own])
-            row = np.repeat(found.row[own], found.count[own])
-            doc = rows.column(0).to_numpy(zero_copy_only=False)[row]
-            hashes = signed(gram_hashes(values, scheme.window)[starts])
-            arrays = [pa.array(hashes), pa.array(doc), pa.array(starts - cuts[row])]
-            yield pa.RecordBatch.from_arrays(arrays, names=["hash", "doc", "start"])
+            arrays = map(pa.array, own_windows(values, cuts, found, own, rows.column(0), scheme))
+            yield pa.RecordBatch.from_arrays(list(arrays), names=["hash", "doc", "start"])
 
     return marked.mapInArrow(windows, "hash long, doc long, start long")
 
@@ -264,4 +282,3 @@ def remove_repeats(
     return joined.select("doc", "text", "marks", "later").mapInArrow(finish, out_schema)
 
 
-__all__ = ["COMPARE", "MANY", "Scheme", "list_array", "remove_repeats", "window_rows", "later_windows"]

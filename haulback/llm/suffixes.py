@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulback.llm.arrays import BYTE_VALUES, gram_hashes, text_blocks
-from haulback.llm.repeats import COMPARE, MANY, Scheme, later_windows, marked_anchors, remove_repeats, window_rows
+from haulback.llm.repeats import COMPARE, MANY, Scheme, later_windows, marked_anchors, own_windows, remove_repeats
 from haulback.operators.lineage import cut_lineage
 
 LENGTH = 100
@@ -49,12 +49,22 @@ def multikey_sort(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _suffix_rows(marked: DataFrame, scheme: Scheme) -> DataFrame:
-    """Rows (lead, doc, start, count, context) of the anchors to compare: the bytes of their windows,
-    and the gram at the anchor that leads its suffix."""
+    """Rows (lead, doc, start, count, context, hash) of the anchors to compare: the bytes of their
+    windows, and the gram at the anchor that leads its suffix.
+
+    The windows of a gram of very many contexts are rows of their own, known by a hash.
+    """
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_blocks(batches, "text", scheme.block_bytes):
-            _, cuts, found, how = marked_anchors(data, offsets, rows.column(2), scheme)
+            values, cuts, found, how = marked_anchors(data, offsets, rows.column(2), scheme)
+            names = ["lead", "doc", "start", "count", "context", "hash"]
+            many = how == COMPARE + MANY
+            if many.any():
+                hashes, doc, start = own_windows(values, cuts, found, many, rows.column(0), scheme)
+                none = [pa.nulls(len(hashes), t) for t in (pa.binary(), pa.int64())]
+                arrays = [none[0], pa.array(doc), pa.array(start), none[1], none[0], pa.array(hashes)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
             own = np.flatnonzero(how == COMPARE)
             if not len(own):
                 continue
@@ -71,11 +81,13 @@ def _suffix_rows(marked: DataFrame, scheme: Scheme) -> DataFrame:
                     pa.array(start - cuts[found.row[own]]),
                     pa.array(count),
                     pa.array(contexts, pa.binary()),
+                    pa.nulls(len(own), pa.int64()),
                 ],
-                names=["lead", "doc", "start", "count", "context"],
+                names=names,
             )
 
-    return marked.mapInArrow(rows_of, "lead binary, doc long, start long, count long, context binary")
+    schema = "lead binary, doc long, start long, count long, context binary, hash long"
+    return marked.mapInArrow(rows_of, schema)
 
 
 def _later_in_bucket(bucket: pa.Table, length: int) -> pa.RecordBatch:
@@ -144,8 +156,9 @@ def _sort_buckets(suffixes: DataFrame, length: int) -> DataFrame:
 
 
 def _compare_suffixes(marked: DataFrame, scheme: Scheme) -> DataFrame:
-    suffixes = cut_lineage(_suffix_rows(marked, scheme))
-    many = later_windows(window_rows(marked, scheme, (COMPARE + MANY,)))
+    found = cut_lineage(_suffix_rows(marked, scheme))
+    many = later_windows(found.filter("hash IS NOT NULL").select("hash", "doc", "start"))
+    suffixes = found.filter("hash IS NULL").drop("hash")
     return _sort_buckets(suffixes, scheme.window).unionByName(many)
 
 
