@@ -11,6 +11,7 @@ from haulback.llm import (
     extract,
     jaccard,
     langid,
+    oracle,
     pieces,
     quality,
     scoring,
@@ -75,7 +76,8 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge_quality(_table(spark, sf_dir, "documents"))
+    found = quality.judge_quality(_table(spark, sf_dir, "documents"))
+    return found.drop("class_distance", "word_distance")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,24 +110,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def _url_sql() -> str:
-    pattern = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-    ascii_lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    host = ascii_lower.format(f"coalesce(regexp_extract(url, '{pattern}', 1), '')")
-    hits = lambda terms: " + ".join(
-        f"regexp_matches(lower(coalesce(url, '')), '(^|[^a-z0-9]){t}($|[^a-z0-9])')::INT" for t in terms
-    )
-    values = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
-    return f"""WITH rules(v, h, p) AS (VALUES {values}),
-    parts AS (SELECT page_id, {host} AS host,
-        coalesce(regexp_extract(url, '{pattern}', 2), '') AS path,
-        ({hits(url_filter.STRICT_TERMS)})::INT AS n_strict,
-        ({hits(url_filter.SOFT_TERMS)})::INT AS n_soft FROM pages),
-    judged AS (SELECT *, (SELECT arg_max(h || p || '|' || v, length(h || p)) FROM rules
-        WHERE (host = h OR host LIKE '%.' || h) AND starts_with(path, p)) AS best FROM parts)
-    SELECT page_id, host, path, split_part(best, '|', 1) AS rule,
-        coalesce(split_part(best, '|', 2), CASE WHEN n_strict > 0 OR n_soft > 1
-            THEN 'block' ELSE 'allow' END) AS verdict, n_strict, n_soft FROM judged"""
-
-
-SQL: dict[str, str] = {"op5_url_filters": _url_sql()}
+SQL: dict[str, str] = {
+    "op2_ngram_jaccard_join": oracle.components_sql(),
+    "op5_url_filters": oracle.url_sql(URL_RULES),
+    "op7_quality_rules": oracle.quality_sql(),
+    "op8_substring_dedup": oracle.passages_sql(),
+    "op10_suffix_array_dedup": oracle.strings_sql(),
+}
