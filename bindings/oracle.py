@@ -6,12 +6,30 @@ those it needs, in order.
 
 from __future__ import annotations
 
+import math
 import re
 
 from bindings.tables import MOBILE_EVENTS, SFLT_CODES, zone_edge_rows
-from haulback.functions.codes import LENGTH_BOUNDS, SECTOR_CODES, TONNAGE_BOUNDS
-from haulback.functions.draws import PRIME, normal_score_rows
-from haulback.operators.bootstrap import BLOCK_SIZE, PROBABILITIES, SATURATION
+
+# Fixed values of the method, stated here again so that a wrong one in the library shows.
+TONNAGE_BOUNDS = {7: 2000, 6: 1000, 5: 500, 4: 150, 3: 50, 2: 25, 1: 1}
+LENGTH_BOUNDS = {6: 125, 5: 100, 4: 65, 3: 45, 2: 35, 1: 1}
+SECTOR_CODES = {
+    90: (90, 91, 92, 93, 94, 95, 8976, 8977, 9318, 9319, 10865, 10866, 12305, 12195),
+    89: (89, 9317),
+    881: (881,),
+    884: (884, 6875),
+    885: (885, 1472),
+    886: (886, 1817),
+    311: (311, 1523),
+    3328: (3328,),
+}
+SATURATION = 8.292
+PROBABILITIES = [k / 1000 for k in range(1, 991)]
+# Of the draws: a Mersenne prime, the rows of a block, the draws of a stream.
+PRIME = (1 << 31) - 1
+BLOCK_SIZE = 512
+STREAM_DRAWS = 1 << 16
 
 SEED = 10
 NBOOT = 1000
@@ -58,6 +76,18 @@ def matches(a: str, b: str, cols: list[str]) -> str:
     return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
 
 
+def normal_quantile(p: float) -> float:
+    """The standard normal quantile, by bisection of the distribution function."""
+    ends = {0.0: float("-inf"), 0.5: 0.0, 1.0: float("inf")}
+    if p in ends:
+        return ends[p]
+    low, high = -10.0, 10.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if math.erfc(-middle / math.sqrt(2)) / 2 < p else (low, middle)
+    return (low + high) / 2
+
+
 def columns(cols: list[str], prefix: str = "") -> str:
     return ", ".join(f'{prefix}"{c}"' for c in cols)
 
@@ -237,6 +267,20 @@ S["nearest_reconciled"] = f"""SELECT {columns(LAND)} FROM exact_equal
         AND TRIP IS NOT NULL
     UNION ALL SELECT {columns(LAND)} FROM nearest WHERE coded IS NOT TRUE"""
 
+# Reports of the variants: a missing number is a blank one.
+def reports_of(tag: str, differ: str, absent: str = "absent") -> None:
+    S[f"errors_{tag}"] = f"""SELECT {columns(IDENT)}, TRIP AS TRIP_LANDING, TRIP_OBS,
+    CASE WHEN coalesce(TRIP, '') = '' THEN 'trip number missing'
+        ELSE 'trip number incorrect as compared to observer data' END AS COMMENT FROM ({differ})"""
+    S[f"missing_{tag}"] = f"""SELECT DISTINCT {_BRIEF} FROM errors_{tag}
+    WHERE coalesce(TRIP_LANDING, '') = ''"""
+
+
+reports_of("as_blank", """SELECT * FROM (SELECT * FROM matched UNION ALL SELECT * FROM near_matched)
+    WHERE coalesce(TRIP, '') <> coalesce(TRIP_OBS, '')""")
+reports_of("nearest", """SELECT * EXCLUDE (TRIPCD_OBS) FROM exact_differ
+    UNION ALL SELECT * EXCLUDE (coded) FROM nearest WHERE coded AND TRIP <> TRIP_OBS""")
+
 # Sector and zone.
 S["sectors"] = (
     "SELECT * FROM ("
@@ -266,8 +310,8 @@ S["reported_zones"] = zone_of("sectored", "LAT", "LON")
 S["located"] = f"""SELECT s.*, {zone_value("s.LAT", "s.LON", "z.zone")} AS ZONE FROM sectored s
     LEFT JOIN reported_zones z ON s.LAT = z.lat AND s.LON = z.lon"""
 S["unlocated"] = "SELECT * FROM located WHERE ZONE IS NULL OR ZONE < 1"
-S["observer_positions"] = """SELECT TRIP, min(LAT) AS OBS_LAT, min(LON) AS OBS_LON FROM observers
-    GROUP BY TRIP"""
+S["observer_positions"] = """SELECT DISTINCT ON (TRIP) TRIP, LAT AS OBS_LAT, LON AS OBS_LON
+    FROM observers ORDER BY TRIP, (LAT IS NULL OR LON IS NULL), LAT, LON"""
 S["wanted_days"] = """SELECT DISTINCT VR_NUMBER_FISHING, DATE_FISHED FROM unlocated
     WHERE TRIP IS NULL OR TRIP = ''"""
 S["mean_positions"] = """SELECT VR_NUMBER, "DATE", avg(LATITUDE) AS MEAN_LAT,
@@ -380,7 +424,7 @@ S["stratum_groups"] = """SELECT SECTOR, ZONE, Q, CASE WHEN SECTOR = 881 THEN 'ex
 S["with_group"] = f"""SELECT t.*, g."GROUP" FROM trips t LEFT JOIN stratum_groups g
     ON {matches("t", "g", STRATUM)}"""
 _ROW_KEY = ", ".join(
-    f"coalesce(CAST({c} AS VARCHAR), '~')" for c in sorted(TRIP_KEYS)
+    f"coalesce('=' || CAST({c} AS VARCHAR), '~')" for c in sorted(TRIP_KEYS)
 )
 S["grouped"] = f"""SELECT "GROUP", CASE WHEN COD = 0 THEN 0.001 ELSE COD END AS COD,
     CASE WHEN HAD = 0 THEN 0.001 ELSE HAD END AS HAD, OBS,
@@ -407,36 +451,52 @@ def multiplier(table: str, keys: str = "") -> str:
 G = '"GROUP"'
 
 
-def coefficients(stream: str) -> str:
+def coefficients(*stream: str) -> str:
+    """Of the stream whose name is the parts, each with its length."""
+    parts = [f"length(CAST({p} AS VARCHAR)) || ':' || CAST({p} AS VARCHAR)" for p in stream]
+    name = f"concat_ws('|', {', '.join(parts)})"
     return ", ".join(
-        f"('0x' || substr(md5({stream}), {1 + 8 * i}, 8))::BIGINT % {PRIME} AS a{i}"
-        for i in range(4)
+        f"('0x' || substr(md5({name}), {1 + 8 * i}, 8))::BIGINT % {PRIME} AS a{i}" for i in range(4)
     )
 
 
-def index(x: str, n: str) -> str:
+def uniform(x: str) -> str:
     u = "a3"
     for a in ("a2", "a1", "a0"):
-        u = f"(({u} * ({x} % {PRIME}) + {a}) % {PRIME})"
-    return f"CAST(floor(CAST({u} AS DOUBLE) / {PRIME}::DOUBLE * CAST({n} AS DOUBLE)) AS BIGINT)"
+        u = f"(({u} * (({x}) % {PRIME}) + {a}) % {PRIME})"
+    return f"CAST({u} AS DOUBLE)"
+
+
+def index(x: str, n: str) -> str:
+    return f"CAST(floor({uniform(x)} / {PRIME}::DOUBLE * CAST({n} AS DOUBLE)) AS BIGINT)"
+
+
+def wide_index(x: str, n: str) -> str:
+    p = f"{PRIME}::DOUBLE"
+    fine = f"({uniform(f'2 * {x}')} + {uniform(f'2 * {x} + 1')} / {p}) / {p}"
+    return f"least(CAST(floor({fine} * CAST({n} AS DOUBLE)) AS BIGINT), {n} - 1)"
 
 
 S["indexed"] = """SELECT *, row_number() OVER (
     PARTITION BY "GROUP" ORDER BY ROW_KEY, COD, HAD, OBS) - 1 AS IDX,
     count(*) OVER (PARTITION BY "GROUP") AS N FROM grouped"""
-S["reps"] = f"""SELECT "GROUP", N, CAST(rep AS INTEGER) AS REP,
-    {coefficients(f"concat_ws('|', {SEED}, {G}, rep)")}
-    FROM (SELECT "GROUP", count(*) AS N FROM grouped GROUP BY ALL), range({NBOOT}) AS r(rep)"""
+S["group_sizes"] = """SELECT "GROUP", count(*) AS N FROM grouped GROUP BY ALL"""
 
 
 def add_draws(size: int, tag: str = "") -> None:
     """Steps of the resample with blocks of the given size."""
     S[f"blocks{tag}"] = f"""SELECT "GROUP", IDX // {size} AS BLOCK, count(*) AS SIZE FROM indexed
     GROUP BY ALL"""
-    S[f"block_counts{tag}"] = f"""SELECT "GROUP", REP, {index("K", "N")} // {size} AS BLOCK,
-    count(*) AS DRAWS FROM (SELECT *, unnest(range(N)) AS K FROM reps) GROUP BY ALL"""
+    S[f"streams{tag}"] = f"""SELECT *, {coefficients(str(SEED), str(size), G, "REP", "chunk")}
+    FROM (SELECT "GROUP", N, CAST(rep AS INTEGER) AS REP,
+    unnest(range((N - 1) // {STREAM_DRAWS} + 1)) AS chunk FROM group_sizes, range({NBOOT}) r(rep))"""
+    S[f"block_counts{tag}"] = f"""SELECT "GROUP", REP, {wide_index("K", "N")} // {size} AS BLOCK,
+    count(*) AS DRAWS FROM (SELECT *, unnest(range(least({STREAM_DRAWS}, N - chunk * {STREAM_DRAWS})))
+        AS K FROM streams{tag} WHERE N > {size}) GROUP BY ALL
+    UNION ALL SELECT "GROUP", CAST(rep AS INTEGER), 0, N FROM group_sizes, range({NBOOT}) r(rep)
+    WHERE N <= {size}"""
     S[f"block_streams{tag}"] = f"""SELECT c.*, b.SIZE,
-    {coefficients(f"concat_ws('|', {SEED}, c.{G}, REP, c.BLOCK)")} FROM block_counts{tag} c
+    {coefficients(str(SEED), str(size), f"c.{G}", "REP", "c.BLOCK")} FROM block_counts{tag} c
     JOIN blocks{tag} b ON c."GROUP" = b."GROUP" AND c.BLOCK = b.BLOCK"""
     S[f"draws{tag}"] = f"""SELECT "GROUP", REP, BLOCK * {size} + {index("K", "SIZE")} AS IDX
     FROM (SELECT *, unnest(range(1, DRAWS + 1)) AS K FROM block_streams{tag})"""
@@ -448,7 +508,8 @@ def add_draws(size: int, tag: str = "") -> None:
 
 add_draws(BLOCK_SIZE)
 add_draws(SMALL_BLOCK, "_small")
-S["normal"] = "SELECT * FROM (" + values(normal_score_rows(NBOOT)) + ") AS t(K, Z)"
+_NORMAL = [(k, normal_quantile(k / NBOOT)) for k in range(NBOOT + 1)]
+S["normal"] = "SELECT * FROM (" + values(_NORMAL) + ") AS t(K, Z)"
 S["ranks"] = f"""SELECT "GROUP", REP, MULT, CAST(row_number() OVER (PARTITION BY "GROUP"
     ORDER BY MULT NULLS LAST, REP) AS INTEGER) AS ID, CASE WHEN NOT isnan(MULT) THEN (SELECT count(*)
     FROM replicates o WHERE o."GROUP" = r."GROUP" AND o.MULT <= r.MULT) END AS AT_MOST
@@ -457,9 +518,10 @@ S["scores"] = f"""SELECT *, CASE WHEN 2 * Z0 + ZALPHA > {SATURATION} THEN 'inf':
     ELSE 2 * Z0 + ZALPHA END AS CORRECTED FROM (SELECT r.*, ID / {NBOOT} AS ALPHA,
     AT_MOST / {NBOOT} AS OMEGA, a.Z AS ZALPHA, o.Z AS Z0 FROM ranks r JOIN normal a ON a.K = ID
     LEFT JOIN normal o ON o.K = AT_MOST)"""
+S["usable"] = """SELECT "GROUP", MULT, avg(MULT) OVER (PARTITION BY "GROUP") AS mean
+    FROM replicates WHERE MULT >= 0 AND NOT isnan(MULT)"""
 S["summary"] = """SELECT "GROUP", avg(MULT) AS MEANMULT, var_samp(MULT) AS VAR,
-    avg(MULT) - avg(MULT) AS BIAS FROM replicates WHERE MULT >= 0 AND NOT isnan(MULT)
-    GROUP BY "GROUP" """
+    avg(MULT - mean) AS BIAS FROM usable GROUP BY "GROUP" """
 S["probs"] = f"SELECT * FROM ({values([(p,) for p in PROBABILITIES])}) AS t(prob)"
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from haulback import schemas
-from haulback.functions.draws import coefficients, normal_score_rows, uniform_index
+from haulback.functions.draws import coefficients, normal_score_rows, uniform_index, wide_index
 from haulback.functions.missing import INF, at_least
 from haulback.operators.joins import null_safe_join
 from haulback.operators.lineage import cut_lineage
@@ -31,11 +31,13 @@ from haulback.operators.ratio import PARTS, multiplier
 EXCLUDED = "excluded"  # Fixed value: reserved group name.
 WEIGHT_FLOOR = 0.001  # Fixed value: stands in for a zero weight.
 NBOOT = 1000
-BLOCK_SIZE = 16384
+# Part of the draw, as the seed is: the rows of a replicate depend on both.
+BLOCK_SIZE = 512
 DRAWS_PER_ROW = 65536
-HASH_DIGITS = 3
-# Most trips whose blocks are sent to every task (17 bytes a trip); beyond it both sides shuffle.
-BROADCAST_TRIPS = 2_000_000
+# Rows of a group that are put in order together, at most about so many.
+ROWS_PER_BUCKET = 4096
+# Replicates that meet one copy of a block.
+REPS_PER_COPY = 128
 # The normal distribution function rounds to 1 above this score.
 SATURATION = 8.292
 PROBABILITIES = [k / 1000 for k in range(1, 991)]
@@ -64,7 +66,7 @@ def grouped_trips(trips: DataFrame, groups: DataFrame) -> DataFrame:
     """Trips that take part, with their group, an md5 of their identity, and floored weights."""
     measures = {"COD", "HAD", "POL", "OBS", "GROUP"}
     identity = [
-        F.coalesce(F.col(c).cast("string"), F.lit("~"))
+        F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~"))
         for c in sorted(trips.columns)
         if c not in measures
     ]
@@ -85,9 +87,14 @@ def number_rows(data: DataFrame) -> DataFrame:
     """IDX 0..n-1 within the group in order of ROW_KEY, and the group's N.
 
     A hash prefix cuts the group into buckets, so a group of any size is ordered in many tasks;
-    the offsets come from one count per bucket.
+    its length follows from the group's size, and the offsets come from one count per bucket.
     """
-    data = data.withColumn("BUCKET", F.substring("ROW_KEY", 1, HASH_DIGITS))
+    sizes = data.groupBy(F.col("GROUP").alias("_group")).agg(F.count(F.lit(1)).alias("_size"))
+    digits = F.ceil(F.log(16.0, F.col("_size") / ROWS_PER_BUCKET))
+    digits = F.greatest(F.lit(1), F.least(F.lit(32), digits)).cast("int")
+    data = data.join(sizes, F.col("GROUP") == F.col("_group"))
+    data = data.withColumn("BUCKET", F.substring(F.col("ROW_KEY"), F.lit(1), digits))
+    data = data.drop("_group", "_size")
     before = Window.partitionBy("GROUP").orderBy("BUCKET").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -154,8 +161,11 @@ def block_draws(
 
     With them go the coefficients of the block's own stream of draws.
 
-    Work is spread by (group, replicate, chunk of draws), so a large group fills many tasks.
+    Work is spread by (group, replicate, chunk of draws), so a large group fills many tasks.  Each
+    chunk has a stream of its own, so no stream is asked for more than ``DRAWS_PER_ROW`` draws.  In
+    a group of one block all draws fall in it, which needs no drawing.
     """
+    name = [F.lit(seed), F.lit(block_size), F.col("GROUP"), F.col("REP")]
     reps = sizes.withColumn("REP", F.explode(F.sequence(F.lit(0), F.lit(nboot - 1))))
     one_block = (
         reps.filter(F.col("N") <= block_size)
@@ -165,18 +175,17 @@ def block_draws(
     chunks = (
         reps.filter(F.col("N") > block_size)
         .withColumn("CHUNK", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .select("*", *coefficients(F.lit(seed), F.col("GROUP"), F.col("REP")))
+        .select("*", *coefficients(*name, F.col("CHUNK")))
         .repartition(_partitions(sizes), "GROUP", "REP", "CHUNK")
     )
-    start = F.col("CHUNK") * DRAWS_PER_ROW
-    end = F.least(start + DRAWS_PER_ROW, F.col("N")) - 1
+    end = F.least(F.lit(DRAWS_PER_ROW), F.col("N") - F.col("CHUNK") * DRAWS_PER_ROW) - 1
     drawn = (
-        chunks.withColumn("K", F.explode(F.sequence(start, end)))
-        .withColumn("IDX", uniform_index(F.col("K"), F.col("N")))
+        chunks.withColumn("K", F.explode(F.sequence(F.lit(0).cast("long"), end)))
+        .withColumn("IDX", wide_index(F.col("K"), F.col("N")))
         .groupBy("GROUP", "REP", F.floor(F.col("IDX") / block_size).alias("BLOCK"))
         .agg(F.count(F.lit(1)).alias("DRAWS"))
     )
-    streams = coefficients(F.lit(seed), F.col("GROUP"), F.col("REP"), F.col("BLOCK"))
+    streams = coefficients(*name, F.col("BLOCK"))
     return one_block.unionByName(drawn).select("*", *streams)
 
 
@@ -184,7 +193,7 @@ def replicate_sums(blocks: DataFrame, draws: DataFrame) -> DataFrame:
     """The four ratio sums of every replicate; null when an unknown row was drawn."""
     at = uniform_index(F.col("K"), F.size("FLAGS")).cast("int")
     picked = (
-        draws.join(blocks, ["GROUP", "BLOCK"])
+        draws.join(blocks, ["GROUP", "BLOCK", "COPY"])
         .withColumn("K", F.explode(F.sequence(F.lit(1).cast("long"), F.col("DRAWS"))))
         .withColumn("AT", at)
         .select(
@@ -214,12 +223,13 @@ def replicate_multipliers(
     sizes = data.groupBy("GROUP").agg(F.count(F.lit(1)).alias("N"))
     blocks = row_blocks(number_rows(data), block_size)
     draws = block_draws(sizes, nboot, seed, block_size)
-    if data.count() <= BROADCAST_TRIPS:
-        blocks = F.broadcast(blocks)
-        draws = draws.repartition(_partitions(data), "GROUP", "REP", "BLOCK")
-    else:
-        # Partitioned as the blocks are; one block's draws are the most a task must do at once.
-        draws = draws.repartition(_partitions(data), "GROUP", "BLOCK")
+    draws = draws.withColumn("COPY", F.floor(F.col("REP") / REPS_PER_COPY).cast("int"))
+    copies = F.sequence(F.lit(0), F.lit((nboot - 1) // REPS_PER_COPY))
+    blocks = blocks.withColumn("COPY", F.explode(copies))
+    # Both sides alike, so that the draws of a few replicates from one block are a task's least.
+    keys = ["GROUP", "BLOCK", "COPY"]
+    draws = draws.repartition(_partitions(data), *keys)
+    blocks = blocks.repartition(_partitions(data), *keys)
     sums = replicate_sums(blocks, draws)
     return sums.select("GROUP", "REP", multiplier().alias("MULT"))
 
@@ -273,15 +283,17 @@ def group_statistics(scored: DataFrame) -> DataFrame:
     def curve(score: str) -> Column:
         return F.percentile(F.when(~F.isnan(score), F.col(score)), probabilities)
 
-    stats = scored.groupBy("GROUP").agg(
+    # Each group's nboot replicates stand in one window already, so its mean joins them there.
+    mean = F.avg(usable).over(Window.partitionBy("GROUP"))
+    scored = scored.withColumn("APART", usable - mean)
+    return scored.groupBy("GROUP").agg(
         curve("PLAIN").alias("PERCS"),
         curve("CORRECTED").alias("BCPERCS"),
         F.avg(usable).alias("MEANMULT"),
         F.var_samp(usable).alias("VAR"),
         F.count(usable).alias("USED"),
+        F.avg("APART").alias("BIAS"),
     )
-    # The mean of the differences from the mean, which is zero unless the mean is infinite.
-    return stats.withColumn("BIAS", F.col("MEANMULT") - F.col("MEANMULT"))
 
 
 def percentile_curves(stats: DataFrame) -> DataFrame:
@@ -308,14 +320,15 @@ def bootstrap_multiplier(
     *,
     seed: int = 10,
     block_size: int = BLOCK_SIZE,
+    folder: str | None = None,
 ) -> Bootstrap:
     """Bootstrapped multipliers of every group, their summary and percentile curves.
 
-    The trips are read three times and the replicates serve three outputs, so both are written
-    once to the checkpoint folder.
+    ``block_size`` belongs to the draw as ``seed`` does: results are alike for both alike.  The trips are read three times and the replicates serve three outputs, so both are written
+    once, to ``folder`` or else to the session's ``spark.checkpoint.dir``.
     """
-    data = cut_lineage(grouped_trips(trips, groups))
-    replicates = cut_lineage(replicate_multipliers(data, nboot, seed, block_size))
+    data = cut_lineage(grouped_trips(trips, groups), folder)
+    replicates = cut_lineage(replicate_multipliers(data, nboot, seed, block_size), folder)
     stats = group_statistics(ranked_scores(replicates, nboot))
     summary = stats.filter("USED > 0").select("GROUP", "MEANMULT", "VAR", "BIAS")
     return Bootstrap(percentile_curves(stats), summary, replicates)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from haulback import schemas
-from haulback.functions.draws import PRIME
+from haulback.functions.draws import PRIME, coefficients, wide_index
 from haulback.operators import bootstrap as boot
 from haulback.operators.allocate import assign_discards, attach_groups_full
 from tests.frames import trips, values
@@ -29,15 +29,24 @@ def groups(spark, *rows):
 
 
 def stream(*name):
-    digest = hashlib.md5("|".join(map(str, name)).encode()).hexdigest()
+    digest = hashlib.md5("|".join(f"{len(str(x))}:{x}" for x in name).encode()).hexdigest()
     return [int(digest[8 * i : 8 * i + 8], 16) % PRIME for i in range(4)]
 
 
-def pick(coefficients, x, n):
+def uniform(coefficients, x):
     u = coefficients[3]
     for a in (coefficients[2], coefficients[1], coefficients[0]):
         u = (u * (x % PRIME) + a) % PRIME
-    return math.floor(u / PRIME * n)
+    return u
+
+
+def pick(coefficients, x, n):
+    return math.floor(uniform(coefficients, x) / PRIME * n)
+
+
+def pick_wide(coefficients, x, n):
+    high, low = uniform(coefficients, 2 * x), uniform(coefficients, 2 * x + 1)
+    return math.floor((high + low / PRIME) / PRIME * n)
 
 
 def brute_force(rows, nboot, seed, block_size):
@@ -54,13 +63,13 @@ def brute_force(rows, nboot, seed, block_size):
             if n <= block_size:
                 counts[0] = n
             else:
-                c = stream(seed, g, b)
                 for k in range(n):
-                    counts[pick(c, k, n) // block_size] += 1
+                    c = stream(seed, block_size, g, b, k // boot.DRAWS_PER_ROW)
+                    counts[pick_wide(c, k % boot.DRAWS_PER_ROW, n) // block_size] += 1
             sums = defaultdict(float)
             for block, draws in counts.items():
                 size = min(block_size, n - block * block_size)
-                c = stream(seed, g, b, block)
+                c = stream(seed, block_size, g, b, block)
                 for k in range(1, draws + 1):
                     r = members[block * block_size + pick(c, k, size)]
                     sums["COD", r.OBS] += r.COD
@@ -72,7 +81,8 @@ def brute_force(rows, nboot, seed, block_size):
 
 
 @pytest.mark.parametrize("block_size", [16, 8192])
-def test_replicates_match_brute_force(spark, block_size):
+def test_replicates_match_brute_force(spark, block_size, monkeypatch):
+    monkeypatch.setattr(boot, "DRAWS_PER_ROW", 50)  # so that a replicate has several streams
     data = make_trips(spark, 90).unionByName(make_trips(spark, 40, zone=2))
     table = groups(spark, (90, 1, 2, "A"), (90, 2, 2, "B"))
     grouped = boot.grouped_trips(data, table)
@@ -81,11 +91,27 @@ def test_replicates_match_brute_force(spark, block_size):
     assert {(r.GROUP, r.REP): pytest.approx(r.MULT) for r in got} == expected
 
 
-def test_replicates_do_not_depend_on_partitions_or_join(spark, monkeypatch):
+def test_draws_do_not_repeat_after_the_prime(spark):
+    """Draw k and draw k + P of a replicate are of different streams, and so differ."""
+    k = list(range(40))
+    rows = [(x // boot.DRAWS_PER_ROW, x % boot.DRAWS_PER_ROW) for p in (0, PRIME) for x in (i + p for i in k)]
+    df = spark.createDataFrame(rows, "CHUNK long, K long")
+    df = df.select("*", *coefficients(F.lit(1), F.col("CHUNK")))
+    got = [r.i for r in df.select(wide_index(F.col("K"), F.lit(10**15)).alias("i")).collect()]
+    assert got[:40] != got[40:] and len(set(got)) == 80 and max(got) > 2**40
+
+
+def test_stream_names_do_not_collide(spark):
+    df = spark.createDataFrame([("A", "5|3"), ("A|5", "3")], "a string, b string")
+    first, second = df.select(*coefficients(F.col("a"), F.col("b"))).collect()
+    assert tuple(first) != tuple(second)
+
+
+def test_replicates_do_not_depend_on_partitions(spark, monkeypatch):
     grouped = boot.grouped_trips(make_trips(spark, 200), groups(spark, (90, 1, 2, "A")))
     one = values(boot.replicate_multipliers(grouped.coalesce(1), 20, 3, 32), "REP", "MULT")
-    monkeypatch.setattr(boot, "BROADCAST_TRIPS", 0)
-    monkeypatch.setattr(boot, "DRAWS_PER_ROW", 17)
+    monkeypatch.setattr(boot, "REPS_PER_COPY", 3)
+    monkeypatch.setattr(boot, "ROWS_PER_BUCKET", 2)
     many = values(boot.replicate_multipliers(grouped.repartition(7), 20, 3, 32), "REP", "MULT")
     assert [b for b, _ in one] == [b for b, _ in many]
     assert [m for _, m in one] == pytest.approx([m for _, m in many])
@@ -107,7 +133,8 @@ def test_draws_are_uniform_over_rows(spark):
     data = spark.createDataFrame(rows, "`GROUP` string, COD double, HAD double, OBS string, ROW_KEY string")
     blocks = boot.row_blocks(boot.number_rows(data), block)
     sizes = data.groupBy("GROUP").agg(F.count(F.lit(1)).alias("N"))
-    sums = boot.replicate_sums(blocks, boot.block_draws(sizes, nboot, 1, block)).collect()
+    draws = boot.block_draws(sizes, nboot, 1, block).withColumn("COPY", F.lit(0))
+    sums = boot.replicate_sums(blocks.withColumn("COPY", F.lit(0)), draws).collect()
     assert len(sums) == nboot and {r.HAD_Y for r in sums} == {float(n)}
     counts = [r.COD_Y for r in sums]
     assert mean(counts) == pytest.approx(1.0, abs=0.08)
@@ -139,7 +166,7 @@ def test_curves_and_summary(spark):
     n, z = len(mults), NormalDist().inv_cdf
     stats = boot.group_statistics(boot.ranked_scores(replicate_table(spark, mults), n))
     row = stats.first()
-    assert row.MEANMULT == pytest.approx(0.55) and row.BIAS == 0.0
+    assert row.MEANMULT == pytest.approx(0.55) and row.BIAS == pytest.approx(0, abs=1e-12)
     assert row.VAR == pytest.approx(variance(k / 10 for k in range(1, 11)))
     curves = {round(r.prob, 3): r for r in boot.percentile_curves(stats).collect()}
     assert len(curves) == 990 and min(curves) == 0.001 and max(curves) == 0.99
