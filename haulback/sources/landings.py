@@ -18,6 +18,7 @@ from haulback.functions.codes import (
 )
 from haulback.functions.missing import known_sum, na_sum
 from haulback.operators.joins import null_safe_join
+from haulback.sources.stored import database_table, stored_table
 
 AREA_PREFIX = "5Z"
 
@@ -40,14 +41,22 @@ class LandingTables:
         return [f.name for f in fields(cls)]
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, path: str) -> LandingTables:
-        return cls(**{n: spark.read.parquet(f"{path}/{n}") for n in cls.names()})
+    def from_parquet(
+        cls, spark: SparkSession, path: str, *, date_format: str | None = None
+    ) -> LandingTables:
+        """Stored tables, checked against ``haulback.schemas``; see ``stored_table`` for text dates."""
+        return cls(
+            **{
+                n: stored_table(spark, f"{path}/{n}", getattr(schemas, n.upper()), date_format=date_format)
+                for n in cls.names()
+            }
+        )
 
     @classmethod
-    def from_jdbc(cls, spark: SparkSession, names: dict[str, str], **options) -> LandingTables:
-        """Tables of a database; ``names`` maps field to table, options go to the JDBC reader."""
-        reader = spark.read.format("jdbc").options(**options)
-        return cls(**{n: reader.option("dbtable", names[n]).load() for n in cls.names()})
+    def from_jdbc(cls, spark: SparkSession, tables: dict[str, str | dict], **options) -> LandingTables:
+        """Tables of a database; ``tables`` maps a field to its table or to reader options of its own
+        (see ``database_table``), ``options`` hold for all."""
+        return cls(**{n: database_table(spark, tables[n], options) for n in cls.names()})
 
 
 def year_range(date: Column, year: int | None) -> Column:
@@ -131,7 +140,8 @@ def landing_records_with_trip(tables: LandingTables, year: int | None = None) ->
 
 def with_trip_numbers(records: DataFrame, tables: LandingTables) -> DataFrame:
     """Records with their document's trip number; several numbers repeat the record."""
-    return null_safe_join(records, trip_numbers(tables), ["MON_DOC_ID"], salts=16)
+    salts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return null_safe_join(records, trip_numbers(tables), ["MON_DOC_ID"], salts=salts)
 
 
 # What is known of a species in a group of records.

@@ -13,7 +13,9 @@ from haulback.functions.codes import (
     OTTER_TRAWL,
     PANEL_FEATURE,
 )
+from haulback import schemas
 from haulback.sources.landings import AREA_PREFIX, year_range
+from haulback.sources.stored import database_table, stored_table
 
 
 @dataclass(frozen=True)
@@ -32,14 +34,22 @@ class ObserverTables:
         return [f.name for f in fields(cls)]
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, path: str) -> ObserverTables:
-        return cls(**{n: spark.read.parquet(f"{path}/{n}") for n in cls.names()})
+    def from_parquet(
+        cls, spark: SparkSession, path: str, *, date_format: str | None = None
+    ) -> ObserverTables:
+        """Stored tables, checked against ``haulback.schemas``; see ``stored_table`` for text dates."""
+        return cls(
+            **{
+                n: stored_table(spark, f"{path}/{n}", getattr(schemas, n.upper()), date_format=date_format)
+                for n in cls.names()
+            }
+        )
 
     @classmethod
-    def from_jdbc(cls, spark: SparkSession, names: dict[str, str], **options) -> ObserverTables:
-        """Tables of a database; ``names`` maps field to table, options go to the JDBC reader."""
-        reader = spark.read.format("jdbc").options(**options)
-        return cls(**{n: reader.option("dbtable", names[n]).load() for n in cls.names()})
+    def from_jdbc(cls, spark: SparkSession, tables: dict[str, str | dict], **options) -> ObserverTables:
+        """Tables of a database; ``tables`` maps a field to its table or to reader options of its own
+        (see ``database_table``), ``options`` hold for all."""
+        return cls(**{n: database_table(spark, tables[n], options) for n in cls.names()})
 
 
 def _sets(tables: ObserverTables) -> DataFrame:

@@ -17,7 +17,8 @@ def vessel_positions(mobile: DataFrame, fixed: DataFrame) -> DataFrame:
 def read_positions(spark: SparkSession, snapshot_dir: str, year: int) -> DataFrame:
     """Positions of a year from a snapshot; the year and class are partition directories."""
     return (
-        spark.read.parquet(f"{snapshot_dir}/positions")
+        spark.read.schema(f"{schemas.POSITIONS}, year int, gear_class string")
+        .parquet(f"{snapshot_dir}/positions")
         .filter(F.col("year") == year)
         .drop("year", "gear_class")
     )
@@ -38,9 +39,16 @@ def parse_day_month_year(text: Column, fmt: str = "dd-MM-yyyy") -> Column:
 
 
 def read_groups(spark: SparkSession, path: str) -> DataFrame:
-    """Stratum groups from the strata CSV with an added GROUP column."""
-    table = spark.read.schema(schemas.GROUPS_CSV).csv(path, header=True)
-    return table.select("SECTOR", "ZONE", "Q", "GROUP")
+    """Stratum groups from the strata CSV with an added GROUP column.
+
+    Columns are found by the names in the header, so their order and any others do not matter; one
+    that is absent, or a value of a stratum that is no integer, is an error.
+    """
+    table = spark.read.option("enforceSchema", False).csv(path, header=True)
+    absent = [c for c in [*schemas.STRATUM, "GROUP"] if c not in table.columns]
+    if absent:
+        raise ValueError(f"{path} lacks {', '.join(absent)}; it has {', '.join(table.columns)}")
+    return table.select(*[F.col(c).cast("int").alias(c) for c in schemas.STRATUM], "GROUP")
 
 
 def stratum_groups(table: DataFrame) -> DataFrame:

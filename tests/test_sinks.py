@@ -1,7 +1,12 @@
 import datetime as dt
+import os
+from types import SimpleNamespace
+
+import pytest
 
 from haulback import schemas
 from haulback.operators.coverage import coverage_summary
+from haulback.operators.lineage import clear_work, work_folder
 from haulback.operators.trips import grouping_table
 from haulback.plans.ready import as_is, ready_data, write_ready_data
 from haulback.sources.landings import LandingTables
@@ -9,6 +14,7 @@ from haulback.sources.observers import ObserverTables
 from haulback.sources.positions import parse_day_month_year, read_groups, read_positions
 from haulback.sources.reports import COVERAGE_SHEETS, write_coverage, write_reports
 from haulback.sources.snapshots import write_snapshot
+from haulback.sources.stored import stored_table
 from pyspark.sql import functions as F
 from tests.frames import trips, values, zoned
 from tests.test_plans import stored  # noqa: F401
@@ -86,3 +92,76 @@ def test_ready_data_from_stored_tables(spark, stored, tmp_path):  # noqa: F811
     assert ready.trips.columns == lazy.trips.columns and ready.trips.count() == 0
     paths = write_ready_data(ready, str(tmp_path), 2023, RUN_DATE)
     assert len(paths) == 10
+
+
+def test_strata_written_grouped_and_read(spark, tmp_path):
+    """The hand-over every user makes: write the strata, add GROUP, read them again."""
+    strata = grouping_table(
+        trips(spark, {"TRIP": "T", "ZONE": 5}, {"TRIP_ID": 2, "ZONE": 5}, {"ZONE": None, "Q": None})
+    )
+    grouped = strata.withColumn("GROUP", F.lit("A"))
+    expected = values(grouped, "SECTOR", "ZONE", "Q", "GROUP")
+    for name, table in (("plain", grouped), ("numbered", grouped.select(F.lit(1).alias("X"), "*"))):
+        path = write_reports({name: table}, str(tmp_path), 2023, RUN_DATE)[name]
+        assert values(read_groups(spark, path), "SECTOR", "ZONE", "Q", "GROUP") == expected
+    path = write_reports({"bare": strata}, str(tmp_path), 2023, RUN_DATE)["bare"]
+    with pytest.raises(ValueError, match="GROUP"):
+        read_groups(spark, path)
+
+
+def test_wrong_or_absent_columns_are_errors(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "x", "10-05-2023")], "a long, b string, d string").write.parquet(path)
+    assert stored_table(spark, path, "b string, a long").columns == ["b", "a"]
+    with pytest.raises(TypeError, match="a bigint, not int"):
+        stored_table(spark, path, "a int, b string")
+    with pytest.raises(TypeError, match="no c"):
+        stored_table(spark, path, "a long, c string")
+    dated = stored_table(spark, path, "a long, d date", date_format="dd-MM-yyyy")
+    assert values(dated, "a", "d") == [(1, dt.date(2023, 5, 10))]
+
+
+def test_database_options_by_table():
+    """What the reader is given; no database is asked."""
+
+    class Reader:
+        def format(self, name):
+            assert name == "jdbc"
+            return self
+
+        def options(self, **given):
+            self.given = given
+            return self
+
+        def load(self):
+            return self.given
+
+    class Session:
+        @property
+        def read(self):
+            return Reader()
+
+    split = {"dbtable": "R", "partitionColumn": "trip_id", "lowerBound": 0, "upperBound": 9, "numPartitions": 3}
+    names = {n: n.upper() for n in LandingTables.names()} | {"records": split}
+    got = LandingTables.from_jdbc(Session(), names, url="jdbc:x", fetchsize=10)
+    assert got.vessels == {"url": "jdbc:x", "fetchsize": 10, "dbtable": "VESSELS"}
+    assert got.records == {"url": "jdbc:x", "fetchsize": 10, **split}
+
+
+def test_folder_for_intermediate_tables(spark, stored, tmp_path):  # noqa: F811
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(unset)
+    assert work_folder(unset, "/shared") == "/shared"
+    folder = str(tmp_path)
+    edges = spark.createDataFrame([(1, 0, 0, 0.0, 0.0, 1.0, 1.0)], schemas.ZONE_EDGES)
+    ready = ready_data(
+        LandingTables.from_parquet(spark, stored),
+        ObserverTables.from_parquet(spark, stored),
+        spark.createDataFrame([], schemas.POSITIONS),
+        edges,
+        folder=folder,
+    )
+    assert ready.trips.count() == 0 and len(os.listdir(f"{folder}/haulback")) == 4
+    assert clear_work(spark, folder) and not os.path.exists(f"{folder}/haulback")
+    assert not clear_work(spark, folder)
