@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulback import schemas
@@ -184,24 +184,29 @@ def reconciled_landings(labelled: DataFrame) -> DataFrame:
 
 def trip_errors(labelled: DataFrame) -> DataFrame:
     """Matched landings whose trip number differs from the observer's, with a comment."""
-    blank = F.col("TRIP_LANDING") == ""
+    blank = _blank()
     keys = [c for c in schemas.LANDING_KEYS if c != "TRIP"]
     return labelled.filter(F.col("OUTCOME").isin(EXACT_DIFFER, NEAR_DIFFER)).select(
         *keys,
         "TRIP_LANDING",
         "TRIP_OBS",
-        F.when(blank, MISSING_COMMENT).when(~blank, INCORRECT_COMMENT).alias("COMMENT"),
+        F.when(blank, MISSING_COMMENT).otherwise(INCORRECT_COMMENT).alias("COMMENT"),
     )
 
 
+def _blank() -> Column:
+    """A missing number differs from the observer's only where it is taken for a blank one."""
+    return F.coalesce(F.col("TRIP_LANDING") == "", F.lit(True))
+
+
 def trip_reports(labelled: DataFrame, observers: DataFrame) -> TripReports:
     """Errors, missing and incorrect trip numbers, and the list for the observer programme."""
     errors = trip_errors(labelled)
     brief = errors.select(
         "VR_NUMBER_FISHING", "TRIP_ID", "LANDED_DATE", "TRIP_LANDING", "TRIP_OBS"
     )
-    missing = brief.filter(F.col("TRIP_LANDING") == "").distinct()
-    incorrect = brief.filter(F.col("TRIP_LANDING") != "").distinct()
+    missing = brief.filter(_blank()).distinct()
+    incorrect = brief.filter(~_blank()).distinct()
 
     trips = observers.select("VR_NUMBER_FISHING", "TRIP", "LANDED_DATE").distinct()
     suspects = incorrect.select(F.col("TRIP_OBS").alias("TRIP")).distinct()

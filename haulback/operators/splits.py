@@ -1,14 +1,17 @@
 """Splits that take records out of the estimate, each with its reason.
 
-Every split attaches its evidence with one join and then filters the labelled rows twice, so the
-kept and the removed side share the work.
+``label_landings`` brings the evidence of all splits to the landings with one join on the trip
+number and one grouping by trip; ``splits_of`` reads every kept and removed side off its columns.
+The functions of single splits do the same for a caller who needs one of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulback import schemas
@@ -18,7 +21,7 @@ from haulback.functions.codes import (
     TARGET_SPECIES_SOUGHT,
 )
 from haulback.functions.missing import count_where, ieee_divide, is_finite
-from haulback.operators.joins import Split, join_on_trip, null_safe_join
+from haulback.operators.joins import Split, join_on_trip, null_safe_join, repeat_rows
 
 __all__ = ["Split", "no_panel", "non_commercial", "observed_quarters", "species_sought"]
 
@@ -201,7 +204,11 @@ def fully_observed_strata(landings: DataFrame, on: Sequence[str] = schemas.STRAT
 
 
 def observed_quarters(landings: DataFrame) -> Split:
-    """Strata with 100% observer coverage leave."""
+    """Strata with 100% observer coverage leave.
+
+    A stratum is a sector, a zone and a quarter, of which the codes and the map allow a bounded
+    number, whatever the landings; Spark sends them to the landings if they are as few as that.
+    """
     full = fully_observed_strata(landings).withColumn("_full", F.lit(True))
     marked = null_safe_join(landings, full, schemas.STRATUM)
     return Split(
@@ -212,6 +219,136 @@ def observed_quarters(landings: DataFrame) -> Split:
     )
 
 
+def trip_evidence(observers: DataFrame, features: DataFrame, sought: DataFrame) -> DataFrame:
+    """One row per trip number: has it a non-commercial set, how many feature rows of either kind,
+    how many other species did it seek."""
+    trip, zero = F.col("TRIP"), F.lit(0).cast("long")
+    one = lambda test: F.when(test, 1).otherwise(0).cast("long")
+    bare = F.coalesce(F.col("GEARFCD_ID") == NO_PANEL_FEATURE, F.lit(False))
+    rows = (
+        observers.filter(F.col("SETCD_ID") == NON_COMMERCIAL_SET)
+        .select(trip, F.lit(1).cast("long").alias("n"), zero.alias("bare"), zero.alias("panel"), zero.alias("other"))
+        .unionByName(
+            features.select(trip, zero.alias("n"), one(bare).alias("bare"), one(~bare).alias("panel"), zero.alias("other"))
+        )
+        .unionByName(
+            other_species_trips(sought).select(
+                trip, zero.alias("n"), zero.alias("bare"), zero.alias("panel"), F.col("N_OTHER").cast("long").alias("other")
+            )
+        )
+    )
+    return rows.groupBy("TRIP").agg(
+        (F.sum("n") > 0).alias("NON_COMMERCIAL"),
+        F.sum("bare").alias("N_BARE"),
+        F.sum("panel").alias("N_PANEL"),
+        F.sum("other").cast("int").alias("N_OTHER"),
+    )
+
+
+def join_evidence(landings: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Landings with the evidence on their trip number; a missing number matches a missing one.
+
+    Most landings have a missing or a blank number, whose evidence is two rows at most: these are
+    sent to the landings, which so need not be shuffled.  Only numbered landings are.
+    """
+    plain = F.coalesce(F.col("TRIP") == "", F.lit(True))
+    renamed = evidence.withColumnRenamed("TRIP", "_TRIP")
+    few = F.broadcast(renamed.filter(F.coalesce(F.col("_TRIP") == "", F.lit(True))))
+    unnumbered = landings.filter(plain).join(few, F.col("TRIP").eqNullSafe(F.col("_TRIP")), "left")
+    numbered = landings.filter(~plain).join(
+        renamed.filter(F.col("_TRIP") != ""), F.col("TRIP") == F.col("_TRIP"), "left"
+    )
+    joined = unnumbered.unionByName(numbered).drop("_TRIP")
+    none = {"NON_COMMERCIAL": F.lit(False)} | {c: F.lit(0) for c in ("N_BARE", "N_PANEL", "N_OTHER")}
+    return joined.withColumns({c: F.coalesce(c, v) for c, v in none.items()})
+
+
+LABELS = [
+    "NON_COMMERCIAL", "N_BARE", "N_PANEL", "N_KEPT", "N_OTHER", "ALL_COD", "LAST_COD", "POLLOCK",
+    "TWIN",
+]
+
+
+def label_landings(zoned: DataFrame, evidence: DataFrame, *, exclusive: bool = False) -> DataFrame:
+    """Landings, in a zone or not, with all that the splits look at (``LABELS``).
+
+    N_KEPT is how often the panel split keeps the landing.  Direction is judged among the landings
+    it keeps, by trip; TWIN says that a directed record is reported with the landing's vessel, trip,
+    dates and weights.  All groupings hold the trip, so one shuffle by trip serves them.
+    """
+    joined = join_evidence(zoned, evidence)
+    left = F.when(F.col("N_BARE") + F.col("N_PANEL") == 0, 1).otherwise(F.col("N_PANEL"))
+    if exclusive:
+        left = F.when(F.col("N_BARE") == 0, 1).otherwise(0)
+    here = in_zone() & ~F.col("NON_COMMERCIAL")
+    joined = joined.withColumn("N_KEPT", F.when(here, left).otherwise(0).cast("long"))
+    judged = F.col("N_KEPT") > 0
+    flag = F.when(_cod_directed(), 1).otherwise(0)
+    set_id = F.col("LOG_EFRT_STD_INFO_ID")
+    finite = is_finite(_cod_ratio())
+    place = F.struct(set_id.isNull().alias("late"), set_id, flag.alias("flag"))
+    place = F.when(judged & finite, place)
+    trip = Window.partitionBy("TRIP_ID")
+    joined = joined.withColumns(
+        {
+            "_all": F.min(F.when(judged, flag)).over(trip) == 1,
+            "_first": F.min(place).over(trip).getField("flag"),
+            "_last": F.max(place).over(trip).getField("flag"),
+        }
+    )
+    turned = F.coalesce((F.col("_first") == 0) & (F.col("_last") == 1), F.lit(False))
+    joined = joined.withColumns(
+        {
+            "N_OTHER": F.when(judged, F.col("N_OTHER")).otherwise(0),
+            "ALL_COD": judged & F.coalesce("_all", F.lit(False)),
+            "LAST_COD": judged & turned & finite & _cod_directed(),
+            "POLLOCK": judged & pollock_directed(),
+        }
+    ).drop("_all", "_first", "_last")
+    # A directed record is reported with its weights as they are, or filled, by the rule it meets.
+    as_is = (F.col("N_OTHER") > 0) | F.col("ALL_COD")
+    filled = F.col("LAST_COD") | F.col("POLLOCK")
+    keys = [k for k in RECORD_KEYS if k not in schemas.WEIGHTS]
+    raw = Window.partitionBy(*RECORD_KEYS)
+    full = Window.partitionBy(*keys, *[_filled(c) for c in schemas.WEIGHTS])
+    whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in schemas.WEIGHTS])
+    twin = F.max(as_is).over(raw) | (whole & F.max(filled).over(full))
+    return joined.withColumn("TWIN", twin)
+
+
+def in_zone() -> Column:
+    return F.coalesce(F.col("ZONE") >= 1, F.lit(False))
+
+
+class LandingSplits(NamedTuple):
+    commercial: Split
+    panel: Split
+    directed: Split
+
+
+def splits_of(labelled: DataFrame, *, exclusive: bool = False, by_record: bool = False) -> LandingSplits:
+    """Both sides of the three splits, as filters of the labelled landings."""
+    zoned = labelled.filter(in_zone())
+    land = schemas.ZONED
+    odd = F.col("NON_COMMERCIAL")
+    commercial = Split(
+        zoned.filter(~odd).select(*land),
+        zoned.filter(odd).select(*land, F.lit(NON_COMMERCIAL_COMMENT).alias("COMMENT")).distinct(),
+    )
+    bare = F.least(F.col("N_BARE"), F.lit(1)) if exclusive else F.col("N_BARE")
+    without = zoned.filter(~odd).withColumn("_n", bare).filter("_n > 0")
+    kept = zoned.filter("N_KEPT > 0")
+    panel = Split(
+        repeat_rows(kept.select(*land, "N_KEPT"), "N_KEPT"),
+        repeat_rows(without.select(*land, "_n", F.lit(NO_PANEL_COMMENT).alias("COMMENT")), "_n"),
+    )
+    tagged = repeat_rows(kept.select(*land, *EVIDENCE, "TWIN", "N_KEPT"), "N_KEPT")
+    met = (F.col("N_OTHER") > 0) | F.col("ALL_COD") | F.col("LAST_COD") | F.col("POLLOCK")
+    gone = met if by_record else F.col("TWIN")
+    directed = Split(tagged.filter(~gone).select(*land), directed_records(tagged.drop("TWIN")))
+    return LandingSplits(commercial, panel, directed)
+
+
 def removed_records(*steps: Split) -> DataFrame:
     """Log of the removed records of all splits, in their order."""
     first, *rest = [split.removed.select(*schemas.ZONED, "COMMENT") for split in steps]

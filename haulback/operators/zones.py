@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,28 +31,23 @@ def zone_cells(edges: DataFrame, cell: float = CELL) -> DataFrame:
         F.greatest("y1", "y2").alias("ymax"),
     )
 
-    def grid(v: Column) -> Column:
-        return F.floor(v / cell).cast("int")
+    def grid(v: Column | str) -> Column:
+        return F.floor((F.col(v) if isinstance(v, str) else v) / cell).cast("int")
 
     boxes = edges.groupBy("zone_id").agg(
         grid(F.min(F.least("x1", "x2"))).alias("gx0"),
         grid(F.max("xmax")).alias("gx1"),
-        grid(F.min("ymin")).alias("gy0"),
-        grid(F.max("ymax")).alias("gy1"),
     )
-    cells = boxes.select(
-        "zone_id", F.explode(F.sequence("gx0", "gx1")).alias("gx"), "gy0", "gy1"
-    ).select("zone_id", "gx", F.explode(F.sequence("gy0", "gy1")).alias("gy"))
-    reach = (
-        (F.col("ymin") <= (F.col("gy") + 1) * cell)
-        & (F.col("ymax") >= F.col("gy") * cell)
-        & (F.col("xmax") >= F.col("gx") * cell)
-        & (F.col("y1") != F.col("y2"))
+    # An edge is listed in the grid rows it crosses, and there in the cells up to its eastern end.
+    rows = edges.filter(F.col("y1") != F.col("y2")).withColumn(
+        "gy", F.explode(F.sequence(grid("ymin"), grid("ymax")))
     )
     edge = F.struct("x1", "y1", "x2", "y2")
+    cells = rows.join(boxes.select("zone_id", "gx0", "gx1"), "zone_id").withColumn(
+        "gx", F.explode(F.sequence("gx0", F.least("gx1", grid("xmax"))))
+    )
     return (
-        cells.join(edges, "zone_id")
-        .filter(reach)
+        cells
         .groupBy("gx", "gy", "zone_id")
         .agg(F.collect_list(edge).alias("edges"))
         .groupBy("gx", "gy")
@@ -76,17 +69,29 @@ def _holds(edges: Column, x: Column, y: Column) -> Column:
 def locate(
     df: DataFrame, cells: DataFrame, lat: str, lon: str, zone: str, cell: float = CELL
 ) -> DataFrame:
-    """Add the zone of each point: lowest zone holding it, 0 outside, null for a missing point."""
+    """Add the zone of each point: lowest zone holding it, 0 outside, null for a missing point.
+
+    Missing points, which would all meet in one cell, do not take part in the join.  Where ``cells``
+    is a written table, Spark knows its size and sends it to the points if that is under the
+    session's threshold, so that these need no shuffle; beyond it, adaptive execution splits the
+    cells of many points.
+    """
     x, y = F.col(lon), F.col(lat)
+    some = x.isNotNull() & y.isNotNull()
+    located = _locate(df.filter(some), cells, x, y, zone, cell)
+    return located.unionByName(df.filter(~some).withColumn(zone, F.lit(None).cast("int")))
+
+
+def _locate(
+    df: DataFrame, cells: DataFrame, x: Column, y: Column, zone: str, cell: float
+) -> DataFrame:
     keys = {"_gx": F.floor(x / cell).cast("int"), "_gy": F.floor(y / cell).cast("int")}
     joined = df.withColumns(keys).join(
         cells, (F.col("_gx") == F.col("gx")) & (F.col("_gy") == F.col("gy")), "left"
     )
     inside = F.filter("zones", lambda z: _holds(z["edges"], x, y))
     found = F.coalesce(F.get(inside, F.lit(0))["zone_id"], F.lit(OUTSIDE))
-    return joined.select(
-        *df.columns, F.when(x.isNotNull() & y.isNotNull(), found).cast("int").alias(zone)
-    )
+    return joined.select(*df.columns, found.cast("int").alias(zone))
 
 
 def mean_positions(positions: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
@@ -109,9 +114,13 @@ def mean_positions(positions: DataFrame, wanted: DataFrame | None = None) -> Dat
 
 
 def observer_positions(observers: DataFrame) -> DataFrame:
-    """One position per observed trip: least latitude and longitude of its rows."""
-    return observers.groupBy("TRIP").agg(
-        F.min("LAT").alias("OBS_LAT"), F.min("LON").alias("OBS_LON")
+    """One position per observed trip: that of its row of least latitude, then longitude."""
+    known = F.col("LAT").isNotNull() & F.col("LON").isNotNull()
+    place = F.min(F.when(known, F.struct("LAT", "LON"))).alias("place")
+    return (
+        observers.groupBy("TRIP")
+        .agg(place)
+        .select("TRIP", F.col("place.LAT").alias("OBS_LAT"), F.col("place.LON").alias("OBS_LON"))
     )
 
 
@@ -144,6 +153,19 @@ def corrected_zones(
     return observed.select(*out).unionByName(rest.select(*out))
 
 
+def with_fallback(
+    located: DataFrame,
+    observers: DataFrame,
+    positions: DataFrame,
+    cells: DataFrame,
+    cell: float = CELL,
+) -> DataFrame:
+    """Landings located by their reported position, or else by a fallback."""
+    found = F.coalesce(F.col("ZONE") >= 1, F.lit(False))
+    corrected = corrected_zones(located.filter(~found), observers, positions, cells, cell)
+    return located.filter(found).unionByName(corrected)
+
+
 def assign_zone(
     landings: DataFrame,
     observers: DataFrame,
@@ -157,26 +179,10 @@ def assign_zone(
     """Landings with a zone, and those that have none even by a fallback position."""
     cells = zone_cells(edges, cell)
     located = locate(landings, cells, lat, lon, "ZONE", cell)
-    return split_by_zone(located, observers, positions, cells, cell)
+    return split_by_zone(with_fallback(located, observers, positions, cells, cell))
 
 
-def split_by_zone(
-    located: DataFrame,
-    observers: DataFrame,
-    positions: DataFrame,
-    cells: DataFrame,
-    cell: float = CELL,
-    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> Split:
-    """The split for landings already located by their reported position.
-
-    ``keep`` is applied to the corrected landings, which both sides read.
-    """
-    in_zone = F.coalesce(F.col("ZONE") >= 1, F.lit(False))
-    corrected = keep(corrected_zones(located.filter(~in_zone), observers, positions, cells, cell))
-    return Split(
-        kept=located.filter(in_zone).unionByName(corrected.filter(in_zone)).select(*schemas.ZONED),
-        removed=corrected.filter(~in_zone)
-        .select(*schemas.ZONED)
-        .withColumn("COMMENT", F.lit(NO_ZONE_COMMENT)),
-    )
+def split_by_zone(zoned: DataFrame) -> Split:
+    found = F.coalesce(F.col("ZONE") >= 1, F.lit(False))
+    removed = zoned.filter(~found).select(*schemas.ZONED, F.lit(NO_ZONE_COMMENT).alias("COMMENT"))
+    return Split(kept=zoned.filter(found).select(*schemas.ZONED), removed=removed)

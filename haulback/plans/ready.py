@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -12,16 +13,17 @@ from haulback.operators.coverage import CoverageSummary, coverage_summary
 from haulback.operators.lineage import cut_lineage
 from haulback.operators.reconcile import TripReports, reconcile, reconciled_landings, trip_reports
 from haulback.operators.sector import assign_sector
+from haulback.operators.joins import Split
 from haulback.operators.splits import (
-    no_panel,
-    non_commercial,
+    LandingSplits,
+    label_landings,
     observed_quarters,
     removed_records,
-    split_directed,
-    tag_directed,
+    splits_of,
+    trip_evidence,
 )
 from haulback.operators.trips import aggregate_trips, grouping_table
-from haulback.operators.zones import CELL, locate, split_by_zone, zone_cells
+from haulback.operators.zones import CELL, locate, split_by_zone, with_fallback, zone_cells
 from haulback.sources.landings import LandingTables, pull_landings
 from haulback.sources.observers import (
     ObserverTables,
@@ -39,6 +41,12 @@ class ReadyData(NamedTuple):
     reports: TripReports
     coverage: CoverageSummary
     landings: DataFrame
+    observers: DataFrame
+    reconciled: DataFrame
+    labelled: DataFrame
+    zoned: Split
+    splits: LandingSplits
+    quarters: Split
 
 
 def as_is(df: DataFrame) -> DataFrame:
@@ -61,15 +69,17 @@ def ready_data(
     by_record: bool = False,
     drop_fully_observed: bool = False,
     require_sector: bool = False,
-    keep: Callable[[DataFrame], DataFrame] = cut_lineage,
+    folder: str | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> ReadyData:
     """Reconcile, classify, locate, split and aggregate one year's landings.
 
-    ``keep`` is applied where one result feeds several tables: the observer trips, and the
-    landings as reconciled, located, corrected, split by panel, tagged and kept.  By default each
-    is written once to the checkpoint folder; ``as_is`` leaves the whole graph lazy, for a caller
-    who reads one table only.
+    Where one result feeds several tables it is written once, to ``folder`` or else to the session's
+    ``spark.checkpoint.dir``: the observer trips, the index of the zones, and the landings twice, as
+    reconciled and with the labels of all splits.  With ``keep=as_is`` the whole graph stays lazy,
+    for a caller who reads one table only.
     """
+    keep = keep or partial(cut_lineage, folder=folder)
     observers = keep(pull_observer_trips(observer_tables, year))
     labelled = keep(
         reconcile(
@@ -83,23 +93,35 @@ def ready_data(
     )
     reports = trip_reports(labelled, observers)
 
-    cells = zone_cells(zone_edges, cell)
+    cells = keep(zone_cells(zone_edges, cell))
     sectored = assign_sector(reconciled_landings(labelled))
-    located = keep(locate(sectored, cells, "LAT", "LON", "ZONE", cell))
-    zoned = split_by_zone(located, observers, positions, cells, cell, keep)
-    commercial = non_commercial(zoned.kept, observers)
-    panel = no_panel(commercial.kept, panel_features(observer_tables, year), exclusive=exclusive)
-    tagged = keep(tag_directed(keep(panel.kept), sought_sets(observer_tables, year)))
-    directed = split_directed(tagged, by_record=by_record)
-    landings = keep(directed.kept)
-    coverage = coverage_summary(landings)
+    located = locate(sectored, cells, "LAT", "LON", "ZONE", cell)
+    zoned = with_fallback(located, observers, positions, cells, cell)
+    features, sought = panel_features(observer_tables, year), sought_sets(observer_tables, year)
+    evidence = trip_evidence(observers, features, sought)
+    tagged = keep(label_landings(zoned, evidence, exclusive=exclusive))
+
+    by_zone = split_by_zone(tagged)
+    splits = splits_of(tagged, exclusive=exclusive, by_record=by_record)
+    landings = splits.directed.kept
     quarters = observed_quarters(landings)
-
-    removed = removed_records(zoned, commercial, panel, directed, quarters)
-
+    removed = removed_records(by_zone, *splits, quarters)
     kept = quarters.kept if drop_fully_observed else landings
     trips = aggregate_trips(kept, require_sector=require_sector)
-    return ReadyData(trips, grouping_table(trips), removed, reports, coverage, landings)
+    return ReadyData(
+        trips,
+        grouping_table(trips),
+        removed,
+        reports,
+        coverage_summary(landings),
+        landings,
+        observers,
+        labelled,
+        tagged,
+        by_zone,
+        splits,
+        quarters,
+    )
 
 
 def write_ready_data(

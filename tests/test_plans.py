@@ -1,6 +1,8 @@
 """The plans are the ones meant: equi-joins, pushed filters, no Python."""
 
 import datetime as dt
+import math
+import re
 
 import pytest
 
@@ -126,3 +128,47 @@ def test_missing_trip_numbers_are_spread(spark):
     text = plan(marked)
     assert "_salt" in text
     assert marked.count() == 400
+
+
+def test_one_landings_exchange_on_the_trip_number(spark, tmp_path):
+    """Missing and blank numbers do not travel; the numbered landings do once, then all by trip."""
+    for name, df in (("land", zoned(spark, {})), ("obs", observers(spark, {}))):
+        df.write.parquet(f"{tmp_path}/{name}")
+    land, obs = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("land", "obs"))
+    features = spark.createDataFrame([("T", 89)], "TRIP string, GEARFCD_ID int")
+    sought = spark.createDataFrame([("T", 16)], "TRIP string, SPECSCD_ID int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        labelled = splits.label_landings(land, splits.trip_evidence(obs, features, sought))
+        text = plan(labelled)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert_distributed(splits.splits_of(labelled).directed.removed)
+    # One shuffled join on the number (the evidence is folded by it before), one grouping by trip.
+    assert len(re.findall(r"Join \[TRIP#\d+\], \[_TRIP#\d+\]", text)) == 1
+    assert text.count("BroadcastHashJoin") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(TRIP_ID#", text)) == 1
+    assert "_salt" not in text
+
+
+def test_points_do_not_travel_to_a_small_map(spark, tmp_path):
+    edges = spark.createDataFrame([(1, 0, 0, 0.0, 0.0, 1.0, 1.0)], schemas.ZONE_EDGES)
+    zones.zone_cells(edges).write.parquet(f"{tmp_path}/cells")
+    zoned(spark, {}).drop("ZONE").write.parquet(f"{tmp_path}/land")
+    land, cells = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("land", "cells"))
+    text = plan(zones.locate(land, cells, "LAT", "LON", "ZONE"))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert text.count("isnotnull(LON") + text.count("isnotnull(LAT") > 0
+
+
+def test_a_detailed_polygon_makes_few_pairs(spark):
+    """4000 edges over 10 degrees: what the index lists, not every cell with every edge."""
+    n, pi = 4000, math.pi
+    ring = [(-65 + 5 * math.cos(2 * pi * i / n), 42 + 5 * math.sin(2 * pi * i / n)) for i in range(n)]
+    rows = [(1, 0, i, *ring[i], *ring[(i + 1) % n]) for i in range(n)]
+    edges = spark.createDataFrame(rows, schemas.ZONE_EDGES)
+    cells = zones.zone_cells(edges)
+    listed = cells.selectExpr("explode(zones) z").selectExpr("sum(size(z.edges))").first()[0]
+    assert listed < 250_000
+    points = spark.createDataFrame([(-65.0, 42.0), (-65.0, 36.9), (-61.5, 45.4), (-61.4, 45.6)], "x double, y double")
+    assert [r.z for r in zones.locate(points, cells, "y", "x", "z").collect()] == [1, 0, 1, 0]

@@ -1,7 +1,8 @@
+from haulback import schemas
 from haulback.operators import splits
 from haulback.operators.coverage import coverage_summary
 from haulback.operators.trips import aggregate_trips, grouping_table
-from tests.frames import observers, trips, values, zoned
+from tests.frames import DAY, observers, trips, values, zoned
 
 
 def features(spark, *rows):
@@ -154,3 +155,43 @@ def test_grouping_table_classes(spark):
     rows = stratum(1, 1, 4) + stratum(2, 1, 1) + stratum(3, 1, 9) + stratum(4, 2, 0)
     got = values(grouping_table(trips(spark, *rows)), "ZONE", "UNOBS", "OBS", "DGROUP")
     assert got == [(1, 4, 1, None), (2, 1, 1, 1), (3, 9, 1, 2)]
+
+
+def test_labels_give_the_same_splits(spark):
+    """The splits read off the labels are those of the single functions, one after the other."""
+    import random
+
+    draw = random.Random(7)
+    kg = lambda: draw.choice([None, 0.0, 1.0, 2.0, 5.0])
+    land = zoned(
+        spark,
+        *[
+            {
+                "TRIP_ID": draw.randrange(60), "TRIP": draw.choice([None, "", *"ABCDEFGH"]),
+                "LOG_EFRT_STD_INFO_ID": draw.choice([None, *range(5)]), "ZONE": draw.choice([None, 0, 1, 2]),
+                "100": kg(), "110": kg(), "170": kg(), "DATE_FISHED": draw.choice([None, DAY]),
+            }
+            for _ in range(400)
+        ],
+    )
+    obs = observers(spark, {"TRIP": "A", "SETCD_ID": 7}, {"TRIP": None, "SETCD_ID": 1}, {"TRIP": "B"})
+    features = spark.createDataFrame(
+        [("B", 89), ("B", 90), ("C", 90), ("C", 90), ("D", 89), ("", 90), ("", 90)], "TRIP string, GEARFCD_ID int"
+    )
+    sought = spark.createDataFrame(
+        [("E", 16), ("E", 17), ("E", 10), ("F", None), ("G", 11), (None, 16)], "TRIP string, SPECSCD_ID int"
+    )
+    evidence = splits.trip_evidence(obs, features, sought)
+    here = land.filter("ZONE >= 1")
+    for exclusive in (False, True):
+        labelled = splits.label_landings(land, evidence, exclusive=exclusive)
+        for by_record in (False, True):
+            got = splits.splits_of(labelled, exclusive=exclusive, by_record=by_record)
+            commercial = splits.non_commercial(here, obs)
+            panel = splits.no_panel(commercial.kept, features, exclusive=exclusive)
+            directed = splits.species_sought(panel.kept, sought, by_record=by_record)
+            for one, two in zip(got, (commercial, panel, directed), strict=True):
+                for side in ("kept", "removed"):
+                    a, b = getattr(one, side), getattr(two, side)
+                    cols = [c for c in (*schemas.ZONED, "COMMENT") if c in b.columns]
+                    assert values(a, *cols) == values(b, *cols), (exclusive, by_record, side)
