@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,40 +21,51 @@ from haulback.operators import allocate, bootstrap, coverage, ratio, splits  # n
 from haulback.operators import trips, zones  # noqa: E402
 from haulback.operators import reconcile as rec  # noqa: E402
 from haulback.operators.joins import Split  # noqa: E402
-from haulback.operators.lineage import cut_lineage  # noqa: E402
+from haulback.operators.lineage import cut_lineage, work_folder  # noqa: E402
 from haulback.operators.sector import assign_sector  # noqa: E402
-from haulback.operators.splits import removed_records  # noqa: E402
-from haulback.plans.ready import ReadyData, ready_data  # noqa: E402
+from haulback.plans.ready import ReadyData, ready_data, write_ready_data  # noqa: E402
 from haulback.session import tune  # noqa: E402
-from haulback.sources import landings, observers, positions, snapshots  # noqa: E402
+from haulback.sources import landings, observers, positions, reports, snapshots  # noqa: E402
+from haulback.sources.stored import stored_table  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 class Work:
-    """The estimate's steps over one set of tables, each built when first asked for.
-
-    The steps that many queries start from are written once to the session's work folder.
+    """The estimate over one set of tables, by the library's own chain; parts are built when first
+    asked for. The steps that many queries start from are written once to the session's work folder.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
         self.inputs = tables.inputs(tune(spark), sf_dir)
 
+    @cached_property
+    def ready(self) -> ReadyData:
+        i = self.inputs
+        return ready_data(i.landings, i.observers, self.positions, i.zone_edges)
+
     @cached_property
     def wide(self) -> DataFrame:
         return cut_lineage(landings.pull_landings(self.inputs.landings))
 
-    @cached_property
+    @property
     def observers(self) -> DataFrame:
-        return cut_lineage(observers.pull_observer_trips(self.inputs.observers))
+        return self.ready.observers
 
-    @cached_property
+    @property
     def labelled(self) -> DataFrame:
-        return cut_lineage(rec.reconcile(self.wide, self.observers))
+        return self.ready.reconciled
 
-    @cached_property
+    @property
     def reports(self) -> rec.TripReports:
-        return rec.trip_reports(self.labelled, self.observers)
+        return self.ready.reports
+
+    def variant(self, **keywords) -> DataFrame:
+        return rec.reconcile(self.wide, self.observers, **keywords)
+
+    def variant_reports(self, **keywords) -> rec.TripReports:
+        return rec.trip_reports(self.variant(**keywords), self.observers)
 
     @cached_property
     def positions(self) -> DataFrame:
@@ -65,28 +77,23 @@ class Work:
 
     @cached_property
     def cells(self) -> DataFrame:
-        return zones.zone_cells(self.inputs.zone_edges)
-
-    def _locate(self) -> DataFrame:
-        return zones.locate(self.sectored, self.cells, "LAT", "LON", "ZONE")
+        return cut_lineage(zones.zone_cells(self.inputs.zone_edges))
 
     @cached_property
     def located(self) -> DataFrame:
-        return cut_lineage(self._locate())
+        return cut_lineage(zones.locate(self.sectored, self.cells, "LAT", "LON", "ZONE"))
 
     @cached_property
     def unlocated(self) -> DataFrame:
         return self.located.filter(~F.coalesce(F.col("ZONE") >= 1, F.lit(False)))
 
-    @cached_property
+    @property
     def zoned(self) -> Split:
-        return zones.split_by_zone(
-            self.located, self.observers, self.positions, self.cells, keep=cut_lineage
-        )
+        return self.ready.zoned
 
-    @cached_property
+    @property
     def commercial(self) -> Split:
-        return splits.non_commercial(self.zoned.kept, self.observers)
+        return self.ready.splits.commercial
 
     @cached_property
     def panel_features(self) -> DataFrame:
@@ -96,34 +103,25 @@ class Work:
     def sought_sets(self) -> DataFrame:
         return observers.sought_sets(self.inputs.observers)
 
-    @cached_property
+    @property
     def panel(self) -> Split:
-        return splits.no_panel(self.commercial.kept, self.panel_features)
-
-    @cached_property
-    def panel_kept(self) -> DataFrame:
-        return cut_lineage(self.panel.kept)
+        return self.ready.splits.panel
 
-    @cached_property
-    def tagged(self) -> DataFrame:
-        return cut_lineage(splits.tag_directed(self.panel_kept, self.sought_sets))
-
-    @cached_property
+    @property
     def sought(self) -> Split:
-        kept, removed = splits.split_directed(self.tagged)
-        return Split(cut_lineage(kept), removed)
+        return self.ready.splits.directed
 
-    @cached_property
+    @property
     def trips(self) -> DataFrame:
-        return trips.aggregate_trips(self.sought.kept)
+        return self.ready.trips
 
     @cached_property
     def kept_trips(self) -> DataFrame:
         return cut_lineage(self.trips)
 
-    @cached_property
+    @property
     def strata(self) -> DataFrame:
-        return trips.grouping_table(self.kept_trips)
+        return self.ready.strata
 
     @cached_property
     def groups(self) -> DataFrame:
@@ -151,19 +149,17 @@ class Work:
     def totals(self) -> DataFrame:
         return allocate.vessel_totals(allocate.attach_groups_full(self.kept_trips, self.groups))
 
-    def removed(self) -> DataFrame:
-        return removed_records(
-            self.zoned, self.commercial, self.panel, self.sought, self.quarters
-        )
+    @property
+    def quarters(self) -> Split:
+        return self.ready.quarters
 
-    def ready_data(self) -> ReadyData:
-        """The library's own chain from raw tables, independent of the steps above."""
-        i = self.inputs
-        return ready_data(i.landings, i.observers, self.positions, i.zone_edges)
+    @property
+    def coverage(self) -> coverage.CoverageSummary:
+        return self.ready.coverage
 
-    @cached_property
-    def quarters(self) -> Split:
-        return splits.observed_quarters(self.sought.kept)
+    def folder(self) -> str:
+        """A new folder beside the session's written steps, for what a query writes and reads."""
+        return f"{work_folder(self.spark)}/haulback/{uuid.uuid4().hex}"
 
     def fleets(self) -> dict[str, DataFrame]:
         """Fleet trips by gear class: even vessels mobile, odd ones fixed."""
@@ -206,6 +202,64 @@ _CURVE = ("perc", "bcperc", "MEANMULT", "perc2", "bcperc2")
 _SCORES = ("MULT", "ZALPHA", "Z0", "CORRECTED")
 
 
+_POSITION_SNAPSHOT = f"""SELECT VR_NUMBER, POSITION_UTC_DATE, LATITUDE, LONGITUDE,
+    {sql.YEAR} AS year, CASE WHEN mobile THEN 'mobile' ELSE 'fixed' END AS gear_class
+    FROM positions p WHERE year("DATE") = {sql.YEAR} AND EXISTS (SELECT 1 FROM year_fleets f
+    WHERE f.VR_NUMBER_FISHING = p.VR_NUMBER
+    AND f.gear_class = CASE WHEN mobile THEN 'mobile' ELSE 'fixed' END)"""
+
+
+def _groups_from_csv(w: Work) -> DataFrame:
+    """The strata report with a GROUP column added, as its reader sees it."""
+    grouped = tables.group_table(w.strata)
+    path = reports.write_reports({"DataforGrouping": grouped}, w.folder(), sql.YEAR)
+    return positions.read_groups(w.spark, path["DataforGrouping"])
+
+
+def _landing_dates_from_text(w: Work) -> DataFrame:
+    """Landing records stored with day-month-year text, read with dates."""
+    path = w.folder()
+    text = F.date_format("landed_date", "dd-MM-yyyy HH:mm")
+    w.inputs.landings.records.withColumn("landed_date", text).write.parquet(f"{path}/records")
+    read = stored_table(w.spark, f"{path}/records", schemas.RECORDS, date_format="dd-MM-yyyy")
+    return read.select("trip_id", F.col("landed_date").cast("string").alias("landed_date")).distinct()
+
+
+def _snapshot(w: Work) -> str:
+    path = w.folder()
+    i = w.inputs
+    snapshots.write_snapshot(
+        path, sql.YEAR, i.landings, i.observers, w.fleets(), w.position_classes()
+    )
+    return path
+
+
+def _snapshot_round_trip(w: Work) -> DataFrame:
+    path = _snapshot(w)
+    parts = {
+        "records": landings.LandingTables.from_parquet(w.spark, f"{path}/landings").records,
+        "positions": positions.read_positions(w.spark, path, sql.YEAR),
+        "fleets": w.spark.read.parquet(f"{path}/fleets"),
+    }
+    rows = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("name"), "n") for k, df in parts.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _positions_from_snapshot(w: Work) -> DataFrame:
+    return positions.read_positions(w.spark, _snapshot(w), sql.YEAR)
+
+
+def _reports_round_trip(w: Work) -> DataFrame:
+    path = write_ready_data(w.ready, w.folder(), sql.YEAR)["DataforGrouping"]
+    types = "SECTOR int, ZONE int, Q int, UNOBS long, OBS long, COVERAGE double, DGROUP int"
+    return _rounded(w.spark.read.schema(types).csv(path, header=True, enforceSchema=False), "COVERAGE")
+
+
+def _coverage_round_trip(w: Work) -> DataFrame:
+    path = reports.write_coverage(w.coverage, w.folder(), fmt="parquet")["FLEET-ZONE-Q SUMMARY"]
+    return _rounded(w.spark.read.parquet(path), "COVERAGE")
+
+
 def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
     """Query name to its Spark form and its SQL over the oracle's steps."""
     year = sql.YEAR
@@ -259,12 +313,29 @@ def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
         ),
         "position_snapshot": (
             lambda w: snapshots.position_snapshot(w.fleets(), w.position_classes(), year),
-            f"""SELECT VR_NUMBER, POSITION_UTC_DATE, LATITUDE, LONGITUDE, {year} AS year,
-            CASE WHEN mobile THEN 'mobile' ELSE 'fixed' END AS gear_class FROM positions p
-            WHERE year("DATE") = {year} AND EXISTS (SELECT 1 FROM year_fleets f
-            WHERE f.VR_NUMBER_FISHING = p.VR_NUMBER
-            AND f.gear_class = CASE WHEN mobile THEN 'mobile' ELSE 'fixed' END)""",
+            _POSITION_SNAPSHOT,
+        ),
+        # Readers and sinks, written and read again.
+        "groups_from_csv": (_groups_from_csv, _select("stratum_groups")),
+        "landing_dates_from_text": (
+            _landing_dates_from_text,
+            "SELECT DISTINCT trip_id, CAST(landed_date AS VARCHAR) AS landed_date FROM records",
+        ),
+        "snapshot_round_trip": (
+            _snapshot_round_trip,
+            f"""SELECT 'records' AS name, count(*) AS n FROM records
+            UNION ALL SELECT 'positions', count(*) FROM ({_POSITION_SNAPSHOT})
+            UNION ALL SELECT 'fleets', count(*) FROM year_fleets""",
+        ),
+        "positions_from_snapshot": (
+            _positions_from_snapshot,
+            f"SELECT * EXCLUDE (year, gear_class) FROM ({_POSITION_SNAPSHOT})",
+        ),
+        "reports_round_trip": (
+            _reports_round_trip,
+            _select("strata", "COVERAGE"),
         ),
+        "coverage_round_trip": (_coverage_round_trip, _select("stratum_coverage", "COVERAGE")),
         # Reconciliation.
         "first_observer_rows": (
             lambda w: rec.first_observer_rows(w.observers),
@@ -304,26 +375,34 @@ def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
             _select("reconciled"),
         ),
         "reconciled_null_as_blank": (
-            lambda w: rec.reconciled_landings(
-                rec.reconcile(w.wide, w.observers, null_trip_as_blank=True)
-            ),
+            lambda w: rec.reconciled_landings(w.variant(null_trip_as_blank=True)),
             _select("as_blank"),
         ),
         "reconciled_replacing_incorrect": (
-            lambda w: rec.reconciled_landings(
-                rec.reconcile(w.wide, w.observers, replace_incorrect=True)
-            ),
+            lambda w: rec.reconciled_landings(w.variant(replace_incorrect=True)),
             _select("replaced"),
         ),
         "reconciled_nearest_only": (
-            lambda w: rec.reconciled_landings(
-                rec.reconcile(w.wide, w.observers, nearest_only=True)
-            ),
+            lambda w: rec.reconciled_landings(w.variant(nearest_only=True)),
             _select("nearest_reconciled"),
         ),
         "trip_errors": (lambda w: w.reports.errors, _select("errors")),
         "missing_trips": (lambda w: w.reports.missing, _select("missing")),
         "incorrect_trips": (lambda w: w.reports.incorrect, _select("incorrect")),
+        **{
+            f"{report}_{name}": (
+                lambda w, report=report, keyword=keyword: getattr(
+                    w.variant_reports(**{keyword: True}), report.removesuffix("_trips").removeprefix("trip_")
+                ),
+                _select(f"{report.removesuffix('_trips').removeprefix('trip_')}{step}"),
+            )
+            for report in ("trip_errors", "missing_trips")
+            for name, keyword, step in (
+                ("null_as_blank", "null_trip_as_blank", "_as_blank"),
+                ("replacing_incorrect", "replace_incorrect", ""),
+                ("nearest_only", "nearest_only", "_nearest"),
+            )
+        },
         "absent_trips": (
             lambda w: rec.not_in_observer_data(w.labelled),
             _select("absent_trips"),
@@ -331,7 +410,7 @@ def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
         "observer_check": (lambda w: w.reports.observer_check, _select("check_list")),
         # Sector and zone.
         "sectors": (lambda w: w.sectored, _select("sectored")),
-        "reported_zones": (lambda w: w._locate(), _select("located")),
+        "reported_zones": (lambda w: w.located, _select("located")),
         "mean_positions": (
             lambda w: zones.mean_positions(
                 w.positions, w.unlocated.filter("TRIP IS NULL OR TRIP = ''")
@@ -374,30 +453,30 @@ def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
         "directed_landings": (lambda w: w.sought.removed, _select("directed")),
         "sought_landings": (lambda w: w.sought.kept, _select("sought")),
         "sought_landings_by_record": (
-            lambda w: splits.split_directed(w.tagged, by_record=True).kept,
+            lambda w: splits.splits_of(w.ready.labelled, by_record=True).directed.kept,
             _select("sought_by_record"),
         ),
         # Coverage.
         "fleet_coverage": (
-            lambda w: _rounded(coverage.coverage_summary(w.sought.kept).fleet, "COVERAGE"),
+            lambda w: _rounded(w.coverage.fleet, "COVERAGE"),
             _select("fleet_coverage", "COVERAGE"),
         ),
         "mean_coverage": (
-            lambda w: coverage.coverage_summary(w.sought.kept).mean.withColumn(
+            lambda w: w.coverage.mean.withColumn(
                 "value", F.round("value", 6)
             ),
             "SELECT 'MEAN COVERAGE' AS desc, round(avg(COVERAGE), 6) AS value FROM fleet_coverage",
         ),
         "fleets_all_observed": (
-            lambda w: coverage.coverage_summary(w.sought.kept).fleet_all_observed,
+            lambda w: w.coverage.fleet_all_observed,
             "SELECT * FROM fleet_coverage WHERE COVERAGE = 1",
         ),
         "stratum_coverage": (
-            lambda w: _rounded(coverage.coverage_summary(w.sought.kept).stratum, "COVERAGE"),
+            lambda w: _rounded(w.coverage.stratum, "COVERAGE"),
             _select("stratum_coverage", "COVERAGE"),
         ),
         "strata_all_observed": (
-            lambda w: coverage.coverage_summary(w.sought.kept).stratum_all_observed,
+            lambda w: w.coverage.stratum_all_observed,
             "SELECT * FROM stratum_coverage WHERE COVERAGE = 1",
         ),
         "fully_observed_strata": (
@@ -412,10 +491,10 @@ def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
             lambda w: w.quarters.removed,
             _select("quarter_removed"),
         ),
-        "removed_records": (lambda w: w.removed(), _select("removed")),
+        "removed_records": (lambda w: w.ready.removed, _select("removed")),
         # Trips and multiplier.
         "ready_trips": (lambda w: w.trips, _select("trips")),
-        "ready_data_trips": (lambda w: w.ready_data().trips, _select("trips")),
+        "ready_data_trips": (lambda w: w.kept_trips, _select("trips")),
         "ready_trips_not_fully_observed": (
             lambda w: trips.aggregate_trips(
                 w.quarters.kept
@@ -460,8 +539,11 @@ def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
             _select("scores", *_SCORES, cols="* EXCLUDE (AT_MOST)"),
         ),
         "bootstrap_summary": (
-            lambda w: _rounded(w.boot.summary, "MEANMULT", "VAR"),
-            _select("summary", "MEANMULT", "VAR"),
+            lambda w: _rounded(w.boot.summary, "MEANMULT", "VAR").withColumn(
+                "BIAS", F.round("BIAS", 6) + 0.0
+            ),
+            """SELECT "GROUP", round(MEANMULT, 6) AS MEANMULT, round(VAR, 6) AS VAR,
+            round(BIAS, 6) + 0 AS BIAS FROM summary""",
         ),
         "bootstrap_curves": (
             lambda w: _rounded(w.boot.curves, *_CURVE, digits=4),
@@ -513,12 +595,15 @@ def _dates_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns(dates) if dates else df
 
 
-_STARTED: dict[tuple[str, str], Work] = {}
+_STARTED: dict[tuple[str, ...], Work] = {}
 
 
 def work(spark: SparkSession, sf_dir: str) -> Work:
-    """The steps of a session over a folder, shared by its queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The steps of a session over the files of a folder as they are now, shared by its queries."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{{{','.join(tables.SUPPLIED)}}}.parquet")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    state = [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in found]
+    key = (spark.sparkContext.applicationId, sf_dir, *state)
     if key not in _STARTED:
         _STARTED[key] = Work(spark, sf_dir)
     return _STARTED[key]
@@ -571,4 +656,5 @@ _WITHOUT_DATES = {
     "bootstrap_replicates", "bootstrap_replicates_in_small_blocks", "bootstrap_scores",
     "bootstrap_summary", "bootstrap_curves",
     "vessel_totals", "significant_totals", "vessel_discards", "vessel_discards_ignoring_empty",
+    "groups_from_csv", "landing_dates_from_text", "snapshot_round_trip", "reports_round_trip", "coverage_round_trip",
 }
