@@ -149,7 +149,8 @@ def _distinct_sets(
 def shingle_ranks(docs: DataFrame, settings: Settings) -> np.ndarray:
     """A sketch over all texts of how frequent shingles are: by counter 0 (usual) to 15 (very).
 
-    Its size is fixed: a slice of counters is summed in one task as the other tasks' slices come.
+    Its size is fixed: a slice of counters is summed in one task as the other tasks' slices come, and
+    a byte for each counter reaches the driver.
     """
     size, piece = settings.counters, min(settings.counters, 1 << 16)
 
@@ -174,16 +175,28 @@ def shingle_ranks(docs: DataFrame, settings: Settings) -> np.ndarray:
                 more = np.frombuffer(part, np.uint8)
                 sums[i] = sums.get(i, np.zeros(piece, np.int64)) + more
         if sums:
-            columns = [pa.array(list(sums)), pa.array([s.tobytes() for s in sums.values()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["slice", "counts"])
+            parts = pa.array([s.tobytes() for s in sums.values()], pa.binary())
+            total = pa.array([int(s.sum()) for s in sums.values()])
+            columns = [pa.array(list(sums)), parts, total]
+            yield pa.RecordBatch.from_arrays(columns, names=["slice", "counts", "total"])
 
     schema = "slice long, counts binary"
-    found = docs.mapInArrow(sketch, schema).repartition("slice").mapInArrow(add, schema).collect()
-    counts = np.zeros(size, np.int64)
-    for r in found:  # as many rows as slices
-        counts[r.slice * piece : (r.slice + 1) * piece] = np.frombuffer(r.counts, np.int64)
-    usual = max(8.0, 2 * counts.mean())
-    return np.clip(np.floor(np.log2(np.maximum(counts, 1) / usual)) + 1, 0, 15).astype(np.uint8)
+    sketched = docs.mapInArrow(sketch, schema).repartition("slice")
+    summed = cut_lineage(sketched.mapInArrow(add, schema + ", total long"))
+    usual = max(8.0, 2 * (summed.agg(F.sum("total")).first()[0] or 0) / size)
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts = np.maximum(np.frombuffer(part, np.int64), 1)
+                ranks = np.clip(np.floor(np.log2(counts / usual)) + 1, 0, 15).astype(np.uint8)
+                columns = [pa.array([i]), pa.array([ranks.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["slice", "counts"])
+
+    out = np.zeros(size, np.uint8)
+    for r in summed.select("slice", "counts").mapInArrow(rank, schema).collect():  # one row a slice
+        out[r.slice * piece : (r.slice + 1) * piece] = np.frombuffer(r.counts, np.uint8)
+    return out
 
 
 def _counter(ids: np.ndarray, size: int) -> np.ndarray:
