@@ -95,6 +95,7 @@ def quality_sql(limits: quality.Limits = quality.Limits()) -> str:
     members = {k: v.replace("'", "''") for k, v in quality.CLASSES.items()}
     kinds = ", ".join(f"length(regexp_replace({body}, '[^{m}]+', '', 'g'))" for m in members.values())
     listed = ", ".join(f"'{w}'" for w in quality.COMMON_WORDS)
+    symbols = "length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))"
     n = len(quality.CLASSES)
     half = lambda p, q: f"CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END"
     distance = f"sqrt(greatest(0, sum({half('p', 'q')} + {half('q', 'p')}) / 2))"
@@ -116,22 +117,28 @@ def quality_sql(limits: quality.Limits = quality.Limits()) -> str:
         CROSS JOIN (SELECT unnest([{listed}]) AS c) LEFT JOIN found USING (doc_id, c)
         UNION ALL SELECT doc_id, lang, '', len(words) - coalesce(
             (SELECT sum(v) FROM found f WHERE f.doc_id = base.doc_id), 0), len(words) FROM base),
-    langs AS (SELECT lang FROM base WHERE lang IS NOT NULL GROUP BY lang
-        HAVING sum(chars) >= {limits.min_reference_chars} AND sum(len(words)) > 0),
-    ref_classes AS (SELECT lang, c, sum(v) / sum(total) AS q FROM classes
-        WHERE lang IN (SELECT lang FROM langs) GROUP BY lang, c),
-    ref_common AS (SELECT lang, c, sum(v) / sum(total) AS q FROM common
-        WHERE lang IN (SELECT lang FROM langs) GROUP BY lang, c),
+    sound AS (SELECT doc_id, lang, chars, len(words) AS n FROM base LEFT JOIN repeats USING (doc_id)
+        WHERE lang IS NOT NULL AND len(words) >= {limits.min_words}
+        AND 100 * coalesce(n_repeat, 0) <= {limits.max_repeat_pct} * len(words)
+        AND 100 * {symbols} <= {limits.max_reference_symbols_pct} * chars),
+    langs AS (SELECT lang FROM sound GROUP BY lang
+        HAVING sum(chars) >= {limits.min_reference_chars} AND sum(n) > 0),
+    ref_classes AS (SELECT c.lang, c.c, sum(c.v) / sum(c.total) AS q FROM classes c
+        JOIN sound USING (doc_id) WHERE c.lang IN (SELECT lang FROM langs) GROUP BY c.lang, c.c),
+    ref_common AS (SELECT c.lang, c.c, sum(c.v) / sum(c.total) AS q FROM common c
+        JOIN sound USING (doc_id) WHERE c.lang IN (SELECT lang FROM langs) GROUP BY c.lang, c.c),
     class_far AS (SELECT doc_id, {distance} AS d FROM (SELECT doc_id, v / total AS p, q
         FROM classes JOIN ref_classes USING (lang, c) WHERE total > 0) GROUP BY doc_id),
     word_far AS (SELECT doc_id, {distance} AS d FROM (SELECT doc_id, v / total AS p, q
         FROM common JOIN ref_common USING (lang, c) WHERE total >= {limits.min_compared_words})
         GROUP BY doc_id),
     counts AS (SELECT doc_id, len(words) AS n_words, chars - kinds[{n}] AS word_chars,
-        length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+        {symbols} AS n_symbols,
         coalesce(n_dup, 0) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words,
-        coalesce(c.d > {limits.max_class_distance}, false) OR coalesce(w.d > {limits.max_word_distance}
-            + {limits.word_distance_room} / sqrt(len(words)), false) AS far
+        coalesce(c.d > {limits.max_class_distance}
+            + {limits.class_distance_room} / sqrt(nullif(len(words), 0)), false)
+        OR coalesce(w.d > {limits.max_word_distance}
+            + {limits.word_distance_room} / sqrt(nullif(len(words), 0)), false) AS far
         FROM base LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)
         LEFT JOIN class_far c USING (doc_id) LEFT JOIN word_far w USING (doc_id))
     SELECT * EXCLUDE (far), n_words < {limits.min_words}

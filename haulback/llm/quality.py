@@ -31,13 +31,17 @@ class Limits(NamedTuple):
 
     min_words: int = 50
     max_repeat_pct: int = 50
+    #: Texts with more symbols than this share of their characters are left out of references.
+    max_reference_symbols_pct: int = 1
     #: A language gives a reference from this many characters on.
     min_reference_chars: int = 10_000
     #: Common words are compared from this many words on.
     min_compared_words: int = 80
-    max_class_distance: float = 0.28
-    #: A sample of n words lies about 1 / sqrt(n) off its source, so short texts get more room.
-    max_word_distance: float = 0.20
+    #: A sample of n words lies about 1 / sqrt(n) off its source, so short texts get more room: that
+    #: many times 1 / sqrt(n). Texts of several languages lie off each of them by their common words.
+    max_class_distance: float = 0.17
+    class_distance_room: float = 0.4
+    max_word_distance: float = 0.30
     word_distance_room: float = 1.2
 
 
@@ -117,16 +121,25 @@ def word_features(docs: DataFrame, key: str = "doc_id", text: str = "text", lang
     return counted.withColumn("common", F.concat("common", F.array(others)))
 
 
+def base_fails(limits: Limits) -> Column:
+    return (F.col("n_words") < limits.min_words) | (
+        100 * F.col("n_repeat_words") > limits.max_repeat_pct * F.col("n_words")
+    )
+
+
 def references(features: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """One row for each language: its histograms as shares, summed over all of its texts.
+    """One row for each language: its histograms as shares, summed over all of its sound texts.
 
-    Texts without a language and languages of few characters give none.
+    A sound text passes the base rules and holds few symbols, so that what is to be found does not
+    blur what it is compared with. Texts without a language and languages of few characters give none.
     """
     sizes = {"classes": len(CLASSES) + 1, "common": len(COMMON_WORDS) + 1}
     names = [(name, i) for name, n in sizes.items() for i in range(n)]
     sums = [F.sum(F.get(F.col(name), F.lit(i))).alias(f"{name}{i}") for name, i in names]
     size = [F.sum("chars").alias("all_chars"), F.sum("n_words").alias("all_words")]
-    summed = features.filter(F.col("lang").isNotNull()).groupBy("lang").agg(*sums, *size)
+    sound = F.col("lang").isNotNull() & ~base_fails(limits)
+    sound &= 100 * F.col("n_symbols") <= limits.max_reference_symbols_pct * F.col("chars")
+    summed = features.filter(sound).groupBy("lang").agg(*sums, *size)
     share = lambda name, of: F.array(
         *(F.col(f"{name}{i}") / F.col(of) for i in range(sizes[name]))
     )
@@ -168,18 +181,16 @@ def judge_quality(
         {"classes": share("classes", "chars"), "common": share("common", "n_words")}
     )
     compared = shares.join(references(features, limits), F.col("lang") == F.col("ref_lang"), "left")
-    base_failed = (F.col("n_words") < limits.min_words) | (
-        100 * F.col("n_repeat_words") > limits.max_repeat_pct * F.col("n_words")
-    )
     enough = F.col("n_words") >= limits.min_compared_words
     judged = compared.select(
         F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed.alias("base_failed"),
+        base_fails(limits).alias("base_failed"),
         js_distance(F.col("classes"), F.col("ref_classes")).alias("class_distance"),
         F.when(enough, js_distance(F.col("common"), F.col("ref_common"))).alias("word_distance"),
     )
-    most = limits.max_word_distance + limits.word_distance_room / F.sqrt(F.col("n_words"))
-    far = F.coalesce(F.col("class_distance") > limits.max_class_distance, F.lit(False)) | F.coalesce(
-        F.col("word_distance") > most, F.lit(False)
+    beyond = lambda d, most, room: F.coalesce(
+        F.col(d) > most + room / F.sqrt(F.col("n_words")), F.lit(False)
     )
+    far = beyond("class_distance", limits.max_class_distance, limits.class_distance_room)
+    far |= beyond("word_distance", limits.max_word_distance, limits.word_distance_room)
     return judged.withColumn("kept", ~F.col("base_failed") & ~far)

@@ -45,7 +45,9 @@ def distance(p, q):
 def brute_quality(docs):
     sums = {}
     for _, text, lang in docs:
-        if lang is not None:
+        n, _, symbols, _, repeat = test_quality.counts(text)
+        sound = n >= LIMITS.min_words and 100 * repeat <= LIMITS.max_repeat_pct * n
+        if lang is not None and sound and 100 * symbols <= LIMITS.max_reference_symbols_pct * len(text):
             have = sums.setdefault(lang, [[0] * 6, [0] * (len(COMMON_WORDS) + 1)])
             for total, new in zip(have, histograms(text or ""), strict=True):
                 total[:] = [a + b for a, b in zip(total, new, strict=True)]
@@ -55,7 +57,8 @@ def brute_quality(docs):
         fails = n < LIMITS.min_words or 100 * repeat > LIMITS.max_repeat_pct * n
         if not fails and lang in sums and sum(sums[lang][0]) >= LIMITS.min_reference_chars:
             classes, common = histograms(text)
-            fails = distance(classes, sums[lang][0]) > LIMITS.max_class_distance
+            most = LIMITS.max_class_distance + LIMITS.class_distance_room / math.sqrt(n)
+            fails = distance(classes, sums[lang][0]) > most
             if n >= LIMITS.min_compared_words:
                 most = LIMITS.max_word_distance + LIMITS.word_distance_room / math.sqrt(n)
                 fails |= distance(common, sums[lang][1]) > most
