@@ -32,7 +32,9 @@ CHUNK = 1 << 15
 _SHORT = 48
 _NEVER = np.int64(1) << np.int64(60)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_MEMO = 1 << 22
+_MEMO = 1 << 20
+#: Bytes of text encoded at a time, which bounds a task's memory.
+_BLOCK = 1 << 19
 _CACHED_WORDS = 1 << 19
 
 
@@ -205,7 +207,7 @@ class Encoder:
 
     def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         keys = a * np.int64(1 << 20) + b
-        at = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
+        at = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
         new = np.flatnonzero(self.memo_keys[at] != keys)
         out = self.memo[at]
         if len(new):
@@ -496,28 +498,28 @@ def boundary_states(matrices: list[Matrix]) -> list[State]:
     return out
 
 
-def trace_chunk(e: Encoder, c: Chunk, before: State, after: State) -> list[int]:
-    """Ids of the pieces that start in the chunk, with the pieces at its cuts known."""
+def trace_edges(e: Encoder, c: Chunk, before: State, after: State) -> tuple[list[int], str, list[int]]:
+    """With the pieces at a chunk's cuts known: ids of those that start before its first break, the
+    text from there to its last break, whose words are encoded by themselves, and ids after it."""
     broken = _breaks(e.v, c)
     start, end = c.begin + before.start, c.end + after.end
-    if broken:
-        parts = []
-        head = c.text[start : broken[0]]
-        parts.append((start, e.path(head, e.chain(head)[0], len(head))))
-        if broken[1] > broken[0]:
-            middle = c.text[broken[0] : broken[1]]
-            codes = np.frombuffer(middle.encode("utf-32-le"), np.uint32)
-            ids, _ = e.encode(codes, np.array([0, len(codes)]))
-        else:
-            ids = np.zeros(0, np.int32)
-        tail = c.text[broken[1] : end]
-        path = e.path(tail, e.chain(tail)[0], len(tail))
-        own = [(at, p) for at, p in parts[0][1] if start + at >= c.begin]
-        out = e.ids_of(head, own) + ids.tolist()
-        return out + e.ids_of(tail, [(at, p) for at, p in path if broken[1] + at < c.end])
-    text = c.text[start:end]
-    path = e.path(text, e.chain(text)[0], len(text))
-    return e.ids_of(text, [(at, p) for at, p in path if c.begin <= start + at < c.end])
+    first, last = broken or (end, end)
+    head, tail = c.text[start:first], c.text[last:end]
+    path = [(start + at, p) for at, p in e.path(head, e.chain(head)[0], len(head))]
+    path += [(last + at, p) for at, p in e.path(tail, e.chain(tail)[0], len(tail))]
+    own = [(at, p) for at, p in path if c.begin <= at < c.end]
+    parts = [e.ids_of(c.text, [x for x in own if (x[0] < first) == early]) for early in (True, False)]
+    return parts[0], c.text[first:last], parts[1]
+
+
+def trace_chunks(e: Encoder, found: list[tuple[Chunk, State, State]]) -> list[list[int]]:
+    """Ids of the pieces that start in each chunk; the words of all chunks are encoded together."""
+    edges = [trace_edges(e, *x) for x in found]
+    middles = [middle for _, middle, _ in edges]
+    codes = np.frombuffer("".join(middles).encode("utf-32-le"), np.uint32)
+    ids, counts = e.encode(codes, np.cumsum([0, *map(len, middles)]))
+    inner = np.split(ids, np.cumsum(counts)[:-1]) if middles else []
+    return [head + x.tolist() + tail for (head, _, tail), x in zip(edges, inner, strict=True)]
 
 
 def cut_document(text: str, longest: int, chunk: int) -> list[Chunk]:
@@ -536,7 +538,7 @@ def _encode_short(docs: DataFrame, key: str, text: str, vocabulary) -> DataFrame
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary.value)
-        for rows, data, offsets in text_blocks(batches, text):
+        for rows, data, offsets in text_blocks(batches, text, _BLOCK):
             ids, counts = encoder.encode(*_code_rows(data, offsets))
             yield pa.RecordBatch.from_arrays([rows.column(0), list_array(ids, counts, pa.int32())], names=schema.names)
 
@@ -590,9 +592,8 @@ def _encode_giant(docs: DataFrame, key: str, text: str, vocabulary, chunk: int)
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary.value)
         for batch in batches:
-            found = [
-                trace_chunk(encoder, _chunk_of(r), State(*r["before"]), State(*r["after"])) for r in batch.to_pylist()
-            ]
+            rows = [(_chunk_of(r), State(*r["before"]), State(*r["after"])) for r in batch.to_pylist()]
+            found = [ids for i in range(0, len(rows), 16) for ids in trace_chunks(encoder, rows[i : i + 16])]
             columns = [batch.column("row"), batch.column("key"), batch.column("k"), pa.array(found, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "k", "ids"])
 

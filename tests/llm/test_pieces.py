@@ -40,9 +40,7 @@ def test_chunks_as_the_library(library, size):
         chunks = pieces.cut_document(text, v.longest, size)
         matrices = [pieces.transfer(encoder, c) for c in chunks]
         states = pieces.boundary_states(matrices)
-        ids = []
-        for c, before, after in zip(chunks, states, states[1:], strict=False):
-            ids += pieces.trace_chunk(encoder, c, before, after)
+        ids = sum(pieces.trace_chunks(encoder, list(zip(chunks, states, states[1:], strict=False))), [])
         assert ids == library.encode(text), text
         # Products may be taken in any grouping.
         while len(matrices) > 1:
