@@ -25,7 +25,7 @@ OTHER = frozenset("nav header footer aside form button select menu dialog head l
 CONTENT = frozenset(("article", "main"))
 #: Words of a class, id or role that mark an element as something other than the article.
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
+    "ad ads advert adverts alert advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "contentinfo consent cookie cookies copyright disqus footer gdpr header masthead menu menubar "
     "nav navbar navigation newsletter notice notices pagination popup promo promoted related "
     "replies search share sharing sidebar signup social sponsor sponsored subscribe toolbar "
@@ -42,7 +42,6 @@ _TOKEN = re.compile(
     re.I | re.S,
 )
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*\"?true|display\s*:\s*none", re.I)
 
 
 class Block(NamedTuple):
@@ -62,13 +61,15 @@ class Weights(NamedTuple):
 
 
 def is_other(name: str, attributes: str) -> bool:
-    """Does the element hold menus, adverts, notices or the like, by its name or its marks?"""
+    """Does the element hold menus, adverts, notices or the like, by its name or its marks?
+
+    A mark is the first or last part of a class, id or role, as in ``sidebar-left`` or
+    ``post-comments``, unless that names a wrapper, as in ``content-with-sidebar``.
+    """
     if name in OTHER:
         return True
     if name in CONTENT and not attributes or name in ("html", "body"):
         return False
-    if _HIDDEN.search(attributes):
-        return True
     for m in _NAMED.finditer(attributes):
         for label in m[1].strip("\"'").lower().split():
             parts = [p for p in re.split(r"[-_]+", label) if p]
