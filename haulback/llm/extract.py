@@ -23,6 +23,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = "script|style|title|textarea|noscript|template|iframe|object|svg|math|canvas|audio|video|xmp"
 OTHER = frozenset("nav header footer aside form button select menu dialog head label fieldset".split())
 CONTENT = frozenset(("article", "main"))
+#: Elements whose end tag may be left out, with those that end them; what holds such elements.
+SIBLINGS = {
+    "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "tbody", "tfoot"),
+    "td": ("td", "th", "tr"), "th": ("td", "th", "tr"),
+}
+HOLDERS = frozenset("ul ol menu dl table".split())
 #: Words of a class, id or role that mark an element as something other than the article.
 MARKS = frozenset(
     "ad ads advert adverts alert advertisement advertising banner breadcrumb breadcrumbs comment comments "
@@ -110,13 +116,19 @@ def page_blocks(html: str) -> tuple[list[Block], bool]:
             continue
         closing, attributes = bool(m[2] or m[5]), m[4] or m[7] or ""
         if skipped:
-            if skipped == "p" and (name in BLOCKS and not (closing and name == "p")):
+            if skipped == "p" and name in BLOCKS and not (closing and name == "p"):
                 skipped = ""  # a paragraph ends where the next block starts
+            elif skipped in SIBLINGS and depth == 1 and (
+                name in SIBLINGS[skipped] if not closing else name in HOLDERS
+            ):
+                skipped = ""  # an item ends where the next one starts, or with its list or table
             else:
-                if name == skipped:
+                if name == skipped and skipped not in SIBLINGS or skipped in SIBLINGS and name in HOLDERS:
                     depth += -1 if closing else 1
-                    if not depth:
-                        skipped = ""
+                elif closing and name == skipped and depth == 1:
+                    depth = 0
+                if not depth:
+                    skipped = ""
                 continue
         tags += 1
         if name == "br":

@@ -36,6 +36,17 @@ def test_article_alone(spark):
     assert extract_text(pages.limit(0), weights).count() == 0
 
 
+def test_items_without_end_tags():
+    weights = Weights({}, 0.01)
+    listed = "<ul><li class='share'>x<ul><li>y<li>z</ul><li>kept<li class=ad>gone</ul><p>text"
+    assert main_text(listed, weights) == "kept\ntext"
+    table = "<table><tr><td class='sidebar'>x<table><tr><td>y</table><td>kept<tr class=ad><td>z</table>end"
+    assert main_text(table, weights) == "kept\nend"
+    assert main_text("<p class=notice>gone<p>kept<div class=ad>gone<div>gone</div></div>kept too", weights) == (
+        "kept\nkept too"
+    )
+
+
 def test_best_run_against_all_runs():
     import itertools
 
