@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulback.llm.shipping import ship_package
+
 # Fixed values of HTML: elements that start a block, that have no end tag, whose content is no text
 # of the page, and that hold something other than the page's article.
 BLOCKS = frozenset(
@@ -182,6 +184,7 @@ def learn_weights(pages: DataFrame, html: str = "html", key: str = "page_id", sa
     Learned from about ``sample`` pages, picked by a hash of their key. A tag costs a hundredth of
     what the weakest word of an article brings, over the tags that an article's block has.
     """
+    ship_package(pages.sparkSession)
     total = pages.count()
     share = min(1.0, sample / max(total, 1))
     picked = pages.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20)))
@@ -227,6 +230,7 @@ def extract_text(
     one without a run of blocks that scores above 0, has the empty text. Repeated rows, null keys
     and null urls are kept as they are; an empty table gives no rows; other columns are not read.
     """
+    ship_package(pages.sparkSession)
     schema = pages.select(key, url).schema.add("text", "string").add("n_chars", "long")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

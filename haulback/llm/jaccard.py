@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from haulback.llm.arrays import LOWER, distinct, gram_hashes, list_array, text_blocks, word_bounds, word_hashes
 from haulback.llm.components import connected_components
+from haulback.llm.shipping import ship_package
 from haulback.operators.lineage import cut_lineage
 
 _ID_BITS = 52
@@ -360,6 +361,7 @@ def near_duplicates(
     result, and a null key links with nothing and has a null component. An empty table gives no
     rows; other columns are not read.
     """
+    ship_package(docs.sparkSession)
     named = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     described = cut_lineage(document_sets(named, settings))
     named = named.filter("doc IS NOT NULL")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulback.llm.arrays import text_blocks
+from haulback.llm.shipping import ship_package
 
 UNDETERMINED = "und"
 
@@ -160,6 +161,7 @@ def fit_language_model(
     it. Rows without a language, and texts without a letter, teach nothing; without any other row
     the model has no language. Repeated rows count as often as they stand there.
     """
+    ship_package(docs.sparkSession)
     labelled = docs.filter(F.col(lang).isNotNull()).select(key, text, lang)
     counted = _document_counts(labelled, text, lang, settings).collect()  # features and languages
     by_lang = {r.lang: r.n for r in counted if r.bucket == -1}
@@ -214,6 +216,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, key: str = "doc_id",
     with a score of 0. Of equally likely languages the first by name wins. Whole texts are read;
     repeated rows and null keys are predicted each by itself; an empty table gives no rows.
     """
+    ship_package(docs.sparkSession)
     schema = docs.select(key).schema.add("lang_pred", "string").add("score", "double")
     names = np.array([*model.langs, UNDETERMINED], object)
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from haulback.llm.arrays import _BASE, list_array, text_blocks
+from haulback.llm.shipping import ship_package
 from haulback.operators.lineage import cut_lineage
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -621,6 +622,7 @@ def encode(
     and null keys are encoded each by itself; an empty table gives no rows; other columns are not
     read. The vocabulary, a file of fixed size, is read by the driver and sent to the tasks.
     """
+    ship_package(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model))
     giant = F.coalesce(F.length(text) > chunk, F.lit(False))
     docs = docs.select(key, text)
@@ -634,6 +636,7 @@ def decode(encoded: DataFrame, model: str = MODEL, ids: str = "ids", text: str =
     The result of ``encode`` decodes to the text itself, except that a U+2581 in it, which pieces
     write for a space, becomes a space. Bytes that are no UTF-8 become U+FFFD.
     """
+    ship_package(encoded.sparkSession)
     vocabulary = encoded.sparkSession.sparkContext.broadcast(load_vocabulary(model))
     encoded = encoded.drop(text)
     schema = encoded.select("*").schema.add(text, "string")

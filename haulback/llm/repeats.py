@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulback.llm.arrays import _BASE, _mixed, gram_hashes, signed, sliding_min, text_blocks
+from haulback.llm.shipping import ship_package
 from haulback.operators.lineage import cut_lineage
 
 #: Symbols of a block of texts, as 64-bit values, and the bounds of the texts in them.
@@ -262,6 +263,7 @@ def remove_repeats(
     ``output`` gets a block's bytes, their offsets, the removed symbols and the texts' bounds in
     them. A text without a key takes no part in the comparison and keeps all.
     """
+    ship_package(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     marks = cut_lineage(first_contexts(docs, scheme))
     later = cut_lineage(resolve(with_marks(docs.filter("doc IS NOT NULL"), marks), scheme))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulback.llm.arrays import LOWER, row_of, signed, text_blocks, word_bounds, word_hashes
+from haulback.llm.shipping import ship_package
 from haulback.operators.lineage import cut_lineage
 
 WORD, GRAM = 0, 1
@@ -293,6 +294,7 @@ class LanguageModel(NamedTuple):
 
 def train(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> LanguageModel:
     """Count all texts; a null text is empty and counts as its end alone."""
+    ship_package(docs.sparkSession)
     counted = cut_lineage(count_corpus(docs, text, settings))
     words = counted.filter(F.col("kind") == WORD).select(F.col("code").alias("word"), "n")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -312,6 +314,7 @@ def score(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str
     the counts, and no one of them is frequent enough to make a join uneven.
     """
     spark, s = docs.sparkSession, model.settings
+    ship_package(spark)
     head = model.words.filter(F.col("n") >= max(1.0, s.head_share * model.train_tokens)).toArrow()
     order = np.argsort(head.column("word").to_numpy())
     frequent = [head.column(c).to_numpy()[order] for c in ("word", "n")]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulback.llm.arrays import LOWER, gram_hashes, text_blocks, word_bounds, word_hashes
+from haulback.llm.shipping import ship_package
 
 
 class Settings(NamedTuple):
@@ -159,6 +160,7 @@ def find_contaminated(
     a task is sent does not grow with their number.
     """
     s = settings
+    ship_package(docs.sparkSession)
     named = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).filter("doc IS NOT NULL AND text IS NOT NULL")
     asked = items.select(F.col(item_key).alias("item"), F.col(item_text).alias("body")).filter(
         "item IS NOT NULL AND body IS NOT NULL"

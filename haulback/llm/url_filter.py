@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulback.llm.shipping import ship_package
+
 ALLOW, BLOCK = "allow", "block"
 
 # The terms that condemn a url alone, and those that do so together.
@@ -70,6 +72,7 @@ def term_counts(
     One pass of an automaton over the lower-cased url finds all terms; a hit counts if neither the
     character before nor the one after it is a letter or digit. A null url has no terms.
     """
+    ship_package(df.sparkSession)
     kinds = {t.lower(): "soft" for t in soft} | {t.lower(): "strict" for t in strict}
     fields = [*df.drop("n_strict", "n_soft").schema.fields]
     schema = df.select(*(f.name for f in fields)).schema
