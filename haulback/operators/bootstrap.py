@@ -324,8 +324,9 @@ def bootstrap_multiplier(
 ) -> Bootstrap:
     """Bootstrapped multipliers of every group, their summary and percentile curves.
 
-    ``block_size`` belongs to the draw as ``seed`` does: results are alike for both alike.  The trips are read three times and the replicates serve three outputs, so both are written
-    once, to ``folder`` or else to the session's ``spark.checkpoint.dir``.
+    ``block_size`` belongs to the draw as ``seed`` does: results are alike for both alike.  The trips
+    are read three times and the replicates serve three outputs, so both are written once, to
+    ``folder`` or else to the session's ``spark.checkpoint.dir``.
     """
     data = cut_lineage(grouped_trips(trips, groups), folder)
     replicates = cut_lineage(replicate_multipliers(data, nboot, seed, block_size), folder)
