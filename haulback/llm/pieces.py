@@ -267,7 +267,9 @@ class Encoder:
                 out.append(piece)
         return out
 
-    def _short_words(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _short_words(
+        self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, sums: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of words of similar lengths, side by side, and how many each word has."""
         v, n, most = self.v, len(starts), int(lengths.max())
         order = np.argsort(-lengths, kind="stable")
@@ -299,7 +301,9 @@ class Encoder:
         last, ends = last[back], ends[back]
         return last[ends], ends.sum(1)
 
-    def _new_words(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _new_words(
+        self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, sums: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words, one after the other, and how many each has."""
         parts, owners = [], []
         for low, high in ((0, 4), (4, 8), (8, 16), (16, _SHORT)):
@@ -561,12 +565,12 @@ def _encode_giant(docs: DataFrame, key: str, text: str, vocabulary, chunk: int)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, row, body in zip(*(batch.column(i) for i in range(3)), strict=True):
-                for k, c in enumerate(cut_document(body.as_py(), longest, chunk)):
-                    values = [name, row, k, c.text, c.begin, c.end, c.opens, c.closes]
-                    kinds = [name.type, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
-                    arrays = [pa.array([x.as_py() if isinstance(x, pa.Scalar) else x], t) for x, t in zip(values, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["key", *_CHUNK_COLUMNS])
+            for i, body in enumerate(batch.column(2)):
+                chunks = cut_document(body.as_py(), longest, chunk)
+                same = pa.array([i] * len(chunks))
+                columns = [batch.column(0).take(same), batch.column(1).take(same), pa.array(range(len(chunks)))]
+                columns += [pa.array(column) for column in zip(*chunks, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", *_CHUNK_COLUMNS])
 
     def transfers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary.value)

@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from haulback.llm.arrays import BYTE_VALUES, gram_hashes, text_blocks
 from haulback.llm.repeats import COMPARE, MANY, Scheme, later_windows, marked_anchors, own_windows, remove_repeats
