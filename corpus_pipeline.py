@@ -44,11 +44,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         (F.col("n_removed") == F.col("n_words")).alias("nothing_left"),
     )
     joined = docs.join(changed, docs["doc_id"] == changed["changed_id"], "left")
-    left = joined.filter(~F.coalesce("nothing_left", F.lit(False)))
-    new = F.col("kept_text").isNotNull()
+    left = joined.filter(~F.coalesce(changed["nothing_left"], F.lit(False)))
+    new = changed["kept_text"]
     values = {
-        "text": F.when(new, F.col("kept_text")).otherwise(F.col("text")),
-        "n_chars": F.when(new, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")),
+        "text": F.coalesce(new, docs["text"]),
+        "n_chars": F.coalesce(F.length(new).cast("long"), docs["n_chars"]),
     }
     return left.select(*(values[c].alias(c) if c in values else docs[c] for c in docs.columns))
 

@@ -106,8 +106,9 @@ def test_run_against_brute_force(spark, tmp_path):
         docs.append((i, f"{text(i, 60)} {' '.join(body[9:] + body[:9])} {text(i + 50, 30)}", None))
     docs += [(38, "too short", "en"), (39, None, "en"), (40, "spam " * 200, "en"), (41, "", None)]
     docs += [(42, " ".join(w + "&&&" for w in text(42, 100).split()), "en"), (43, text(43, 3000), "fr")]
-    rows = [(k, t, lang, "src", None if t is None else len(t), "clash") for k, t, lang in docs]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, component_id string"
+    rows = [(k, t, lang, "src", None if t is None else len(t), *["clash"] * 3) for k, t, lang in docs]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, "
+    schema += "component_id string, kept_text string, other_id string"
     folder = str(tmp_path)
     spark.createDataFrame([*rows, rows[2]], schema).repartition(3).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
