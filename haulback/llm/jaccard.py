@@ -159,7 +159,7 @@ def shingle_ranks(docs: DataFrame, settings: Settings) -> np.ndarray:
         counts, seen = np.zeros(size, np.int64), []
         for rows, data, offsets in text_blocks(batches, "text"):
             seen.append(_counter(_distinct_sets(rows, data, offsets, settings.words)[0], size))
-            if sum(map(len, seen)) > size:
+            if 4 * sum(map(len, seen)) > size:
                 counts += np.bincount(np.concatenate(seen), minlength=size)
                 seen = []
         if seen:

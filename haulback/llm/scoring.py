@@ -21,7 +21,7 @@ BITS, END, START = 9, 256, 257
 SYMBOLS = 257
 #: The word key of the end that closes every text.
 END_WORD = -1
-_MERGE = 1 << 21
+_MERGE = 1 << 20
 
 
 class Settings(NamedTuple):
@@ -326,7 +326,7 @@ def score(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts, automaton = parts.value
         seen = TaskContext.get().partitionId() << 33
-        for rows, data, offsets in text_blocks(batches, text, 4 << 20):
+        for rows, data, offsets in text_blocks(batches, text, 2 << 20):
             n = rows.num_rows
             low = LOWER[data]
             starts, stops = word_bounds(low, offsets)

@@ -55,6 +55,6 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, key: str = "doc_id",
     rows; other columns are not read.
     """
     gram = max(1, window // 4)
-    scheme = Scheme(_words, window, gram, block_bytes=2 << 20)
+    scheme = Scheme(_words, window, gram, block_bytes=1 << 20)
     schema = "n_words long, n_removed long, kept string"
     return remove_repeats(docs, scheme, _check_boundaries, _kept_texts, schema, key, text)
