@@ -35,7 +35,7 @@ _NEVER = np.int64(1) << np.int64(60)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _MEMO = 1 << 20
 #: Bytes of text encoded at a time, which bounds a task's memory.
-_BLOCK = 1 << 19
+_BLOCK = 1 << 20
 _CACHED_WORDS = 1 << 19
 
 
@@ -46,6 +46,7 @@ class Vocabulary(NamedTuple):
     ids: dict[str, int]
     keys: np.ndarray
     key_ids: np.ndarray
+    slots: np.ndarray
     hashes: np.ndarray
     lengths: np.ndarray
     ranks: np.ndarray
@@ -88,6 +89,36 @@ def _merge_tree(text: str, ranks: dict[str, int]) -> list[tuple[str, str, int]]:
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
 
+_SLOT_BITS = 20
+_NONE, _SHARED = -1, -2
+
+
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    """Which key is in each slot; some slots are shared by several."""
+    out = np.full(1 << _SLOT_BITS, _NONE, np.int32)
+    at = _slot(keys)
+    out[at] = np.arange(len(keys))
+    out[np.flatnonzero(np.bincount(at, minlength=len(out)) > 1)] = _SHARED
+    return out
+
+
+def find_pieces(v: Vocabulary, hashes: np.ndarray) -> np.ndarray:
+    """The id of the piece with each hash, or -1."""
+    at = v.slots[_slot(hashes)]
+    shared = np.flatnonzero(at == _SHARED)
+    if len(shared):
+        at[shared] = np.minimum(np.searchsorted(v.keys, hashes[shared]), len(v.keys) - 1)
+    some = np.flatnonzero(at >= 0)
+    out = np.full(len(hashes), -1, np.int64)
+    some = some[v.keys[at[some]] == hashes[some]]
+    out[some] = v.key_ids[at[some]]
+    return out
+
+
 @cache
 def load_vocabulary(model: str = MODEL) -> Vocabulary:
     """The pieces of a SentencePiece model of merges, read where the driver runs."""
@@ -143,7 +174,7 @@ def load_vocabulary(model: str = MODEL) -> Vocabulary:
     named = np.array(sorted(ids.values()))
     named = named[np.argsort(hashes[named])]
     return Vocabulary(
-        ids, hashes[named], named, hashes, lengths, rank, stable,
+        ids, hashes[named], named, _slots(hashes[named]), hashes, lengths, rank, stable,
         spines[1], at[1], spines[0], at[0], byte_ids,
         np.frombuffer(b"".join(surface), np.uint8), np.cumsum([0, *map(len, surface)]), longest,
     )
@@ -165,8 +196,8 @@ def stay_apart(v: Vocabulary, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         x, y = v.right[a[live], i], v.left[b[live], j]
         next_x, next_y = v.right_times[a[live], i + 1], v.left_times[b[live], j + 1]
         joined = v.hashes[x] + v.hashes[y] * _power(v.lengths[x])
-        at = np.minimum(np.searchsorted(v.keys, joined), len(v.keys) - 1)
-        due = np.where(v.keys[at] == joined, v.ranks[v.key_ids[at]], _NEVER)
+        piece = find_pieces(v, joined)
+        due = np.where(piece >= 0, v.ranks[piece], _NEVER)
         clash = (due < next_x) & (due <= next_y)
         done = ~clash & (next_x == _NEVER) & (next_y == _NEVER)
         out[live[done]] = True
@@ -282,10 +313,10 @@ class Encoder:
             for size in range(1, min(end, v.longest) + 1):
                 at = starts[:lanes] + end - size
                 part = (sums[at + size] - sums[at]) * inverse[at]
-                slot = np.minimum(np.searchsorted(v.keys, part), len(v.keys) - 1)
-                hit = np.flatnonzero((v.keys[slot] == part) & (last[:lanes, end - size] >= 0))
+                piece = find_pieces(v, part)
+                hit = np.flatnonzero((piece >= 0) & (last[:lanes, end - size] >= 0))
                 if len(hit):
-                    piece = v.key_ids[slot[hit]]
+                    piece = piece[hit]
                     ok = self.apart(last[hit, end - size], piece)
                     last[hit[ok], end] = piece[ok]
         alone = np.flatnonzero((lengths == 1) & (last[:, 1] < 0))
