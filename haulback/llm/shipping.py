@@ -12,7 +12,10 @@ _SENT: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send the package's sources to the executors of this session, once."""
+    """Send the package's sources to the executors of this session, once.
+
+    The archive lies where the driver runs, which serves it; no executor reads that folder.
+    """
     context = spark.sparkContext
     if context.applicationId in _SENT:
         return
