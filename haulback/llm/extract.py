@@ -67,6 +67,12 @@ class Weights(NamedTuple):
     words: dict[tuple[str, str, bool], float]
     tag: float
 
+    def of(self, place: str, block: str, link: bool) -> float:
+        """A context that no labelled page showed counts for the article, unless it lies outside of
+        it or, on a page that marks none, in a link."""
+        against = place == "outside" or (place == "unmarked" and link)
+        return self.words.get((place, block, link), -1.0 if against else 1.0)
+
 
 def is_other(name: str, attributes: str) -> bool:
     """Does the element hold menus, adverts, notices or the like, by its name or its marks?
@@ -172,7 +178,7 @@ def main_text(html: str | None, weights: Weights) -> str:
     blocks, marked = page_blocks(html or "")
     scores = []
     for block, place in zip(blocks, _places(blocks, marked), strict=True):
-        words = sum(n * weights.words.get((place, *c), 1.0) for c, n in block.contexts.items())
+        words = sum(n * weights.of(place, *c) for c, n in block.contexts.items())
         scores.append(words - weights.tag * block.tags)
     start, end = best_run(scores)
     return "\n".join(b.text for b in blocks[start:end])

@@ -36,6 +36,13 @@ def test_article_alone(spark):
     assert extract_text(pages.limit(0), weights).count() == 0
 
 
+def test_contexts_that_no_labelled_page_showed():
+    weights = Weights({}, 0.01)
+    page = "<p>before<article><p>In <a href=x>it</a></p><p><a href=y>All link</a></p></article><p>after"
+    assert main_text(page, weights) == "In it\nAll link"
+    assert main_text("<div><a>Home</a></div><div>Text here</div><div><a>Next</a></div>", weights) == "Text here"
+
+
 def test_items_without_end_tags():
     weights = Weights({}, 0.01)
     listed = "<ul><li class='share'>x<ul><li>y<li>z</ul><li>kept<li class=ad>gone</ul><p>text"
