@@ -37,20 +37,16 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document that loses words gets its other words, joined by spaces, and their ``n_chars``.
     """
-    found = substrings.remove_passages(docs).filter("n_removed > 0").dropDuplicates(["doc_id"])
-    changed = found.select(
-        F.col("doc_id").alias("changed_id"),
-        F.col("kept").alias("kept_text"),
-        (F.col("n_removed") == F.col("n_words")).alias("nothing_left"),
-    )
-    joined = docs.join(changed, docs["doc_id"] == changed["changed_id"], "left")
-    left = joined.filter(~F.coalesce(changed["nothing_left"], F.lit(False)))
-    new = changed["kept_text"]
-    values = {
-        "text": F.coalesce(new, docs["text"]),
-        "n_chars": F.coalesce(F.length(new).cast("long"), docs["n_chars"]),
-    }
-    return left.select(*(values[c].alias(c) if c in values else docs[c] for c in docs.columns))
+    found = substrings.remove_passages(docs, carry=docs.columns)
+    # The operator's own columns come first, then those of the documents.
+    n, own = len(docs.columns), ["_key", "_n_words", "_n_removed", "_kept"]
+    found = found.toDF(*own, *(f"c{i}" for i in range(n)))
+    at = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
+    less = F.col("_n_removed") > 0
+    left = found.filter(~less | (F.col("_n_removed") < F.col("_n_words")))
+    at["text"] = F.when(less, F.col("_kept")).otherwise(at["text"])
+    at["n_chars"] = F.when(less, F.length("_kept").cast("long")).otherwise(at["n_chars"])
+    return left.select(*(at[c].alias(c) for c in docs.columns))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

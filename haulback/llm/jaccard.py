@@ -20,8 +20,10 @@ exactly. Nothing is sampled and nothing is capped.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from typing import NamedTuple
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,9 @@ from pyspark.sql import functions as F
 from haulback.llm.arrays import LOWER, distinct, gram_hashes, list_array, text_blocks, word_bounds, word_hashes
 from haulback.llm.components import connected_components
 from haulback.llm.shipping import ship_package
-from haulback.operators.lineage import cut_lineage
+from haulback.operators.lineage import clear_work, cut_lineage, work_folder
 
+Keep = Callable[[DataFrame], DataFrame]
 _ID_BITS = 52
 _TOKEN_BITS = 48
 
@@ -147,7 +150,7 @@ def _distinct_sets(
     return ids[keep], np.where(stay, sizes, 0), doc
 
 
-def shingle_ranks(docs: DataFrame, settings: Settings) -> np.ndarray:
+def shingle_ranks(docs: DataFrame, settings: Settings, keep: Keep = cut_lineage) -> np.ndarray:
     """A sketch over all texts of how frequent shingles are: by counter 0 (usual) to 15 (very).
 
     Its size is fixed: a slice of counters is summed in one task as the other tasks' slices come, and
@@ -183,7 +186,7 @@ def shingle_ranks(docs: DataFrame, settings: Settings) -> np.ndarray:
 
     schema = "slice long, counts binary"
     sketched = docs.mapInArrow(sketch, schema).repartition("slice")
-    summed = cut_lineage(sketched.mapInArrow(add, schema + ", total long"))
+    summed = keep(sketched.mapInArrow(add, schema + ", total long"))
     usual = max(8.0, 2 * (summed.agg(F.sum("total")).first()[0] or 0) / size)
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +207,7 @@ def _counter(ids: np.ndarray, size: int) -> np.ndarray:
     return ((ids >> np.uint64(_ID_BITS - _TOKEN_BITS)) % np.uint64(size)).astype(np.int64)
 
 
-def region_members(docs: DataFrame, settings: Settings) -> DataFrame:
+def region_members(docs: DataFrame, settings: Settings, keep: Keep = cut_lineage) -> DataFrame:
     """Rows (token, doc, n, place, pivot, pivot_n, pivot_place) of the regions that several documents share.
 
     Sets of Jaccard similarity t share a shingle among the rarest n - ceil(t * n) + 1 of either, so
@@ -212,7 +215,7 @@ def region_members(docs: DataFrame, settings: Settings) -> DataFrame:
     from the rarest on. Copies within a task join once.
     """
     spark = docs.sparkSession
-    ranks = spark.sparkContext.broadcast(shingle_ranks(docs, settings))
+    ranks = spark.sparkContext.broadcast(shingle_ranks(docs, settings, keep))
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_blocks(batches, "text"):
@@ -252,9 +255,9 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(bound, "a long, b long, low double")
 
 
-def _measured(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+def _measured(pairs: DataFrame, docs: DataFrame, settings: Settings, keep: Keep) -> DataFrame:
     """Add to rows (a, b) the sizes of their sets' intersection and union."""
-    wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct())
+    wanted = keep(pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct())
     if wanted.count() <= settings.broadcast_docs:
         wanted = F.broadcast(wanted)
 
@@ -265,7 +268,7 @@ def _measured(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFram
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "ids"])
 
     named = docs.join(wanted, docs["doc"] == F.col("wanted"), "left_semi")
-    found = cut_lineage(named.mapInArrow(sets, "doc long, ids array<long>").dropDuplicates(["doc"]))
+    found = keep(named.mapInArrow(sets, "doc long, ids array<long>").dropDuplicates(["doc"]))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,29 +287,29 @@ def _measured(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFram
     return joined.mapInArrow(compare, "a long, b long, common long, union long")
 
 
-def _distances(pairs: DataFrame, sets: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+def _distances(pairs: DataFrame, sets: DataFrame, docs: DataFrame, settings: Settings, keep: Keep) -> DataFrame:
     """Rows (a, b, low, high, linked): bounds of the distance, which are alike where it was measured."""
-    bounded = cut_lineage(_bounded(pairs, sets))
+    bounded = keep(_bounded(pairs, sets))
     most = 1 - settings.percent / 100
-    measured = _measured(bounded.filter(F.col("low") <= most + 1e-9), docs, settings)
+    measured = _measured(bounded.filter(F.col("low") <= most + 1e-9), docs, settings, keep)
     exact = 1 - F.col("common") / F.col("union")
     linked = 100 * F.col("common") >= settings.percent * F.col("union")
     near = measured.select("a", "b", exact.alias("low"), exact.alias("high"), linked.alias("linked"))
     far = bounded.filter(F.col("low") > most + 1e-9)
     far = far.select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("linked"))
-    return cut_lineage(near.unionByName(far))
+    return keep(near.unionByName(far))
 
 
 def _star(cells: DataFrame) -> DataFrame:
     return cells.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
-def _divided(member: DataFrame, cells: DataFrame) -> DataFrame:
+def _divided(member: DataFrame, cells: DataFrame, keep: Keep) -> DataFrame:
     """Members, with their cell, of the regions that hold several cells."""
     named = member.drop("cell").join(cells.withColumnRenamed("component", "cell"), "node", "left")
     named = named.withColumn("cell", F.coalesce("cell", "node"))
     ends = named.groupBy("token").agg(F.min("cell").alias("low"), F.max("cell").alias("high"))
-    return cut_lineage(named.join(ends.filter("low != high").select("token"), "token", "left_semi"))
+    return keep(named.join(ends.filter("low != high").select("token"), "token", "left_semi"))
 
 
 def _can_link(n: str, place: str, m: str, other: str, settings: Settings) -> Column:
@@ -329,14 +332,14 @@ def _neighbours(member: DataFrame, turn: int, settings: Settings) -> DataFrame:
     return able.select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b")).distinct()
 
 
-def _window_pairs(member: DataFrame, measured: DataFrame, settings: Settings) -> DataFrame:
+def _window_pairs(member: DataFrame, measured: DataFrame, settings: Settings, keep: Keep) -> DataFrame:
     """All pairs (a, b) of members of a region, of different cells, that can still be near."""
     spoke = measured.select("a", "b", "low", "high")
     ends = (F.greatest("node", "pivot_node") == F.col("a")) & (F.least("node", "pivot_node") == F.col("b"))
     own = F.col("node") == F.col("pivot_node")
     bound = lambda c, d: F.when(own, F.lit(0.0)).otherwise(F.coalesce(c, F.lit(d))).alias(c)
     member = member.join(spoke, ends, "left")
-    member = cut_lineage(member.select("token", "node", "n", "place", "cell", bound("low", 0.0), bound("high", 1.0)))
+    member = keep(member.select("token", "node", "n", "place", "cell", bound("low", 0.0), bound("high", 1.0)))
     x, y = member.alias("x"), member.alias("y")
     window = 1 - settings.percent / 100 + 1e-9
     apart = x.join(y, F.col("x.token") == F.col("y.token")).filter(
@@ -362,14 +365,17 @@ def near_duplicates(
     rows; other columns are not read.
     """
     ship_package(docs.sparkSession)
+    # All tables between the steps go to a folder that is cleared when the result is written.
+    scratch = f"{work_folder(docs.sparkSession)}/haulback/{uuid4().hex}"
+    keep = partial(cut_lineage, folder=scratch)
     named = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    described = cut_lineage(document_sets(named, settings))
+    described = keep(document_sets(named, settings))
     named = named.filter("doc IS NOT NULL")
     # Equal sets are one node, named by the least document.
     full = described.filter("n > 0 AND doc IS NOT NULL")
     same = ["name", "name2", "n"]
-    node = cut_lineage(full.groupBy(*same).agg(F.min("doc").alias("node")))
-    nodes = cut_lineage(full.join(node, same).select("doc", "node", "n", "bits").dropDuplicates(["doc"]))
+    node = keep(full.groupBy(*same).agg(F.min("doc").alias("node")))
+    nodes = keep(full.join(node, same).select("doc", "node", "n", "bits").dropDuplicates(["doc"]))
     sets = nodes.filter("doc = node").select("doc", "n", "bits")
     node_of = nodes.select("doc", "node")
 
@@ -379,34 +385,37 @@ def near_duplicates(
         renamed = pairs.join(one, "a").join(two, "b").filter("node_a != node_b")
         return renamed.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b"))
 
-    regions = cut_lineage(region_members(named, settings))
+    regions = keep(region_members(named, settings, keep))
     # 1. Each document against the pivots of its regions.
     able = _can_link("n", "place", "pivot_n", "pivot_place", settings)
     spokes = regions.filter("doc != pivot").filter(able).select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
     spokes = as_nodes(spokes.distinct()).distinct()
-    measured = _distances(spokes, sets, named, settings)
+    measured = _distances(spokes, sets, named, settings, keep)
     links = measured.filter("linked").select("a", "b")
-    cells = connected_components(links)
+    cells = connected_components(links, scratch)
     # 2. Regions that several cells still share: neighbours in a changing order.
     member = regions.join(node_of, "doc").select("token", "n", "place", "node", "pivot").distinct()
     pivots = node_of.select(F.col("doc").alias("pivot"), F.col("node").alias("pivot_node"))
-    member = cut_lineage(member.join(pivots, "pivot").drop("pivot"))
+    member = keep(member.join(pivots, "pivot").drop("pivot"))
     known = measured.select("a", "b")
     for turn in range(settings.rounds):
-        member = _divided(member, cells)
+        member = _divided(member, cells, keep)
         pairs = _neighbours(member, turn, settings).join(known, ["a", "b"], "left_anti")
-        more = _distances(cut_lineage(pairs), sets, named, settings)
+        more = _distances(keep(pairs), sets, named, settings, keep)
         known = known.unionByName(more.select("a", "b"))
         more = more.filter("linked").select("a", "b")
         if more.isEmpty():
             break
-        cells = connected_components(_star(cells).unionByName(more))
+        cells = connected_components(_star(cells).unionByName(more), scratch)
     # 3. All pairs that are left, inside the triangle inequality's window.
-    pairs = _window_pairs(_divided(member, cells), measured, settings).join(known, ["a", "b"], "left_anti")
-    more = _distances(cut_lineage(pairs), sets, named, settings).filter("linked").select("a", "b")
-    found = connected_components(_star(cells).unionByName(more))
+    pairs = _window_pairs(_divided(member, cells, keep), measured, settings, keep).join(known, ["a", "b"], "left_anti")
+    more = _distances(keep(pairs), sets, named, settings, keep).filter("linked").select("a", "b")
+    found = connected_components(_star(cells).unionByName(more), scratch)
     labelled = node.join(found.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     labelled = labelled.select(*same, F.coalesce("component", "node").alias("component"))
     out = described.drop("bits").join(labelled, same, "left")
     component = F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")))
-    return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    result = out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    result = cut_lineage(result)
+    clear_work(docs.sparkSession, scratch)
+    return result

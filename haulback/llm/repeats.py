@@ -15,7 +15,7 @@ repeated passages. Symbols, grams, contexts and windows are compared by 64-bit h
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from haulback.llm.arrays import _BASE, _mixed, gram_hashes, signed, sliding_min, text_blocks
 from haulback.llm.shipping import ship_package
@@ -257,30 +258,37 @@ def remove_repeats(
     schema: str,
     key: str,
     text: str,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows (key, *schema): what ``output`` makes of each text and of its symbols to be removed.
+    """Rows (key, *schema, *carry): what ``output`` makes of each text and of its symbols to be removed.
 
     ``output`` gets a block's bytes, their offsets, the removed symbols and the texts' bounds in
-    them. A text without a key takes no part in the comparison and keeps all.
+    them. A text without a key takes no part in the comparison and keeps all. Columns of ``carry``
+    go along unchanged.
     """
     ship_package(docs.sparkSession)
-    docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    carried = [docs[c].alias(f"_{i}") for i, c in enumerate(carry)]
+    whole = docs.select(docs[key].cast("long").alias("doc"), docs[text].alias("text"), *carried)
+    docs = whole.select("doc", "text")
     marks = cut_lineage(first_contexts(docs, scheme))
     later = cut_lineage(resolve(with_marks(docs.filter("doc IS NOT NULL"), marks), scheme))
     by_doc = later.groupBy("doc").agg(F.collect_list(F.struct("start", "count")).alias("later"))
     notes = marks.join(by_doc, "doc", "left")
-    joined = docs.join(notes.withColumnRenamed("doc", "of"), F.col("doc") == F.col("of"), "left")
+    joined = whole.join(notes.withColumnRenamed("doc", "of"), F.col("doc") == F.col("of"), "left")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_blocks(batches, "text", scheme.block_bytes):
             values, cuts, found, how = marked_anchors(data, offsets, rows.column(2), scheme)
             how[rows.column(0).is_null().to_numpy(zero_copy_only=False)[found.row]] = 0
             gone = removed_symbols(len(values), cuts, found, how, rows.column(3), scheme)
-            arrays = [rows.column(0), *output(data, offsets, gone, cuts)]
+            arrays = [rows.column(0), *output(data, offsets, gone, cuts), *rows.columns[4:]]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    out_schema = f"`{key}` long, {schema}"
-    names = [key, *(part.split()[0] for part in schema.split(", "))]
-    return joined.select("doc", "text", "marks", "later").mapInArrow(finish, out_schema)
+    own = ["doc", *(part.split()[0] for part in schema.split(", "))]
+    kept = [c for c in whole.columns if c.startswith("_")]
+    names = [*own, *kept]
+    out_schema = StructType([*_parse_datatype_string(f"doc long, {schema}"), *whole.select(*kept).schema])
+    found = joined.select("doc", "text", "marks", "later", *kept).mapInArrow(finish, out_schema)
+    return found.toDF(key, *own[1:], *carry)
 
 

@@ -8,6 +8,7 @@ new but its gram is not, are looked up one by one.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import compress
 
 import numpy as np
@@ -44,17 +45,19 @@ def _kept_texts(data: np.ndarray, offsets: np.ndarray, gone: np.ndarray, cuts: n
     ]
 
 
-def remove_passages(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (key, n_words, n_removed, kept): each text without the passages that occur earlier.
+def remove_passages(
+    docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """Rows (key, n_words, n_removed, kept, *carry): each text without the passages that occur earlier.
 
     A word goes if it lies in ``window`` consecutive words that also start earlier: in a text of
     smaller key, or before in the same text. ``kept`` holds the other words, joined by one space.
     A null or empty text has no words. Keys are long integers and name a text: rows that repeat key
     and text are one text and each return its result. A text without a key is returned whole, and is
     no earlier place for others. Texts shorter than the window lose nothing; an empty table gives no
-    rows; other columns are not read.
+    rows; other columns are not read, but for those of ``carry``, which go along.
     """
     gram = max(1, window // 4)
     scheme = Scheme(_words, window, gram, block_bytes=1 << 20)
     schema = "n_words long, n_removed long, kept string"
-    return remove_repeats(docs, scheme, _check_boundaries, _kept_texts, schema, key, text)
+    return remove_repeats(docs, scheme, _check_boundaries, _kept_texts, schema, key, text, carry)
