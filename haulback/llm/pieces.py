@@ -13,7 +13,7 @@ known each chunk traces its own part back.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -37,6 +37,8 @@ _MEMO = 1 << 20
 #: Bytes of text encoded at a time, which bounds a task's memory.
 _BLOCK = 1 << 20
 _CACHED_WORDS = 1 << 19
+#: Ids decoded at a time.
+_DECODED = 1 << 18
 
 
 class Vocabulary(NamedTuple):
@@ -208,7 +210,7 @@ def stay_apart(v: Vocabulary, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-@cache
+@lru_cache(8)
 def _powers(n: int, inverse: bool = False) -> np.ndarray:
     out = np.full(n + 1, _INVERSE if inverse else _BASE, np.uint64)
     out[0] = 1
@@ -548,14 +550,15 @@ def trace_edges(e: Encoder, c: Chunk, before: State, after: State) -> tuple[list
     return parts[0], c.text[first:last], parts[1]
 
 
-def trace_chunks(e: Encoder, found: list[tuple[Chunk, State, State]]) -> list[list[int]]:
+def trace_chunks(e: Encoder, found: list[tuple[Chunk, State, State]]) -> list[np.ndarray]:
     """Ids of the pieces that start in each chunk; the words of all chunks are encoded together."""
     edges = [trace_edges(e, *x) for x in found]
     middles = [middle for _, middle, _ in edges]
     codes = np.frombuffer("".join(middles).encode("utf-32-le"), np.uint32)
     ids, counts = e.encode(codes, np.cumsum([0, *map(len, middles)]))
     inner = np.split(ids, np.cumsum(counts)[:-1]) if middles else []
-    return [head + x.tolist() + tail for (head, _, tail), x in zip(edges, inner, strict=True)]
+    parts = [(np.array(h, np.int32), x, np.array(t, np.int32)) for (h, _, t), x in zip(edges, inner, strict=True)]
+    return [np.concatenate(p) for p in parts]
 
 
 def cut_document(text: str, longest: int, chunk: int) -> list[Chunk]:
@@ -585,6 +588,13 @@ _MATRIX = "array<struct<a:array<int>,b:array<int>>>"
 _CHUNK_COLUMNS = ["row", "k", "body", "begin", "stop", "opens", "closes"]
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 16) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time: chunks are long, and more so as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _chunk_of(r: dict) -> Chunk:
     return Chunk(r["body"], r["begin"], r["stop"], r["opens"], r["closes"])
 
@@ -605,7 +615,7 @@ def _encode_giant(docs: DataFrame, key: str, text: str, vocabulary, chunk: int)
 
     def transfers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary.value)
-        for batch in batches:
+        for batch in _slices(batches):
             rows = batch.to_pylist()
             found = [[{"a": list(s), "b": list(t)} for s, t in transfer(encoder, _chunk_of(r))] for r in rows]
             kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
@@ -627,10 +637,11 @@ def _encode_giant(docs: DataFrame, key: str, text: str, vocabulary, chunk: int)
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary.value)
-        for batch in batches:
+        for batch in _slices(batches):
             rows = [(_chunk_of(r), State(*r["before"]), State(*r["after"])) for r in batch.to_pylist()]
-            found = [ids for i in range(0, len(rows), 16) for ids in trace_chunks(encoder, rows[i : i + 16])]
-            columns = [batch.column("row"), batch.column("key"), batch.column("k"), pa.array(found, pa.list_(pa.int32()))]
+            found = trace_chunks(encoder, rows)
+            ids = list_array(np.concatenate(found), np.array([len(x) for x in found]), pa.int32())
+            columns = [batch.column("row"), batch.column("key"), batch.column("k"), ids]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "k", "ids"])
 
     rows = docs.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("body"))
@@ -680,8 +691,14 @@ def decode(encoded: DataFrame, model: str = MODEL, ids: str = "ids", text: str =
         v = vocabulary.value
         sizes = np.diff(v.byte_offsets)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            lengths = pa.compute.list_value_length(batch.column(batch.schema.get_field_index(ids)))
+            total = np.cumsum(np.nan_to_num(lengths.to_numpy(zero_copy_only=False)).astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                start = at
+                before = total[start - 1] if start else 0
+                at = max(start + 1, int(np.searchsorted(total, before + _DECODED, side="right")))
+                part = batch.slice(start, at - start)
                 column = part.column(part.schema.get_field_index(ids))
                 flat = column.flatten().to_numpy(zero_copy_only=False)
                 counts = np.nan_to_num(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)).astype(np.int64)
