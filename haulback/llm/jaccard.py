@@ -48,7 +48,7 @@ class Settings(NamedTuple):
     #: links, a finer one smaller regions.
     counters: int = 1 << 22
     #: Rounds of step 2 at most; they save work in step 3, which is exact by itself.
-    rounds: int = 2
+    rounds: int = 1
     #: Sets are fetched by a broadcast of the documents asked for up to this many, else by a shuffle.
     broadcast_docs: int = 200_000
 

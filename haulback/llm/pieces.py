@@ -35,7 +35,7 @@ _NEVER = np.int64(1) << np.int64(60)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _MEMO = 1 << 20
 #: Bytes of text encoded at a time, which bounds a task's memory.
-_BLOCK = 1 << 20
+_BLOCK = 1 << 19
 _CACHED_WORDS = 1 << 19
 #: Ids decoded at a time.
 _DECODED = 1 << 18
@@ -210,15 +210,18 @@ def stay_apart(v: Vocabulary, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-@lru_cache(8)
+@lru_cache(4)
 def _powers(n: int, inverse: bool = False) -> np.ndarray:
     out = np.full(n + 1, _INVERSE if inverse else _BASE, np.uint64)
     out[0] = 1
     return np.cumprod(out)
 
 
+_SMALL_POWERS = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(64, _BASE, np.uint64)]))
+
+
 def _power(n: np.ndarray) -> np.ndarray:
-    return _powers(64)[n]
+    return _SMALL_POWERS[n]
 
 
 class Encoder:

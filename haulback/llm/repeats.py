@@ -60,7 +60,7 @@ class Anchors(NamedTuple):
     context: np.ndarray
 
 
-@lru_cache(4)
+@lru_cache(2)
 def _powers(inverse: bool, size: int) -> np.ndarray:
     out = np.full(size, _INVERSE if inverse else _BASE, np.uint64)
     out[0] = 1
