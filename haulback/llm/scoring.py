@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulback.llm.arrays import LOWER, row_of, signed, text_blocks, word_bounds, word_hashes
 from haulback.llm.shipping import ship_package
 from haulback.operators.lineage import cut_lineage
 
-WORD, GRAM = 0, 1
+#: What a row counts or asks for; a text's own row asks for nothing.
+WORD, GRAM, OWN = 0, 1, 2
 #: Bits of a symbol in a gram's code, whose lowest symbol is the last one; the symbols after bytes.
 BITS, END, START = 9, 256, 257
 SYMBOLS = 257
@@ -25,12 +27,15 @@ _MERGE = 1 << 20
 
 
 class Settings(NamedTuple):
-    """Of the automaton and of the word counts that go along with every task."""
+    """Of the model, and of the arcs and word counts that go along with every task."""
 
     order: int = 6
-    #: Grams of three and more symbols are kept if they make up this share of all, so that there
-    #: are at most 1 / floor of each order, at any size of the corpus.
-    floor: float = 2.0**-20
+    #: Grams of three and more symbols are left out of the model below this share of all; 0 keeps
+    #: every gram, so that the model grows with the corpus.
+    floor: float = 0.0
+    #: Grams that make up this share of all are arcs of the automaton that goes along with a task, at
+    #: most 1 / arc_share of each order; the texts' other grams are joined with the written model.
+    arc_share: float = 2.0**-22
     #: Words that make up this share of all tokens are looked up in place; the others are joined.
     #: So at most 1 / head_share words go along with a task, at any size of the corpus.
     head_share: float = 2.0**-22
@@ -122,62 +127,93 @@ def count_corpus(docs: DataFrame, text: str = "text", settings: Settings = Setti
 
 class Automaton(NamedTuple):
     """States are contexts. An arc (state, symbol) has a log10 probability and a next state; where a
-    state has no such arc, its failure arc leads to a shorter context at a log10 weight."""
+    state has no such arc, its failure arc leads to a shorter context.
+
+    It has the frequent grams only. Arcs from ``full`` on end a gram of the whole order, whose
+    probability is the model's own; the others and the failure arcs lead to the next state, and what
+    a text reads by them is looked up in the model's tables.
+    """
 
     keys: np.ndarray
     slots: np.ndarray
     logp: np.ndarray
     target: np.ndarray
     fail: np.ndarray
-    weight: np.ndarray
+    full: int
     start: int
 
 
-def _kept_grams(grams: DataFrame, settings: Settings) -> dict[int, np.ndarray]:
-    """By order, the grams above the floor: code, count, and its context's count and followers."""
+class GramModel(NamedTuple):
+    """Written tables: of each order the grams (code, n, p), and the failure arcs (m, context, weight)."""
+
+    grams: dict[int, DataFrame]
+    failures: DataFrame
+    total: int
+
+
+def _low(code: str, m: int) -> Column:
+    """The code of the last ``m`` symbols."""
+    return F.col(code).bitwiseAND(F.lit((1 << BITS * m) - 1).cast("long"))
+
+
+def gram_model(counts: DataFrame, settings: Settings = Settings()) -> GramModel:
+    """Witten-Bell smoothed grams of all texts; without texts all symbols are alike.
+
+    A kept gram's probability mixes its share with that of the gram one symbol shorter; the failure
+    weight of a context hands on what its arcs leave, so every state's probabilities sum up to 1.
+    """
     orders = range(1, settings.order + 1)
-    parts = [F.struct(F.lit(m).alias("m"), F.col("code").bitwiseAND((1 << BITS * m) - 1).alias("code")) for m in orders]
+    parts = [F.struct(F.lit(m).alias("m"), _low("code", m).alias("code")) for m in orders]
     every = (
-        grams.select(F.explode(F.array(*parts)).alias("g"), "n")
+        counts.select(F.explode(F.array(*parts)).alias("g"), "n")
         .groupBy("g.m", "g.code")
         .agg(F.sum("n").alias("n"))
         .withColumn("context", F.shiftright("code", BITS))
     )
     every = cut_lineage(every)
-    total = grams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     contexts = every.groupBy("m", "context").agg(F.sum("n").alias("total"), F.count("*").alias("types"))
     kept = every.filter((F.col("m") <= 2) | (F.col("n") >= max(1.0, settings.floor * total)))
-    rows = kept.join(contexts, ["m", "context"]).select("m", "code", "n", "total", "types").toArrow()
-    columns = [rows.column(i).to_numpy() for i in range(5)]
-    out = {}
-    for m in orders:
-        own = columns[0] == m
-        order = np.argsort(columns[1][own])
-        out[m] = np.stack([c[own][order] for c in columns[1:]])
-    return out
-
-
-def build_automaton(grams: DataFrame, settings: Settings = Settings()) -> Automaton:
-    """Witten-Bell smoothed grams of all texts as an automaton; without texts all symbols are alike.
-
-    A kept gram's probability mixes its share with that of the gram one symbol shorter; the failure
-    weight of a context hands on what its arcs leave, so every state's probabilities sum up to 1.
-    """
-    kept = _kept_grams(grams, settings)
+    kept = cut_lineage(kept.join(contexts, ["m", "context"]))
+    # Every symbol is a gram of order 1, seen or not.
+    first = {r.code: r for r in kept.filter("m = 1").collect()}
+    rows = []
+    for symbol in range(SYMBOLS):
+        seen, p = first.get(symbol), 1 / SYMBOLS
+        if first:
+            types, of = (next(iter(first.values()))[c] for c in ("types", "total"))
+            p = ((seen.n if seen else 0) + types / SYMBOLS) / (of + types)
+        rows.append((symbol, seen.n if seen else 0, p))
+    grams = {1: counts.sparkSession.createDataFrame(rows, "code long, n long, p double")}
+    weights = []
+    for m in orders[1:]:
+        lower = grams[m - 1].select(F.col("code").alias("suffix"), F.col("p").alias("lower"))
+        mixed = (F.col("n") + F.col("types") * F.col("lower")) / (F.col("total") + F.col("types"))
+        own = kept.filter(F.col("m") == m).withColumn("suffix", _low("code", m - 1)).join(lower, "suffix")
+        grams[m] = cut_lineage(own.select("code", "n", "context", "total", "types", "lower", mixed.alias("p")))
+        taken = grams[m].groupBy("context").agg(
+            F.sum("p").alias("taken"),
+            F.sum("lower").alias("lower"),
+            F.count("*").alias("arcs"),
+            F.max("total").alias("total"),
+            F.max("types").alias("types"),
+        )
+        # What all of a context's grams leave is known without a difference of nearly equal sums.
+        left = F.greatest(1 - F.col("taken"), F.lit(1e-12)) / F.greatest(1 - F.col("lower"), F.lit(1e-12))
+        whole = F.col("types") / (F.col("total") + F.col("types"))
+        weight = F.when(F.col("arcs") == F.col("types"), whole).otherwise(left)
+        weights.append(taken.select(F.lit(m).alias("m"), "context", weight.alias("weight")))
+    return GramModel(grams, cut_lineage(reduce(DataFrame.unionAll, weights)), total)
+
+
+def build_automaton(model: GramModel, settings: Settings = Settings()) -> Automaton:
+    """The model's frequent grams as an automaton; those of one and two symbols are all in it."""
     codes, probability = {}, {}
-    p = np.full(SYMBOLS, 1 / SYMBOLS)
-    if len(kept[1][0]):
-        code, n, total, types = kept[1]
-        p = np.full(SYMBOLS, types[0] / SYMBOLS)
-        p[code] += n
-        p /= total[0] + types[0]
-    codes[1], probability[1] = np.arange(SYMBOLS), p
-    for m in range(2, settings.order + 1):
-        code, n, total, types = kept[m]
-        shorter = np.searchsorted(codes[m - 1], code & ((1 << BITS * (m - 1)) - 1))
-        codes[m] = code
-        lower = probability[m - 1][shorter] if len(code) else np.zeros(0)
-        probability[m] = (n + types * lower) / (total + types)
+    for m, grams in model.grams.items():
+        often = F.lit(True) if m <= 2 else F.col("n") >= settings.arc_share * model.total
+        rows = grams.filter(often).select("code", "p").toArrow()
+        order = np.argsort(rows.column("code").to_numpy())
+        codes[m], probability[m] = (rows.column(c).to_numpy()[order] for c in ("code", "p"))
     # States by length of context, the empty one first.
     states, first = {0: np.zeros(1, np.int64)}, {0: 0}
     for m in range(2, settings.order + 1):
@@ -195,23 +231,19 @@ def build_automaton(grams: DataFrame, settings: Settings = Settings()) -> Automa
             out[found] = first[k] + at[found]
         return out
 
-    fail, weight = np.zeros(n_states, np.int64), np.zeros(n_states)
+    fail = np.zeros(n_states, np.int64)
     keys, logp, target = [], [], []
     for m in range(1, settings.order + 1):
         own = first[m - 1] + np.searchsorted(states[m - 1], codes[m] >> BITS)
         keys.append((own << BITS) | (codes[m] & ((1 << BITS) - 1)))
         logp.append(np.log10(probability[m]))
         target.append(longest(codes[m], min(m, settings.order - 1)))
-        if m > 1 and len(codes[m]):
-            shorter = np.searchsorted(codes[m - 1], codes[m] & ((1 << BITS * (m - 1)) - 1))
-            mine, ids = own - first[m - 1], slice(first[m - 1], first[m - 1] + len(states[m - 1]))
-            taken = np.bincount(mine, weights=probability[m], minlength=len(states[m - 1]))
-            lower = np.bincount(mine, weights=probability[m - 1][shorter], minlength=len(states[m - 1]))
-            left = np.maximum(1 - taken, 1e-12) / np.maximum(1 - lower, 1e-12)
-            weight[ids], fail[ids] = np.log10(left), longest(states[m - 1], m - 2)
+        if m > 1:
+            fail[first[m - 1] : first[m - 1] + len(states[m - 1])] = longest(states[m - 1], m - 2)
+    full = sum(map(len, keys[:-1]))
     keys, logp, target = map(np.concatenate, (keys, logp, target))
     start = int(longest(np.array([sum(START << BITS * i for i in range(settings.order - 1))]), settings.order - 1)[0])
-    return Automaton(keys, _slots(keys), logp, target, fail, weight, start)
+    return Automaton(keys, _slots(keys), logp, target, fail, full, start)
 
 
 def _hash(keys: np.ndarray, size: int) -> np.ndarray:
@@ -244,8 +276,11 @@ def _find(a: Automaton, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def score_texts(a: Automaton, data: np.ndarray, offsets: np.ndarray, order: int, size: int) -> np.ndarray:
-    """The log10 probability of each row, in one traversal from its start to its end.
+def score_texts(
+    a: Automaton, data: np.ndarray, offsets: np.ndarray, order: int, size: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """In one traversal of each row from its start to its end, the log10 probability of the symbols
+    that full arcs read; and of all others row, gram and how often it occurs there.
 
     Rows are cut into slices that are read side by side, a symbol at a time. As the state depends on
     the last ``order - 1`` symbols alone, a slice first reads those before it, unscored.
@@ -264,30 +299,42 @@ def score_texts(a: Automaton, data: np.ndarray, offsets: np.ndarray, order: int,
     state = np.where(number[lanes] > 0, 0, a.start)
     # A slice that reaches back to its text's start begins as the text does.
     state[at == cuts[row[lanes]]] = a.start
-    total = np.zeros(len(lanes))
+    total, missed = np.zeros(len(lanes)), [np.zeros(0, np.int64)]
     for t in range(int(steps.max(initial=0))):
         n = int(np.searchsorted(-steps, -t, side="left"))
-        symbol, now, gain = symbols[at[:n] + t], state[:n], np.zeros(n)
+        symbol, now = symbols[at[:n] + t], state[:n]
         arc = _find(a, (now << BITS) | symbol)
         left = np.flatnonzero(arc < 0)
         now = now.copy()
         while len(left):
-            gain[left] += a.weight[now[left]]
             now[left] = a.fail[now[left]]
             arc[left] = _find(a, (now[left] << BITS) | symbol[left])
             left = left[arc[left] < 0]
-        gain += a.logp[arc]
         state[:n] = a.target[arc]
-        total[:n] += np.where(at[:n] + t >= begin[:n], gain, 0)
-    return np.bincount(row[lanes], weights=total, minlength=len(lengths))
+        scored, known = at[:n] + t >= begin[:n], arc >= a.full
+        total[:n] += np.where(scored & known, a.logp[arc], 0)
+        missed.append(at[:n][scored & ~known] + t)
+    places = np.sort(np.concatenate(missed))
+    rows = row_of(places, cuts)
+    codes = np.zeros(len(places), np.int64)
+    for back in range(order):
+        before = places - back
+        codes |= np.where(before >= cuts[rows], symbols[before], START) << (BITS * back)
+    by_code = np.lexsort((codes, rows))
+    rows, codes = rows[by_code], codes[by_code]
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = (rows[1:] != rows[:-1]) | (codes[1:] != codes[:-1])
+    times = np.diff(np.append(np.flatnonzero(fresh), len(rows)))
+    return np.bincount(row[lanes], weights=total, minlength=len(lengths)), rows[fresh], codes[fresh], times
 
 
 class LanguageModel(NamedTuple):
-    """What the training texts give: word counts as a table, and the automaton."""
+    """What the training texts give: word counts and grams as tables, and the automaton."""
 
     words: DataFrame
     train_tokens: int
     distinct: int
+    grams: GramModel
     automaton: Automaton
     settings: Settings
 
@@ -298,20 +345,45 @@ def train(docs: DataFrame, text: str = "text", settings: Settings = Settings())
     counted = cut_lineage(count_corpus(docs, text, settings))
     words = counted.filter(F.col("kind") == WORD).select(F.col("code").alias("word"), "n")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    automaton = build_automaton(counted.filter(F.col("kind") == GRAM).select("code", "n"), settings)
-    return LanguageModel(words, sums.n, sums.v, automaton, settings)
+    grams = gram_model(counted.filter(F.col("kind") == GRAM).select("code", "n"), settings)
+    return LanguageModel(words, sums.n, sums.v, grams, build_automaton(grams, settings), settings)
+
+
+def unseen_grams(codes: DataFrame, model: GramModel) -> DataFrame:
+    """Rows (code, p) of grams that the model does not hold: failure arcs lead to one that it does.
+
+    ``codes`` has distinct codes of the whole order.
+    """
+    orders = sorted(model.grams)
+    parts = [
+        F.struct(
+            F.lit(m).alias("m"), _low("code", m).alias("gram"), F.shiftright(_low("code", m), BITS).alias("context")
+        )
+        for m in orders
+    ]
+    asked = codes.select("code", F.inline(F.array(*parts)))
+    held = [g.select(F.lit(m).alias("m"), F.col("code").alias("gram"), "p") for m, g in model.grams.items()]
+    found = asked.join(reduce(DataFrame.unionAll, held), ["m", "gram"], "left")
+    found = found.join(model.failures, ["m", "context"], "left")
+    at = lambda c, m: F.max(F.when(F.col("m") == m, F.col(c))).alias(f"{c}{m}")
+    levels = found.groupBy("code").agg(*(at(c, m) for m in orders for c in ("p", "weight")))
+    p = F.col("p1")
+    for m in orders[1:]:
+        p = F.coalesce(F.col(f"p{m}"), F.coalesce(F.col(f"weight{m}"), F.lit(1.0)) * p)
+    return levels.select("code", p.alias("p"))
 
 
 def score(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, n_tokens, n_known, train_tokens, base_score, score), one for each input row.
 
-    ``score`` is the automaton's log10 probability of the whole text's bytes (A-Z lower-cased) and
-    its end; ``base_score`` that of its words and end under add-0.1 smoothed word counts. A null
+    ``score`` is the model's log10 probability of the whole text's bytes (A-Z lower-cased) and its
+    end; ``base_score`` that of its words and end under add-0.1 smoothed word counts. A null
     text is empty. Repeated rows and null keys are scored each by itself; an empty table gives no
     rows; other columns are not read.
 
-    Counts of the frequent words go along with the task; the other words of all texts are joined with
-    the counts, and no one of them is frequent enough to make a join uneven.
+    Counts of the frequent words and the automaton of the frequent grams go along with the task; the
+    other words and grams of all texts are joined with the written tables, and no one of them is
+    frequent enough among the training texts to make a join uneven.
     """
     spark, s = docs.sparkSession, model.settings
     ship_package(spark)
@@ -320,7 +392,8 @@ def score(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str
     frequent = [head.column(c).to_numpy()[order] for c in ("word", "n")]
     parts = spark.sparkContext.broadcast((*frequent, model.automaton))
     most = model.train_tokens + 0.1 * (model.distinct + 1)
-    schema = docs.select(key).schema.add("row", "long").add("word", "long").add("n_tokens", "long")
+    schema = docs.select(key).schema.add("row", "long").add("kind", "integer").add("code", "long")
+    schema = schema.add("times", "long").add("n_tokens", "long")
     schema = schema.add("n_known", "long").add("base", "double").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,9 +411,9 @@ def score(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str
             gain = np.log10((counts[at[known]] + 0.1) / most) if known.any() else np.zeros(0)
             ids = np.arange(seen, seen + n)
             seen += n
-            scores = score_texts(automaton, data, offsets, s.order, s.slice)
+            scores, holder, grams, times = score_texts(automaton, data, offsets, s.order, s.slice)
             rest = ~known
-            take = np.concatenate([np.arange(n), row[rest]])
+            take = np.concatenate([np.arange(n), row[rest], holder])
             none = np.zeros(len(take), bool)
             none[n:] = True
             first = lambda x: pa.array(np.concatenate([x, np.zeros(len(take) - n, x.dtype)]), mask=none)
@@ -348,8 +421,10 @@ def score(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str
                 [
                     rows.column(0).take(pa.array(take)),
                     pa.array(ids[take]),
-                    # A text's own row has no word; its id spreads it over the join.
-                    pa.array(np.concatenate([ids, hashes[rest]])),
+                    pa.array(np.repeat(np.array([OWN, WORD, GRAM], np.int32), [n, rest.sum(), len(grams)])),
+                    # A text's own row asks for nothing; its id spreads it over the join.
+                    pa.array(np.concatenate([ids, hashes[rest], grams])),
+                    pa.array(np.concatenate([np.ones(n + rest.sum(), np.int64), times])),
                     first(np.bincount(row, minlength=n).astype(np.int64)),
                     first(np.bincount(row[known], minlength=n).astype(np.int64)),
                     first(np.bincount(row[known], weights=gain, minlength=n).astype(float)),
@@ -358,14 +433,19 @@ def score(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str
                 names=schema.names,
             )
 
-    found = docs.select(key, text).mapInArrow(run, schema)
-    counts = model.words.select("word", F.col("n").alias("c"))
-    joined = found.join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    tail = F.col("n_tokens").isNull()
+    found = cut_lineage(docs.select(key, text).mapInArrow(run, schema))
+    held = model.grams.grams[s.order].select("code", "p")
+    asked = found.filter(F.col("kind") == GRAM).select("code").distinct()
+    unseen = unseen_grams(cut_lineage(asked.join(held, "code", "left_anti")), model.grams)
+    answers = model.words.select(F.lit(WORD).alias("kind"), F.col("word").alias("code"), F.col("n").cast("double").alias("c"))
+    for grams in (held, unseen):
+        answers = answers.unionAll(grams.select(F.lit(GRAM), "code", "p"))
+    joined = found.join(answers, ["kind", "code"], "left").withColumn("c", F.coalesce("c", F.lit(0.0)))
+    word, gram = F.col("kind") == WORD, F.col("kind") == GRAM
     return joined.groupBy("row", key).agg(
         F.max("n_tokens").alias("n_tokens"),
-        (F.max("n_known") + F.sum(F.when(tail & (F.col("c") > 0), 1).otherwise(0))).alias("n_known"),
+        (F.max("n_known") + F.sum(F.when(word & (F.col("c") > 0), 1).otherwise(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-        (F.max("base") + F.sum(F.when(tail, F.log10((F.col("c") + 0.1) / most)).otherwise(0.0))).alias("base_score"),
-        F.max("score").alias("score"),
+        (F.max("base") + F.sum(F.when(word, F.log10((F.col("c") + 0.1) / most)).otherwise(0.0))).alias("base_score"),
+        (F.max("score") + F.sum(F.when(gram, F.col("times") * F.log10("c")).otherwise(0.0))).alias("score"),
     ).drop("row")

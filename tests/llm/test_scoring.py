@@ -87,3 +87,16 @@ def test_nothing_to_learn_from(spark):
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0)
     assert row.score == pytest.approx(4 * math.log10(1 / 257))
     assert score(docs.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("arc_share", [0.5, 0.01, Settings().arc_share])
+def test_rare_grams_count_at_any_size(spark, arc_share):
+    draw = random.Random(5)
+    texts = [" ".join("".join(draw.choices("abcdef", k=4)) for _ in range(30)) for _ in range(20)]
+    learned = ["zy " * 400_000, *texts[:15]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    corpus = spark.createDataFrame(list(enumerate(learned)), "doc_id long, text string")
+    model = train(corpus, settings=Settings(order=3, arc_share=arc_share))
+    brute = Brute(learned, 3, 1)
+    for r in score(docs, model).collect():
+        assert r.score == pytest.approx(brute.score(texts[r.doc_id]), rel=1e-9)
