@@ -128,18 +128,22 @@ def base_fails(limits: Limits) -> Column:
 
 
 def references(features: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """One row for each language: its histograms as shares, summed over all of its sound texts.
+    """One row for each language: its histograms as shares, summed over all of its sound texts; and
+    one of a null language, summed over all sound texts of the table.
 
     A sound text passes the base rules and holds few symbols, so that what is to be found does not
-    blur what it is compared with. Texts without a language and languages of few characters give none.
+    blur what it is compared with. Languages of few characters give none.
     """
     sizes = {"classes": len(CLASSES) + 1, "common": len(COMMON_WORDS) + 1}
     names = [(name, i) for name, n in sizes.items() for i in range(n)]
     sums = [F.sum(F.get(F.col(name), F.lit(i))).alias(f"{name}{i}") for name, i in names]
     size = [F.sum("chars").alias("all_chars"), F.sum("n_words").alias("all_words")]
-    sound = F.col("lang").isNotNull() & ~base_fails(limits)
+    sound = ~base_fails(limits)
     sound &= 100 * F.col("n_symbols") <= limits.max_reference_symbols_pct * F.col("chars")
-    summed = features.filter(sound).groupBy("lang").agg(*sums, *size)
+    summed = cut_lineage(features.filter(sound).groupBy("lang").agg(*sums, *size))
+    totals = [F.sum(c).alias(c) for c in summed.columns[1:]]
+    pooled = summed.agg(*totals).select(F.lit(None).cast("string").alias("lang"), *summed.columns[1:])
+    summed = summed.filter(F.col("lang").isNotNull()).unionByName(pooled)
     share = lambda name, of: F.array(
         *(F.col(f"{name}{i}") / F.col(of) for i in range(sizes[name]))
     )
@@ -171,8 +175,10 @@ def judge_quality(
     A text fails with fewer than ``min_words`` words, with more than ``max_repeat_pct`` percent of
     its words in repeated three-word windows, or if its character classes or common words lie too
     far from those of all texts of its language. A null or empty text has no words and fails; a text
-    whose language is null or has no reference is not compared; short texts are not compared by
-    their common words. Repeated rows and null keys are judged each by itself; an empty table gives
+    whose language is null or has no reference is judged by the nearest of all languages' references
+    (so a text of a language that has none must be near one that has), or where no language has one,
+    by all sound texts together; without any reference texts are not compared. Short texts are not
+    compared by their common words. Repeated rows and null keys are judged each by itself; an empty table gives
     no rows; other columns are not read.
     """
     features = cut_lineage(word_features(docs, key, text, lang))
@@ -180,17 +186,36 @@ def judge_quality(
     shares = features.withColumns(
         {"classes": share("classes", "chars"), "common": share("common", "n_words")}
     )
-    compared = shares.join(references(features, limits), F.col("lang") == F.col("ref_lang"), "left")
+    found = cut_lineage(references(features, limits))
+    histograms = F.struct("ref_classes", "ref_common")
+    labelled = F.col("ref_lang").isNotNull()
+    every = found.agg(
+        F.collect_list(F.when(labelled, histograms)).alias("by_language"),
+        F.collect_list(F.when(~labelled, histograms)).alias("pooled"),
+    ).select(F.when(F.size("by_language") > 0, F.col("by_language")).otherwise(F.col("pooled")).alias("every"))
+    # All references go along with those texts only that have none of their own.
+    compared = shares.join(F.broadcast(found), F.col("lang") == F.col("ref_lang"), "left")
+    compared = compared.join(F.broadcast(every), F.col("ref_lang").isNull(), "left")
+    against = F.coalesce(F.col("every"), F.array(histograms))
+    room = lambda most, per: most + per / F.sqrt(F.greatest("n_words", F.lit(1)))
     enough = F.col("n_words") >= limits.min_compared_words
+
+    def measured(ref: Column) -> Column:
+        """How far the text is beyond its limits, null if it has no characters; and both distances."""
+        classes = js_distance(F.col("classes"), ref["ref_classes"])
+        common = F.when(enough, js_distance(F.col("common"), ref["ref_common"]))
+        beyond = F.greatest(
+            classes - room(limits.max_class_distance, limits.class_distance_room),
+            common - room(limits.max_word_distance, limits.word_distance_room),
+        )
+        return F.struct(beyond.alias("beyond"), classes.alias("class_distance"), common.alias("word_distance"))
+
     judged = compared.select(
         F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_fails(limits).alias("base_failed"),
-        js_distance(F.col("classes"), F.col("ref_classes")).alias("class_distance"),
-        F.when(enough, js_distance(F.col("common"), F.col("ref_common"))).alias("word_distance"),
+        F.array_min(F.transform(against, measured)).alias("nearest"),
     )
-    beyond = lambda d, most, room: F.coalesce(
-        F.col(d) > most + room / F.sqrt(F.col("n_words")), F.lit(False)
+    far = F.coalesce(F.col("nearest.beyond") > 0, F.lit(False))
+    return judged.select(
+        *judged.columns[:-1], "nearest.class_distance", "nearest.word_distance", (~F.col("base_failed") & ~far).alias("kept")
     )
-    far = beyond("class_distance", limits.max_class_distance, limits.class_distance_room)
-    far |= beyond("word_distance", limits.max_word_distance, limits.word_distance_room)
-    return judged.withColumn("kept", ~F.col("base_failed") & ~far)

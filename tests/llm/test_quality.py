@@ -61,3 +61,15 @@ def test_counts_and_verdicts(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert judge_quality(docs).count() == 0
+
+
+def test_junk_without_a_reference_of_its_own(spark):
+    soup = " ".join(f"{w}&&& ###" for w in clean(50).split())
+    shuffled = " ".join(f"zq{j}" for j in range(400))
+    odd = [(100, soup, None), (101, shuffled, None), (102, soup, "xx"), (103, clean(51), None), (104, clean(52), "xx")]
+    schema = "doc_id long, text string, lang string"
+    texts = [(i, clean(i), "en") for i in range(20)] + [(30 + i, clean(i).upper(), "up") for i in range(20)]
+    limits = Limits(min_reference_chars=10_000)
+    for rows in (texts, [(i, t, None) for i, t, _ in texts[:20]]):
+        kept = {r.doc_id: r.kept for r in judge_quality(spark.createDataFrame(rows + odd, schema), limits).collect()}
+        assert [kept[i] for i in range(100, 105)] == [False, False, False, True, True]
