@@ -22,7 +22,9 @@ BLOCKS = frozenset(
     "ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|title|textarea|noscript|template|iframe|object|svg|math|canvas|audio|video|xmp"
+#: Raw elements run to the page's end if nothing ends them; the others are skipped only if ended.
+RAW = "script|style|title|textarea|noscript|iframe|xmp"
+EMBEDDED = frozenset("template object svg canvas audio video annotation annotation-xml".split())
 OTHER = frozenset("nav header footer aside form button select menu dialog head label fieldset".split())
 CONTENT = frozenset(("article", "main"))
 #: Elements whose end tag may be left out, with those that end them; what holds such elements.
@@ -43,12 +45,13 @@ WRAPPERS = frozenset("content main article body wrapper container page site layo
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>"
     r"|<(/?)([a-z][a-z0-9:-]*)([^>]*)(?:>|\Z)",
     re.I | re.S,
 )
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in EMBEDDED}
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
 
@@ -115,14 +118,21 @@ def page_blocks(html: str) -> tuple[list[Block], bool]:
             key = (kind, links > 0)
             contexts[key] = contexts.get(key, 0) + len(piece.split())
 
-    end = 0
-    for m in _TOKEN.finditer(html):
+    end, unended = 0, set()
+    while m := _TOKEN.search(html, end):
         text(html[end : m.start()])
         end = m.end()
         name = (m[3] or m[6] or "").lower()
         if not name:
             continue
         closing, attributes = bool(m[2] or m[5]), m[4] or m[7] or ""
+        if name in EMBEDDED and not closing and name not in unended:
+            if name == "svg" and attributes.rstrip().endswith("/"):
+                continue
+            if stop := _ENDS[name].search(html, end):
+                end = stop.end()
+                continue
+            unended.add(name)
         if skipped:
             if skipped == "p" and name in BLOCKS and not (closing and name == "p"):
                 skipped = ""  # a paragraph ends where the next block starts

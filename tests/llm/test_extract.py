@@ -68,3 +68,13 @@ def test_links_score_against_a_page_without_marks():
     weights = Weights({("unmarked", "div", True): -4.0, ("unmarked", "p", False): 4.0}, 0.01)
     links = "<div><a>one</a></div><div><a>two</a></div>"
     assert main_text(f"{links}<p>Text here</p><p>and here</p>{links}", weights) == "Text here\nand here"
+
+
+def test_embedded_elements_take_no_text_beyond_them():
+    weights = Weights({}, 0.01)
+    assert main_text("<p>a <svg width='1'/> b</p><p>c <svg><text>x</text></svg> d</p>", weights) == "a b\nc d"
+    assert main_text("<p>a <video-player>b</video-player> <title-card>c</title-card> d</p>", weights) == "a b c d"
+    assert main_text("<p>a <video src=x> b</p><p>c <canvas> d</p>", weights) == "a b\nc d"
+    formula = "<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds</p>"
+    assert main_text(formula, weights) == "so x=1 holds"
+    assert main_text("<p>a<script>var b", weights) == "a"
