@@ -197,13 +197,14 @@ def main_text(html: str | None, weights: Weights) -> str:
 def learn_weights(pages: DataFrame, html: str = "html", key: str = "page_id", sample: int = 2000) -> Weights:
     """Log-odds of the article's words in each context, from pages that mark their article.
 
-    Learned from about ``sample`` pages, picked by a hash of their key. A tag costs a hundredth of
+    Learned from about ``sample`` of the pages that have an article or main tag, picked by a hash of
+    their key. A tag costs a hundredth of
     what the weakest word of an article brings, over the tags that an article's block has.
     """
     ship_package(pages.sparkSession)
-    total = pages.count()
-    share = min(1.0, sample / max(total, 1))
-    picked = pages.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20)))
+    labelled = pages.filter(F.col(html).rlike(r"(?i)</?(article|main)[\s/>]"))
+    share = min(1.0, sample / max(labelled.count(), 1))
+    picked = labelled.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict[tuple, list[int]] = {}

@@ -78,3 +78,9 @@ def test_embedded_elements_take_no_text_beyond_them():
     formula = "<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds</p>"
     assert main_text(formula, weights) == "so x=1 holds"
     assert main_text("<p>a<script>var b", weights) == "a"
+
+
+def test_weights_come_from_the_pages_that_mark_an_article(spark):
+    rows = [(i, "<div>no <p>mark</p></div>") for i in range(3000)] + [(5000 + i, page(ARTICLE, i)) for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    assert learn_weights(pages, sample=10) == learn_weights(pages.filter("page_id >= 5000"))
