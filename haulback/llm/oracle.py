@@ -144,3 +144,59 @@ def quality_sql(limits: quality.Limits = quality.Limits()) -> str:
     SELECT * EXCLUDE (far), n_words < {limits.min_words}
             OR 100 * n_repeat_words > {limits.max_repeat_pct} * n_words AS base_failed,
         NOT base_failed AND NOT far AS kept FROM counts"""
+
+
+def audit_sql() -> str:
+    """Every document against every order of the filters, step by step."""
+    letters = "(SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS {0})"
+    fails = """CASE f WHEN 'A' THEN len(words) < 100
+        WHEN 'B' THEN 100 * len(list_distinct(words)) < 80 * len(words)
+        WHEN 'C' THEN 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 10 * length(body)
+        WHEN 'D' THEN regexp_matches(body, '[#$%&*|]') ELSE d.doc_id > least_id END"""
+    return f"""WITH said AS (SELECT doc_id, max(coalesce(quality, 0) = 1) AS good,
+        max(coalesce(toxic, 0) = 1) AS toxic FROM labels GROUP BY doc_id),
+    texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+        regexp_extract_all(coalesce(text, ''), '{WORD}') AS words,
+        min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least_id FROM documents),
+    judged AS (SELECT d.part, coalesce(s.good, false) AS good, coalesce(s.toxic, false) AS toxic,
+        array_to_string(list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: coalesce({fails}, false)), '') AS failed
+        FROM texts d LEFT JOIN said s ON s.doc_id = d.doc_id),
+    cells AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good,
+        count(*) FILTER (toxic) AS toxic FROM judged GROUP BY part, failed),
+    orders AS (SELECT a || b || c || d || e AS filter_order FROM {letters.format("a")}, {letters.format("b")},
+        {letters.format("c")}, {letters.format("d")}, {letters.format("e")}
+        WHERE len(list_distinct([a, b, c, d, e])) = 5),
+    steps AS (SELECT filter_order, step::INT AS step, filter_order[step] AS f, filter_order[:step - 1] AS earlier
+        FROM orders, range(1, 6) t(step)),
+    met AS (SELECT part, filter_order, step, f, n, good, toxic, contains(failed, f) AS here, failed = f AS alone,
+        length(translate(failed, earlier, '')) < length(failed) AS gone FROM cells, steps),
+    counted AS (SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT gone AND NOT here), 0) AS kept,
+        coalesce(sum(n) FILTER (here AND NOT gone), 0) AS removed,
+        coalesce(sum(n) FILTER (here AND gone), 0) AS redundant,
+        coalesce(sum(n) FILTER (alone), 0) AS unique_fails,
+        coalesce(sum(good) FILTER (here AND NOT gone), 0) AS good_lost,
+        coalesce(sum(toxic) FILTER (here AND NOT gone), 0) AS toxic_lost FROM met GROUP BY ALL)
+    SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+        redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+        toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+    FROM counted"""
+
+
+def infilling_sql() -> str:
+    unit = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+    drawn = lambda i: f"('0x' || substr(h, {8 * i - 7}, 8))::BIGINT"
+    joined = lambda a, b: f"array_to_string(units[{a}:{b}], '')"
+    return f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS body,
+        regexp_extract_all(coalesce(text, ''), '{unit}') AS units,
+        sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    cuts AS (SELECT doc_id, body, units, len(units) AS n, {drawn(1)} % (len(units) + 1) AS x,
+        {drawn(2)} % (len(units) + 1) AS y, CASE WHEN body = '' OR contains(body, '<P>')
+        OR contains(body, '<S>') OR contains(body, '<M>') OR {drawn(3)} % 100 >= 50 THEN 'plain'
+        WHEN {drawn(4)} % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM t),
+    parts AS (SELECT *, {joined("1", "least(x, y)")} AS p,
+        {joined("least(x, y) + 1", "greatest(x, y)")} AS m, {joined("greatest(x, y) + 1", "n")} AS s FROM cuts)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(body) AS restored_sha256 FROM parts"""

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from haulback.llm import (
     extract,
+    filter_audit,
+    infilling,
     jaccard,
     langid,
     oracle,
+    packing,
     pieces,
     quality,
     scoring,
@@ -96,6 +99,22 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.encode_pieces(_table(spark, sf_dir, "documents"))
+    digest = F.crc32("ids").alias("ids_crc32")
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", digest))
+
+
+def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infilling.restore_texts(infilling.fill_in_middle(_table(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -107,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_filter_interaction_audit": op12_filter_interaction_audit,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 
@@ -116,4 +138,6 @@ SQL: dict[str, str] = {
     "op7_quality_rules": oracle.quality_sql(),
     "op8_substring_dedup": oracle.passages_sql(),
     "op10_suffix_array_dedup": oracle.strings_sql(),
+    "op12_filter_interaction_audit": oracle.audit_sql(),
+    "op13_fill_in_middle": oracle.infilling_sql(),
 }
