@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import os
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
 from typing import NamedTuple
@@ -37,9 +37,10 @@ from haulback.operators.lineage import cut_lineage
 
 CAPACITY = 4096
 END = 1
-#: Bytes of a text that are encoded at a time, and words whose ids a task remembers.
+#: Bytes of a text that are encoded at a time; words whose ids a task remembers, those of a run.
 _SLICE = 1 << 20
-_REMEMBERED = 1 << 18
+_REMEMBERED = 1 << 19
+_RUN = 1 << 14
 _LONG_WORD = 256
 _SPACES = b" \t\n\x0b\x0c\r"
 _ROW, _PART, _RANK = "_row", "_part", "_rank"
@@ -263,24 +264,54 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
-class _Words(dict):
-    """Ids of words, as little-endian bytes. A vocabulary that drops white space takes words one by one."""
+class _Words:
+    """Ids of words, as little-endian bytes. A vocabulary that drops white space takes words one by one.
+
+    Words not met lately are encoded together, a run at a time. Two generations are remembered: when
+    the newer is full, the older goes, so words in use stay and the memory is bounded.
+    """
 
     def __init__(self, model: str) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
         self.tokenizer = Tokenizer.from_str(model)
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
-        if len(word) <= _LONG_WORD:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[word] = out
+        self.fresh: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        found = [text.split() for text in texts]
+        new = []
+        for word in set().union(*found).difference(self.fresh):
+            if (known := self.older.get(word)) is None:
+                new.append(word)
+            else:
+                self.fresh[word] = known
+        start = size = 0
+        for i, word in enumerate(new):
+            size += len(word)
+            if size >= _RUN or i + 1 == len(new):
+                self._encode(new[start : i + 1])
+                start, size = i + 1, 0
+        known_ids = self.fresh.__getitem__
+        out = [b"".join(map(known_ids, words)) for words in found]
+        for word in new:
+            if len(word) > _LONG_WORD:
+                del self.fresh[word]
+        if len(self.fresh) >= _REMEMBERED:
+            self.older, self.fresh = self.fresh, {}
         return out
 
+    def _encode(self, run: list[bytes]) -> None:
+        words = [word.decode() for word in run]
+        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(encoded.ids, "<u4").tobytes()
+        at = np.fromiter((a for a, _ in encoded.offsets), np.int64)
+        starts = np.cumsum([0, *(len(word) + 1 for word in words)])
+        cuts = (4 * np.searchsorted(at, starts)).tolist()
+        for i, word in enumerate(run):
+            self.fresh[word] = ids[cuts[i] : cuts[i + 1]]
+
 
 @lru_cache(1)
 def _words(model: str) -> _Words:
@@ -301,16 +332,42 @@ def slices(body: bytes, size: int = _SLICE) -> Iterator[bytes]:
     yield body[start:]
 
 
-def text_pieces(body: bytes, words: _Words, capacity: int, end: int) -> Iterator[bytes]:
-    """The ids of a text and ``end``, in pieces of ``capacity`` ids; the last may be shorter."""
-    full, held = 4 * capacity, b""
-    for part in slices(body):
-        held += b"".join(map(words.__getitem__, part.split()))
-        whole = len(held) - len(held) % full
-        yield from (held[i : i + full] for i in range(0, whole, full))
-        held = held[whole:]
-    held += np.array([end], "<u4").tobytes()
-    yield held
+Piece = tuple[object, int, int, int, bytes]
+
+
+def text_pieces(texts: Iterable[tuple[object, bytes]], words: _Words, capacity: int, end: int) -> Iterator[Piece]:
+    """Of each keyed text, its ids and ``end`` in pieces of ``capacity`` ids, the last of which may be
+    shorter: key, number, ids before, length, ids."""
+    full, last = 4 * capacity, np.array([end], "<u4").tobytes()
+    piece, held = 0, b""
+    for key, ids, ended in _encoded(texts, words):
+        held += ids + last if ended else ids
+        whole = len(held) if ended else len(held) - len(held) % full
+        for i in range(0, whole, full):
+            part = held[i : i + full]
+            yield key, piece, piece * capacity, len(part) // 4, part
+            piece += 1
+        piece, held = (0, b"") if ended else (piece, held[whole:])
+
+
+def _encoded(texts: Iterable[tuple[object, bytes]], words: _Words) -> Iterator[tuple[object, bytes, bool]]:
+    """Keys and ids of slices in order, and whether each is its text's last; many are encoded at once."""
+    held: list[tuple[object, bytes, bool]] = []
+    size = 0
+    for key, body in texts:
+        parts = list(slices(body))
+        for i, part in enumerate(parts):
+            held.append((key, part, i + 1 == len(parts)))
+            size += len(part)
+            if size >= _SLICE:
+                yield from _flush(held, words)
+                held, size = [], 0
+    yield from _flush(held, words)
+
+
+def _flush(held: list[tuple[object, bytes, bool]], words: _Words) -> Iterator[tuple[object, bytes, bool]]:
+    for (key, _, ended), ids in zip(held, words.ids([part for _, part, _ in held]), strict=True):
+        yield key, ids, ended
 
 
 def encode_pieces(
@@ -340,23 +397,22 @@ def encode_pieces(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(model)
         for rows in batches:
-            out: list[tuple] = []
+            out: list[Piece] = []
             size = 0
-            for k, body in zip(rows.column(0), rows.column(1), strict=True):
-                start, body = 0, body.as_buffer().to_pybytes() if body.is_valid else b""
-                for i, ids in enumerate(text_pieces(body, words, capacity, end)):
-                    out.append((k.as_py(), i, start, len(ids) // 4, ids))
-                    start, size = start + len(ids) // 4, size + len(ids)
-                    if size >= _SLICE:
-                        yield _batch(out, rows.schema.field(0).type, names)
-                        out, size = [], 0
+            bodies = (x.as_buffer().to_pybytes() if x.is_valid else b"" for x in rows.column(1))
+            for found in text_pieces(zip(rows.column(0).to_pylist(), bodies, strict=True), words, capacity, end):
+                out.append(found)
+                size += len(found[-1])
+                if size >= _SLICE:
+                    yield _batch(out, rows.schema.field(0).type, names)
+                    out, size = [], 0
             if out:
                 yield _batch(out, rows.schema.field(0).type, names)
 
     return docs.mapInArrow(encode, f"key {kind}, {fields}").withColumnRenamed("key", key)
 
 
-def _batch(out: list[tuple], key: pa.DataType, names: list[str]) -> pa.RecordBatch:
+def _batch(out: list[Piece], key: pa.DataType, names: list[str]) -> pa.RecordBatch:
     kinds = [key, pa.int32(), pa.int64(), pa.int64(), pa.binary()]
     arrays = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names=names)

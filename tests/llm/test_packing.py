@@ -130,15 +130,19 @@ def texts():
     return odd + ["".join(draw.choices(letters, k=draw.randint(1, 300))) for _ in range(60)]
 
 
-@pytest.mark.parametrize("size", [40, 1 << 20])
-def test_ids_as_the_library(library, size, monkeypatch):
-    monkeypatch.setattr(packing, "_SLICE", size)
+@pytest.mark.parametrize("size, run, remembered", [(40, 9, 20), (1 << 20, 1 << 14, 1 << 19), (300, 1 << 14, 5)])
+def test_ids_as_the_library(library, size, run, remembered, monkeypatch):
+    for name, value in (("_SLICE", size), ("_RUN", run), ("_REMEMBERED", remembered)):
+        monkeypatch.setattr(packing, name, value)
     monkeypatch.setattr(packing.slices, "__defaults__", (size,))
     words = packing._Words(Path(packing.default_tokenizer()).read_text(encoding="utf-8"))
-    for text in texts():
-        expected = [*library.encode(text or "", add_special_tokens=False).ids, 1]
-        parts = [np.frombuffer(p, "<u4").tolist() for p in packing.text_pieces((text or "").encode(), words, 16, 1)]
-        assert parts == [expected[i : i + 16] for i in range(0, len(expected), 16)], repr(text)
+    expected = []
+    for key, text in enumerate(texts() * 2):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        expected += [(key, i // 16, i, len(ids[i : i + 16]), ids[i : i + 16]) for i in range(0, len(ids), 16)]
+    keyed = ((key, (text or "").encode()) for key, text in enumerate(texts() * 2))
+    got = packing.text_pieces(keyed, words, 16, 1)
+    assert [(*p[:4], np.frombuffer(p[4], "<u4").tolist()) for p in got] == expected
 
 
 def test_documents(spark, library):
