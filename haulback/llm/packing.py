@@ -20,11 +20,13 @@ pieces of a length by counts of each stored partition and looks every piece's la
 from __future__ import annotations
 
 import os
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
-from typing import NamedTuple
+from string import ascii_letters, ascii_lowercase
+from typing import TYPE_CHECKING, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from haulback.llm.shipping import ship_package
 from haulback.operators.lineage import cut_lineage
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 CAPACITY = 4096
 END = 1
 #: Bytes of a text that are encoded at a time; words whose ids a task remembers, those of a run.
@@ -43,6 +48,8 @@ _REMEMBERED = 1 << 19
 _RUN = 1 << 14
 _LONG_WORD = 256
 _SPACES = b" \t\n\x0b\x0c\r"
+_MARKS = ".,;:!?"
+_PLAIN = re.compile(rb"([A-Za-z]+)([.,;:!?]*)")
 _ROW, _PART, _RANK = "_row", "_part", "_rank"
 _RANK_BITS = 48
 
@@ -267,8 +274,10 @@ def default_tokenizer() -> str:
 class _Words:
     """Ids of words, as little-endian bytes. A vocabulary that drops white space takes words one by one.
 
-    Words not met lately are encoded together, a run at a time. Two generations are remembered: when
-    the newer is full, the older goes, so words in use stay and the memory is bounded.
+    Words not met lately are encoded together, a run at a time. Where the vocabulary keeps small
+    letters as they are, makes capitals small and sets marks apart, a word of plain letters goes to
+    its merges directly, whatever its capitals and the marks after it. Two generations are remembered:
+    when the newer is full, the older goes, so words in use stay and the memory is bounded.
     """
 
     def __init__(self, model: str) -> None:
@@ -276,33 +285,58 @@ class _Words:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
         self.tokenizer = Tokenizer.from_str(model)
+        self.plain = _takes_letters_plainly(self.tokenizer)
         self.fresh: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         found = [text.split() for text in texts]
+        new = self._unmet(set().union(*found))
+        whole, letters, marked = new, set(), []
+        if self.plain:
+            whole = set()
+            for word in new:
+                if parts := _PLAIN.fullmatch(word):
+                    marked.append((word, stem := parts[1].lower(), parts[2]))
+                    letters.add(stem)
+                    whole.add(parts[2])
+                else:
+                    whole.add(word)
+            whole, letters = self._unmet(whole), self._unmet(letters)
+        self._encode(list(whole))
+        tokenize = self.tokenizer.model.tokenize
+        for stem in letters:
+            self.fresh[stem] = np.array([t.id for t in tokenize(stem.decode())], "<u4").tobytes()
+        for word, stem, marks in marked:
+            self.fresh[word] = self.fresh[stem] + self.fresh[marks]
+        known = self.fresh.__getitem__
+        out = [b"".join(map(known, words)) for words in found]
+        for word in new:
+            if len(word) > _LONG_WORD:
+                self.fresh.pop(word, None)
+        if len(self.fresh) >= _REMEMBERED:
+            self.older, self.fresh = self.fresh, {}
+        return out
+
+    def _unmet(self, words: Iterable[bytes]) -> list[bytes]:
+        """Those not remembered; those of the older generation become fresh."""
         new = []
-        for word in set().union(*found).difference(self.fresh):
+        for word in set(words).difference(self.fresh):
             if (known := self.older.get(word)) is None:
                 new.append(word)
             else:
                 self.fresh[word] = known
+        return new
+
+    def _encode(self, words: list[bytes]) -> None:
         start = size = 0
-        for i, word in enumerate(new):
+        for i, word in enumerate(words):
             size += len(word)
-            if size >= _RUN or i + 1 == len(new):
-                self._encode(new[start : i + 1])
+            if size >= _RUN or i + 1 == len(words):
+                self._encode_run(words[start : i + 1])
                 start, size = i + 1, 0
-        known_ids = self.fresh.__getitem__
-        out = [b"".join(map(known_ids, words)) for words in found]
-        for word in new:
-            if len(word) > _LONG_WORD:
-                del self.fresh[word]
-        if len(self.fresh) >= _REMEMBERED:
-            self.older, self.fresh = self.fresh, {}
-        return out
 
-    def _encode(self, run: list[bytes]) -> None:
+    def _encode_run(self, run: list[bytes]) -> None:
         words = [word.decode() for word in run]
         encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         ids = np.array(encoded.ids, "<u4").tobytes()
@@ -313,6 +347,18 @@ class _Words:
             self.fresh[word] = ids[cuts[i] : cuts[i + 1]]
 
 
+def _takes_letters_plainly(tokenizer: Tokenizer) -> bool:
+    letters, normal, split = ascii_lowercase, tokenizer.normalizer, tokenizer.pre_tokenizer
+    added = tokenizer.get_added_tokens_decoder().values()
+    return (
+        normal is not None
+        and split is not None
+        and normal.normalize_str(letters + letters.upper() + _MARKS) == letters + letters + _MARKS
+        and [part for part, _ in split.pre_tokenize_str(letters + _MARKS)] == [letters, _MARKS]
+        and not any(set(token.content) <= set(ascii_letters + _MARKS) for token in added)
+    )
+
+
 @lru_cache(1)
 def _words(model: str) -> _Words:
     return _Words(model)

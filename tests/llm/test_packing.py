@@ -127,6 +127,7 @@ def texts():
     odd += ["中文字符 かな 한국어 \U0001f600‍", "a<|endoftext|>b <|startoftext|>", "1234 5,6 $%^ _x_", "\x00 \x0b \x0c"]
     odd += [" ́a b̈ ̧", "ﬁn ½ ①", "word " * 300, "tab\tline\r\nend\v."]
     letters = " \n\tabethinrs'.,é1中́ ​Σ"
+    odd += ["Word WORD word. word., a.b A.. I'm. ?! .x don't, it's: rock'n'roll; U.S. x1. <|EndOfText|> <|endoftext|>."]
     return odd + ["".join(draw.choices(letters, k=draw.randint(1, 300))) for _ in range(60)]
 
 
@@ -145,6 +146,20 @@ def test_ids_as_the_library(library, size, run, remembered, monkeypatch):
     assert [(*p[:4], np.frombuffer(p[4], "<u4").tolist()) for p in got] == expected
 
 
+def test_only_a_fitting_vocabulary_is_taken_plainly(library):
+    assert packing._takes_letters_plainly(library)
+    keeps_capitals = tokenizers.Tokenizer.from_str(library.to_str())
+    keeps_capitals.normalizer = tokenizers.normalizers.NFC()
+    assert not packing._takes_letters_plainly(keeps_capitals)
+    holds_a_word = tokenizers.Tokenizer.from_str(library.to_str())
+    holds_a_word.add_tokens(["abc"])
+    assert not packing._takes_letters_plainly(holds_a_word)
+    words = packing._Words(keeps_capitals.to_str())
+    assert not words.plain
+    expected = keeps_capitals.encode("Some Words. here", add_special_tokens=False).ids
+    assert np.frombuffer(words.ids([b"Some Words. here"])[0], "<u4").tolist() == expected
+
+
 def test_documents(spark, library):
     rows = [(i, t, "x", 5) for i, t in enumerate(texts())]
     rows += [rows[4], rows[4], (4, "another text under one id", "y", 1), (None, "no key", "z", 2)]
