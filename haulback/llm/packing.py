@@ -21,11 +21,11 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
-from string import ascii_letters, ascii_lowercase
 from typing import TYPE_CHECKING, NamedTuple
 
 import numpy as np
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from haulback.llm.arrays import word_bounds, word_hashes
 from haulback.llm.shipping import ship_package
 from haulback.operators.lineage import cut_lineage
 
@@ -43,13 +44,14 @@ if TYPE_CHECKING:
 CAPACITY = 4096
 END = 1
 #: Bytes of a text that are encoded at a time; words whose ids a task remembers, those of a run.
-_SLICE = 1 << 20
+_SLICE = 1 << 21
 _REMEMBERED = 1 << 19
-_RUN = 1 << 14
+_RUN = 1 << 15
 _LONG_WORD = 256
 _SPACES = b" \t\n\x0b\x0c\r"
+_LETTERS = "".join(c for c in map(chr, [*range(0x41, 0x7B), *range(0xC0, 0x100)]) if c.isalpha())
 _MARKS = ".,;:!?"
-_PLAIN = re.compile(rb"([A-Za-z]+)([.,;:!?]*)")
+_PLAIN = re.compile(f"([{_LETTERS}]+)([{_MARKS}]{{0,2}})")
 _ROW, _PART, _RANK = "_row", "_part", "_rank"
 _RANK_BITS = 48
 
@@ -272,12 +274,13 @@ def default_tokenizer() -> str:
 
 
 class _Words:
-    """Ids of words, as little-endian bytes. A vocabulary that drops white space takes words one by one.
+    """Ids of words. A vocabulary that drops white space takes words one by one.
 
-    Words not met lately are encoded together, a run at a time. Where the vocabulary keeps small
-    letters as they are, makes capitals small and sets marks apart, a word of plain letters goes to
-    its merges directly, whatever its capitals and the marks after it. Two generations are remembered:
-    when the newer is full, the older goes, so words in use stay and the memory is bounded.
+    Equal words of some texts are found by 64-bit hashes and looked up once. Words not met lately are
+    encoded together, a run at a time. Where the vocabulary takes letters one by one and sets marks
+    apart (``_plain_letters``), a word of letters goes to its merges directly, whatever the marks
+    after it. Two generations are remembered: when the newer is full, the older goes, so words in use
+    stay and the memory is bounded.
     """
 
     def __init__(self, model: str) -> None:
@@ -285,78 +288,92 @@ class _Words:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
         self.tokenizer = Tokenizer.from_str(model)
-        self.plain = _takes_letters_plainly(self.tokenizer)
-        self.fresh: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        found = [text.split() for text in texts]
-        new = self._unmet(set().union(*found))
-        whole, letters, marked = new, set(), []
-        if self.plain:
-            whole = set()
-            for word in new:
-                if parts := _PLAIN.fullmatch(word):
-                    marked.append((word, stem := parts[1].lower(), parts[2]))
-                    letters.add(stem)
-                    whole.add(parts[2])
-                else:
-                    whole.add(word)
-            whole, letters = self._unmet(whole), self._unmet(letters)
-        self._encode(list(whole))
+        self.letters = _plain_letters(self.tokenizer)
+        self.marks: dict[str, bytes] = {}
+        self.fresh: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        body = b"".join(texts)
+        data, offsets = np.frombuffer(body, np.uint8), np.cumsum([0, *map(len, texts)])
+        starts, ends = word_bounds(data, offsets)
+        hashes = word_hashes(data, starts, ends)
+        values, place, word = np.unique(hashes, return_index=True, return_inverse=True)
+        known = self._known(values.tolist(), body, starts[place].tolist(), ends[place].tolist())
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first = (np.cumsum(lengths) - lengths)[word]
+        lengths = lengths[word]
+        total = np.cumsum(np.append(0, lengths))
+        at = np.arange(total[-1]) + np.repeat(first - total[:-1], lengths)
+        ids = np.frombuffer(b"".join(known), "<u4")[at]
+        cuts = total[np.searchsorted(starts, offsets)].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _known(self, keys: list[int], body: bytes, starts: list[int], ends: list[int]) -> list[bytes]:
+        """The ids of distinct words, given by their hash and a place where each stands."""
+        known = list(map(self.fresh.get, keys))
+        plain: list[tuple[int, str, str]] = []
+        others: list[tuple[int, str]] = []
+        for i, ids in enumerate(known):
+            if ids is not None:
+                continue
+            if (ids := self.older.get(keys[i])) is not None:
+                known[i] = self.fresh[keys[i]] = ids
+                continue
+            word = body[starts[i] : ends[i]].decode()
+            if self.letters and (parts := _PLAIN.fullmatch(word)):
+                plain.append((i, parts[1].translate(self.letters), parts[2]))
+            else:
+                others.append((i, word))
+        stems: dict[str, bytes] = {}
         tokenize = self.tokenizer.model.tokenize
-        for stem in letters:
-            self.fresh[stem] = np.array([t.id for t in tokenize(stem.decode())], "<u4").tobytes()
-        for word, stem, marks in marked:
-            self.fresh[word] = self.fresh[stem] + self.fresh[marks]
-        known = self.fresh.__getitem__
-        out = [b"".join(map(known, words)) for words in found]
-        for word in new:
-            if len(word) > _LONG_WORD:
-                self.fresh.pop(word, None)
+        for i, stem, marks in plain:
+            if (ids := stems.get(stem)) is None:
+                ids = stems[stem] = array("I", [token.id for token in tokenize(stem)]).tobytes()
+            known[i] = ids + self._marks(marks) if marks else ids
+        for (i, _), ids in zip(others, self._encoded([word for _, word in others]), strict=True):
+            known[i] = ids
+        for i in [*(i for i, _, _ in plain), *(i for i, _ in others)]:
+            if ends[i] - starts[i] <= _LONG_WORD:
+                self.fresh[keys[i]] = known[i]
         if len(self.fresh) >= _REMEMBERED:
             self.older, self.fresh = self.fresh, {}
-        return out
-
-    def _unmet(self, words: Iterable[bytes]) -> list[bytes]:
-        """Those not remembered; those of the older generation become fresh."""
-        new = []
-        for word in set(words).difference(self.fresh):
-            if (known := self.older.get(word)) is None:
-                new.append(word)
-            else:
-                self.fresh[word] = known
-        return new
+        return known
 
-    def _encode(self, words: list[bytes]) -> None:
+    def _encoded(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of each word, from runs of words between spaces."""
         start = size = 0
         for i, word in enumerate(words):
             size += len(word)
-            if size >= _RUN or i + 1 == len(words):
-                self._encode_run(words[start : i + 1])
-                start, size = i + 1, 0
-
-    def _encode_run(self, run: list[bytes]) -> None:
-        words = [word.decode() for word in run]
-        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(encoded.ids, "<u4").tobytes()
-        at = np.fromiter((a for a, _ in encoded.offsets), np.int64)
-        starts = np.cumsum([0, *(len(word) + 1 for word in words)])
-        cuts = (4 * np.searchsorted(at, starts)).tolist()
-        for i, word in enumerate(run):
-            self.fresh[word] = ids[cuts[i] : cuts[i + 1]]
-
-
-def _takes_letters_plainly(tokenizer: Tokenizer) -> bool:
-    letters, normal, split = ascii_lowercase, tokenizer.normalizer, tokenizer.pre_tokenizer
+            if size < _RUN and i + 1 < len(words):
+                continue
+            run = words[start : i + 1]
+            encoded = self.tokenizer.encode(" ".join(run), add_special_tokens=False)
+            at = np.fromiter((a for a, _ in encoded.offsets), np.int64)
+            cuts = (4 * np.searchsorted(at, np.cumsum([0, *(len(word) + 1 for word in run)]))).tolist()
+            ids = np.array(encoded.ids, "<u4").tobytes()
+            yield from (ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
+            start, size = i + 1, 0
+
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            ids = self.tokenizer.encode(marks, add_special_tokens=False).ids
+            self.marks[marks] = np.array(ids, "<u4").tobytes()
+        return self.marks[marks]
+
+
+def _plain_letters(tokenizer: Tokenizer) -> dict[int, str] | None:
+    """What a vocabulary's merges get for each Latin letter, if it turns words into that letter by
+    letter, sets marks apart, and has no added token of letters and marks; else nothing."""
+    normal, split = tokenizer.normalizer, tokenizer.pre_tokenizer
+    if normal is None or split is None:
+        return None
+    cut = lambda text: [part for part, _ in split.pre_tokenize_str(normal.normalize_str(text))]
+    letters = {ord(c): "".join(cut(c)) for c in _LETTERS}
     added = tokenizer.get_added_tokens_decoder().values()
-    return (
-        normal is not None
-        and split is not None
-        and normal.normalize_str(letters + letters.upper() + _MARKS) == letters + letters + _MARKS
-        and [part for part, _ in split.pre_tokenize_str(letters + _MARKS)] == [letters, _MARKS]
-        and not any(set(token.content) <= set(ascii_letters + _MARKS) for token in added)
-    )
+    plain = cut(_LETTERS + _MARKS) == ["".join(letters.values()), _MARKS]
+    return letters if plain and not any(set(token.content) <= set(_LETTERS + _MARKS) for token in added) else None
 
 
 @lru_cache(1)
@@ -384,19 +401,19 @@ Piece = tuple[object, int, int, int, bytes]
 def text_pieces(texts: Iterable[tuple[object, bytes]], words: _Words, capacity: int, end: int) -> Iterator[Piece]:
     """Of each keyed text, its ids and ``end`` in pieces of ``capacity`` ids, the last of which may be
     shorter: key, number, ids before, length, ids."""
-    full, last = 4 * capacity, np.array([end], "<u4").tobytes()
-    piece, held = 0, b""
+    last = np.array([end], "<u4")
+    piece, held = 0, last[:0]
     for key, ids, ended in _encoded(texts, words):
-        held += ids + last if ended else ids
-        whole = len(held) if ended else len(held) - len(held) % full
-        for i in range(0, whole, full):
-            part = held[i : i + full]
-            yield key, piece, piece * capacity, len(part) // 4, part
+        held = np.concatenate([held, ids, last] if ended else [held, ids])
+        whole = len(held) if ended else len(held) - len(held) % capacity
+        for i in range(0, whole, capacity):
+            part = held[i : i + capacity]
+            yield key, piece, piece * capacity, len(part), part.tobytes()
             piece += 1
-        piece, held = (0, b"") if ended else (piece, held[whole:])
+        piece, held = (0, last[:0]) if ended else (piece, held[whole:])
 
 
-def _encoded(texts: Iterable[tuple[object, bytes]], words: _Words) -> Iterator[tuple[object, bytes, bool]]:
+def _encoded(texts: Iterable[tuple[object, bytes]], words: _Words) -> Iterator[tuple[object, np.ndarray, bool]]:
     """Keys and ids of slices in order, and whether each is its text's last; many are encoded at once."""
     held: list[tuple[object, bytes, bool]] = []
     size = 0
@@ -411,7 +428,7 @@ def _encoded(texts: Iterable[tuple[object, bytes]], words: _Words) -> Iterator[t
     yield from _flush(held, words)
 
 
-def _flush(held: list[tuple[object, bytes, bool]], words: _Words) -> Iterator[tuple[object, bytes, bool]]:
+def _flush(held: list[tuple[object, bytes, bool]], words: _Words) -> Iterator[tuple[object, np.ndarray, bool]]:
     for (key, _, ended), ids in zip(held, words.ids([part for _, part, _ in held]), strict=True):
         yield key, ids, ended
 

@@ -127,6 +127,8 @@ def texts():
     odd += ["中文字符 かな 한국어 \U0001f600‍", "a<|endoftext|>b <|startoftext|>", "1234 5,6 $%^ _x_", "\x00 \x0b \x0c"]
     odd += [" ́a b̈ ̧", "ﬁn ½ ①", "word " * 300, "tab\tline\r\nend\v."]
     letters = " \n\tabethinrs'.,é1中́ ​Σ"
+    odd += ["".join(chr(c) for c in range(0x21, 0x180)), " ".join(chr(c) + "." for c in range(0x21, 0x180))]
+    odd += ["Große ÀÉÎ, ÿß! naïve... façade?! Æther x×y a÷b ªº µm İstanbul ŒUVRE ěščř"]
     odd += ["Word WORD word. word., a.b A.. I'm. ?! .x don't, it's: rock'n'roll; U.S. x1. <|EndOfText|> <|endoftext|>."]
     return odd + ["".join(draw.choices(letters, k=draw.randint(1, 300))) for _ in range(60)]
 
@@ -147,17 +149,18 @@ def test_ids_as_the_library(library, size, run, remembered, monkeypatch):
 
 
 def test_only_a_fitting_vocabulary_is_taken_plainly(library):
-    assert packing._takes_letters_plainly(library)
-    keeps_capitals = tokenizers.Tokenizer.from_str(library.to_str())
-    keeps_capitals.normalizer = tokenizers.normalizers.NFC()
-    assert not packing._takes_letters_plainly(keeps_capitals)
+    letters = packing._plain_letters(library)
+    assert letters[ord("A")] == "a" and letters[ord("É")] == "Ã©"
+    decomposes = tokenizers.Tokenizer.from_str(library.to_str())
+    decomposes.pre_tokenizer = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    assert packing._plain_letters(decomposes) is None  # marks are not set apart
     holds_a_word = tokenizers.Tokenizer.from_str(library.to_str())
     holds_a_word.add_tokens(["abc"])
-    assert not packing._takes_letters_plainly(holds_a_word)
-    words = packing._Words(keeps_capitals.to_str())
-    assert not words.plain
-    expected = keeps_capitals.encode("Some Words. here", add_special_tokens=False).ids
-    assert np.frombuffer(words.ids([b"Some Words. here"])[0], "<u4").tolist() == expected
+    assert packing._plain_letters(holds_a_word) is None
+    words = packing._Words(holds_a_word.to_str())
+    assert words.letters is None
+    expected = holds_a_word.encode("Some Words. here", add_special_tokens=False).ids
+    assert words.ids([b"Some Words. here"])[0].tolist() == expected
 
 
 def test_documents(spark, library):
