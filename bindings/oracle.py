@@ -26,10 +26,12 @@ SECTOR_CODES = {
 }
 SATURATION = 8.292
 PROBABILITIES = [k / 1000 for k in range(1, 991)]
-# Of the draws: a Mersenne prime, the rows of a block, the draws of a stream.
+# Of the draws: a Mersenne prime, the rows of a block, the split points of a stream, and halvings that
+# leave single blocks of the largest group.
 PRIME = (1 << 31) - 1
 BLOCK_SIZE = 512
-STREAM_DRAWS = 1 << 16
+STREAM_POINTS = 1 << 15
+HALVINGS = 8
 
 SEED = 10
 NBOOT = 1000
@@ -200,14 +202,28 @@ S["positions"] = f"""SELECT user_id AS VR_NUMBER,
     FROM events JOIN ord ON user_id = v"""
 
 # Reconciliation.
-S["first_observers"] = f"""SELECT * EXCLUDE (rn) FROM (SELECT VR_NUMBER_FISHING, LANDED_DATE,
+def first_observers_of(observers: str) -> str:
+    return f"""SELECT * EXCLUDE (rn) FROM (SELECT VR_NUMBER_FISHING, LANDED_DATE,
     TRIP, TRIPCD_ID, CONF_NUMBER, MINDATE, MAXDATE, GEARCD_ID, SETCD_ID, row_number() OVER (
-    PARTITION BY VR_NUMBER_FISHING, LANDED_DATE ORDER BY {OBSERVER_ORDER}) AS rn FROM observers)
+    PARTITION BY VR_NUMBER_FISHING, LANDED_DATE ORDER BY {OBSERVER_ORDER}) AS rn FROM {observers})
     WHERE rn = 1"""
-S["exact"] = """SELECT w.*, f.TRIP AS TRIP_OBS, f.TRIPCD_ID AS TRIPCD_OBS FROM wide w
-    LEFT JOIN first_observers f
+
+
+def exact_with(wide: str, first: str) -> str:
+    return f"""SELECT w.*, f.TRIP AS TRIP_OBS, f.TRIPCD_ID AS TRIPCD_OBS FROM {wide} w
+    LEFT JOIN {first} f
     ON w.VR_NUMBER_FISHING IS NOT DISTINCT FROM f.VR_NUMBER_FISHING
     AND w.LANDED_DATE IS NOT DISTINCT FROM f.LANDED_DATE"""
+
+
+def exact_of(wide: str, year: int) -> str:
+    """The exact matches of a year's landings with the observer trips that set gear in it."""
+    of_year = S["observers"].replace("FROM points", f"FROM (SELECT * FROM points WHERE year(setdate) = {year})")
+    return exact_with(f"({wide})", f"({first_observers_of(f'({of_year})')})")
+
+
+S["first_observers"] = first_observers_of("observers")
+S["exact"] = exact_with("wide", "first_observers")
 S["matched"] = "SELECT * FROM exact WHERE TRIPCD_OBS IS NOT NULL"
 S["unmatched"] = """SELECT * EXCLUDE (TRIP_OBS, TRIPCD_OBS) FROM exact
     WHERE TRIPCD_OBS IS NULL"""
@@ -471,30 +487,45 @@ def index(x: str, n: str) -> str:
     return f"CAST(floor({uniform(x)} / {PRIME}::DOUBLE * CAST({n} AS DOUBLE)) AS BIGINT)"
 
 
-def wide_index(x: str, n: str) -> str:
-    p = f"{PRIME}::DOUBLE"
-    fine = f"({uniform(f'2 * {x}')} + {uniform(f'2 * {x} + 1')} / {p}) / {p}"
-    return f"least(CAST(floor({fine} * CAST({n} AS DOUBLE)) AS BIGINT), {n} - 1)"
-
-
 S["indexed"] = """SELECT *, row_number() OVER (
     PARTITION BY "GROUP" ORDER BY ROW_KEY, COD, HAD, OBS) - 1 AS IDX,
     count(*) OVER (PARTITION BY "GROUP") AS N FROM grouped"""
 S["group_sizes"] = """SELECT "GROUP", count(*) AS N FROM grouped GROUP BY ALL"""
 
 
+def add_halving(ranges: str, halves: str, size: int) -> None:
+    """Ranges of several blocks cut in two: the left half's draws are the least number whose binomial
+    distribution function passes the split point's uniform number."""
+    S[f"{halves}_cut"] = f"""SELECT *, ({uniform("2 * x")} + {uniform("2 * x + 1")} / {PRIME}::DOUBLE)
+        / {PRIME}::DOUBLE AS u FROM (SELECT *, {coefficients(str(SEED), str(size), G, "REP", "'split'", "bunch")},
+        middle % {STREAM_POINTS} AS x FROM (SELECT *, (low + high) // 2 AS middle,
+        (low + high) // 2 // {STREAM_POINTS} AS bunch, ((low + high) // 2 - low) * {size} AS a,
+        least(high * {size}, N) - low * {size} AS r FROM {ranges} WHERE high - low > 1))"""
+    log_height = """lgamma(draws + 1) - lgamma(k + 1) - lgamma(draws - k + 1)
+        + k * ln(a / r) + (draws - k) * ln((r - a) / r)"""
+    reach = "10 * sqrt(draws * (a / r) * (1 - a / r)) + 25"
+    S[f"{halves}_left"] = f"""SELECT "GROUP", REP, low, min(k) FILTER (cdf > u) AS lefts FROM (
+        SELECT *, sum(exp({log_height})) OVER (PARTITION BY "GROUP", REP, low ORDER BY k) AS cdf
+        FROM (SELECT *, unnest(range(greatest(0, floor(draws * a / r - {reach})::BIGINT),
+            1 + least(draws, ceil(draws * a / r + {reach})::BIGINT))) AS k FROM {halves}_cut))
+        GROUP BY "GROUP", REP, low"""
+    both = f"""FROM {halves}_cut c JOIN {halves}_left l
+        ON c."GROUP" = l."GROUP" AND c.REP = l.REP AND c.low = l.low"""
+    S[halves] = f"""SELECT * FROM {ranges} WHERE high - low <= 1
+        UNION ALL SELECT c."GROUP", c.REP, N, c.low, middle, lefts {both} WHERE lefts > 0
+        UNION ALL SELECT c."GROUP", c.REP, N, middle, high, draws - lefts {both} WHERE lefts < draws"""
+
+
 def add_draws(size: int, tag: str = "") -> None:
     """Steps of the resample with blocks of the given size."""
     S[f"blocks{tag}"] = f"""SELECT "GROUP", IDX // {size} AS BLOCK, count(*) AS SIZE FROM indexed
     GROUP BY ALL"""
-    S[f"streams{tag}"] = f"""SELECT *, {coefficients(str(SEED), str(size), G, "REP", "chunk")}
-    FROM (SELECT "GROUP", N, CAST(rep AS INTEGER) AS REP,
-    unnest(range((N - 1) // {STREAM_DRAWS} + 1)) AS chunk FROM group_sizes, range({NBOOT}) r(rep))"""
-    S[f"block_counts{tag}"] = f"""SELECT "GROUP", REP, {wide_index("K", "N")} // {size} AS BLOCK,
-    count(*) AS DRAWS FROM (SELECT *, unnest(range(least({STREAM_DRAWS}, N - chunk * {STREAM_DRAWS})))
-        AS K FROM streams{tag} WHERE N > {size}) GROUP BY ALL
-    UNION ALL SELECT "GROUP", CAST(rep AS INTEGER), 0, N FROM group_sizes, range({NBOOT}) r(rep)
-    WHERE N <= {size}"""
+    S[f"ranges{tag}_0"] = f"""SELECT "GROUP", CAST(rep AS INTEGER) AS REP, N, 0 AS low,
+    (N + {size - 1}) // {size} AS high, N AS draws FROM group_sizes, range({NBOOT}) r(rep)"""
+    for i in range(HALVINGS):
+        add_halving(f"ranges{tag}_{i}", f"ranges{tag}_{i + 1}", size)
+    S[f"block_counts{tag}"] = f"""SELECT "GROUP", REP, low AS BLOCK, draws AS DRAWS
+    FROM ranges{tag}_{HALVINGS}"""
     S[f"block_streams{tag}"] = f"""SELECT c.*, b.SIZE,
     {coefficients(str(SEED), str(size), f"c.{G}", "REP", "c.BLOCK")} FROM block_counts{tag} c
     JOIN blocks{tag} b ON c."GROUP" = b."GROUP" AND c.BLOCK = b.BLOCK"""

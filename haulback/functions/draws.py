@@ -36,13 +36,6 @@ def uniform_index(x: Column, n: Column) -> Column:
     return F.coalesce(index, F.lit(0).cast("long"))
 
 
-def wide_index(x: Column, n: Column) -> Column:
-    """The same from two values of the stream, as fine as a double, for any n that one holds."""
-    p = F.lit(float(PRIME))
-    fine = (_uniform(2 * x) + _uniform(2 * x + 1) / p) / p
-    return F.coalesce(F.least(F.floor(fine * n.cast("double")), n - 1), F.lit(0).cast("long"))
-
-
 def _uniform(x: Column) -> Column:
     """Value x of the stream, from 0 to P - 1, as a double."""
     p = F.lit(PRIME)

@@ -5,35 +5,43 @@ pairs run as one job and no step holds a group in one task:
 
 1. Trips are numbered 0..n-1 within their group by hash bucket (bucket offsets plus a row number
    inside the bucket) and packed into blocks of at most ``block_size`` rows.
-2. Each replicate's n draws pick their blocks; only the counts per block are shuffled.
+2. How many of a replicate's n draws fall in each block comes from a tree of binomial splits over
+   the blocks (``functions.splitting``), at a cost of blocks x replicates.
 3. The counts meet their block, where each draw picks its row uniformly; the sums are folded per
    replicate before they are shuffled.
 
-Picking a block in proportion to its size and then a row within it is the multinomial draw itself,
-so the resampling is exact.  What travels is blocks x replicates, not trips x replicates.
+Drawing the blocks' counts and then rows within them is the multinomial draw itself, so the
+resampling is exact.  What travels is blocks x replicates, not trips x replicates.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from haulback import schemas
-from haulback.functions.draws import coefficients, normal_score_rows, uniform_index, wide_index
+from haulback.functions.draws import coefficients, normal_score_rows, uniform_index
 from haulback.functions.missing import INF, at_least
+from haulback.functions.splitting import Ranges, split_ranges, stream_coefficients
 from haulback.operators.joins import null_safe_join
 from haulback.operators.lineage import cut_lineage
 from haulback.operators.ratio import PARTS, multiplier
+from haulback.shipping import ship_package
 
 EXCLUDED = "excluded"  # Fixed value: reserved group name.
 WEIGHT_FLOOR = 0.001  # Fixed value: stands in for a zero weight.
 NBOOT = 1000
 # Part of the draw, as the seed is: the rows of a replicate depend on both.
 BLOCK_SIZE = 512
-DRAWS_PER_ROW = 65536
+# Blocks of a group that are split in one task, at most.
+SEGMENT = 4096
 # Rows of a group that are put in order together, at most about so many.
 ROWS_PER_BUCKET = 4096
 # Replicates that meet one copy of a block.
@@ -159,34 +167,41 @@ def block_draws(
 ) -> DataFrame:
     """How many of each replicate's N draws fall in each block: GROUP, REP, BLOCK, DRAWS.
 
-    With them go the coefficients of the block's own stream of draws.
+    With them go the coefficients of the block's own stream of draws.  Blocks without draws have no
+    row, so there are at most as many rows as blocks times replicates, whatever a block holds.
 
-    Work is spread by (group, replicate, chunk of draws), so a large group fills many tasks.  Each
-    chunk has a stream of its own, so no stream is asked for more than ``DRAWS_PER_ROW`` draws.  In
-    a group of one block all draws fall in it, which needs no drawing.
+    The range of a group's blocks is split by ``splitting``, first down to segments, which are dealt
+    out, so that a large group fills many tasks, then to blocks.  Cutting segments changes no draw.
     """
-    name = [F.lit(seed), F.lit(block_size), F.col("GROUP"), F.col("REP")]
-    reps = sizes.withColumn("REP", F.explode(F.sequence(F.lit(0), F.lit(nboot - 1))))
-    one_block = (
-        reps.filter(F.col("N") <= block_size)
-        .select("GROUP", "REP", F.lit(0).cast("long").alias("BLOCK"), F.col("N").alias("DRAWS"))
+    blocks = F.ceil(F.col("N") / block_size).cast("long")
+    whole = sizes.withColumn("REP", F.explode(F.sequence(F.lit(0), F.lit(nboot - 1)))).select(
+        "GROUP", "N", "REP", F.lit(0).cast("long").alias("LOW"), blocks.alias("HIGH"), F.col("N").alias("DRAWS")
     )
-    last = F.floor((F.col("N") - 1) / DRAWS_PER_ROW)
-    chunks = (
-        reps.filter(F.col("N") > block_size)
-        .withColumn("CHUNK", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .select("*", *coefficients(*name, F.col("CHUNK")))
-        .repartition(_partitions(sizes), "GROUP", "REP", "CHUNK")
-    )
-    end = F.least(F.lit(DRAWS_PER_ROW), F.col("N") - F.col("CHUNK") * DRAWS_PER_ROW) - 1
-    drawn = (
-        chunks.withColumn("K", F.explode(F.sequence(F.lit(0).cast("long"), end)))
-        .withColumn("IDX", wide_index(F.col("K"), F.col("N")))
-        .groupBy("GROUP", "REP", F.floor(F.col("IDX") / block_size).alias("BLOCK"))
-        .agg(F.count(F.lit(1)).alias("DRAWS"))
-    )
-    streams = coefficients(*name, F.col("BLOCK"))
-    return one_block.unionByName(drawn).select("*", *streams)
+    dealt = _partitions(sizes)
+    segments = _split_ranges(whole.repartition(dealt, "GROUP", "REP"), seed, block_size, SEGMENT)
+    drawn = _split_ranges(segments.repartition(dealt, "GROUP", "REP", "LOW"), seed, block_size, 1)
+    streams = coefficients(F.lit(seed), F.lit(block_size), F.col("GROUP"), F.col("REP"), F.col("BLOCK"))
+    return drawn.select("GROUP", "REP", F.col("LOW").alias("BLOCK"), "DRAWS").select("*", *streams)
+
+
+def _split_ranges(ranges: DataFrame, seed: int, block_size: int, leaf: int) -> DataFrame:
+    """Rows (GROUP, N, REP, LOW, HIGH, DRAWS) split until they span at most ``leaf`` blocks."""
+    ship_package(ranges.sparkSession)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group, rows, rep, low, high, draws = batch.columns
+            owners = zip(group.to_pylist(), rep.to_pylist(), strict=True)
+            streams = [partial(stream_coefficients, seed, block_size, g, r, "split") for g, r in owners]
+            numbers = rows.to_numpy()
+            ranges = Ranges(np.arange(batch.num_rows), low.to_numpy(), high.to_numpy(), draws.to_numpy())
+            for found in split_ranges(ranges, numbers, block_size, leaf, streams):
+                of = pa.array(found.of)
+                own = [group.take(of), rows.take(of), rep.take(of)]
+                arrays = [*own, pa.array(found.low), pa.array(found.high), pa.array(found.draws)]
+                yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
+
+    return ranges.mapInArrow(split, ranges.schema)
 
 
 def replicate_sums(blocks: DataFrame, draws: DataFrame) -> DataFrame:

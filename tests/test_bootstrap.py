@@ -1,13 +1,17 @@
 import hashlib
 import math
+import random
 from collections import defaultdict
+from fractions import Fraction
 from statistics import NormalDist, mean, variance
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from haulback import schemas
-from haulback.functions.draws import PRIME, coefficients, wide_index
+from haulback.functions.draws import PRIME, coefficients
+from haulback.functions.splitting import POINTS_PER_STREAM, binomial
 from haulback.operators import bootstrap as boot
 from haulback.operators.allocate import assign_discards, attach_groups_full
 from tests.frames import trips, values
@@ -44,9 +48,21 @@ def pick(coefficients, x, n):
     return math.floor(uniform(coefficients, x) / PRIME * n)
 
 
-def pick_wide(coefficients, x, n):
-    high, low = uniform(coefficients, 2 * x), uniform(coefficients, 2 * x + 1)
-    return math.floor((high + low / PRIME) / PRIME * n)
+def split_draws(draws, low, high, rows, size, name):
+    """Draws by block, from halves: the binomial distribution summed in whole numbers."""
+    if high - low == 1:
+        return {low: draws}
+    middle = (low + high) // 2
+    c, x = stream(*name, "split", middle // POINTS_PER_STREAM), middle % POINTS_PER_STREAM
+    u = (uniform(c, 2 * x) + uniform(c, 2 * x + 1) / PRIME) / PRIME
+    whole = min(high * size, rows) - low * size
+    part = (middle - low) * size
+    k, passed = 0, (whole - part) ** draws
+    while passed <= Fraction(u) * whole**draws:
+        k += 1
+        passed += math.comb(draws, k) * part**k * (whole - part) ** (draws - k)
+    left = split_draws(k, low, middle, rows, size, name) if k else {}
+    return left | (split_draws(draws - k, middle, high, rows, size, name) if draws > k else {})
 
 
 def brute_force(rows, nboot, seed, block_size):
@@ -59,13 +75,7 @@ def brute_force(rows, nboot, seed, block_size):
         members.sort(key=lambda r: (r.ROW_KEY, r.COD, r.HAD, r.OBS))
         n = len(members)
         for b in range(nboot):
-            counts = defaultdict(int)
-            if n <= block_size:
-                counts[0] = n
-            else:
-                for k in range(n):
-                    c = stream(seed, block_size, g, b, k // boot.DRAWS_PER_ROW)
-                    counts[pick_wide(c, k % boot.DRAWS_PER_ROW, n) // block_size] += 1
+            counts = split_draws(n, 0, -(-n // block_size), n, block_size, (seed, block_size, g, b))
             sums = defaultdict(float)
             for block, draws in counts.items():
                 size = min(block_size, n - block * block_size)
@@ -80,9 +90,9 @@ def brute_force(rows, nboot, seed, block_size):
     return out
 
 
-@pytest.mark.parametrize("block_size", [16, 8192])
-def test_replicates_match_brute_force(spark, block_size, monkeypatch):
-    monkeypatch.setattr(boot, "DRAWS_PER_ROW", 50)  # so that a replicate has several streams
+@pytest.mark.parametrize("block_size, segment", [(16, 4096), (4, 2), (4, 5), (8192, 4096)])
+def test_replicates_match_brute_force(spark, block_size, segment, monkeypatch):
+    monkeypatch.setattr(boot, "SEGMENT", segment)
     data = make_trips(spark, 90).unionByName(make_trips(spark, 40, zone=2))
     table = groups(spark, (90, 1, 2, "A"), (90, 2, 2, "B"))
     grouped = boot.grouped_trips(data, table)
@@ -91,14 +101,38 @@ def test_replicates_match_brute_force(spark, block_size, monkeypatch):
     assert {(r.GROUP, r.REP): pytest.approx(r.MULT) for r in got} == expected
 
 
-def test_draws_do_not_repeat_after_the_prime(spark):
-    """Draw k and draw k + P of a replicate are of different streams, and so differ."""
-    k = list(range(40))
-    rows = [(x // boot.DRAWS_PER_ROW, x % boot.DRAWS_PER_ROW) for p in (0, PRIME) for x in (i + p for i in k)]
-    df = spark.createDataFrame(rows, "CHUNK long, K long")
-    df = df.select("*", *coefficients(F.lit(1), F.col("CHUNK")))
-    got = [r.i for r in df.select(wide_index(F.col("K"), F.lit(10**15)).alias("i")).collect()]
-    assert got[:40] != got[40:] and len(set(got)) == 80 and max(got) > 2**40
+def test_binomial_against_whole_numbers():
+    draw = random.Random(8)
+    cases = [(1, 1, 2), (5, 1, 6), (513, 512, 513), (700, 1, 513), (2000, 512, 1024), (3, 2, 3)]
+    cases += [(draw.randint(1, 300), a, a + draw.randint(1, 90)) for a in (1, 7, 64, 90) for _ in range(10)]
+    numbers = [1e-9, 0.5, 1 - 1e-12, *(draw.random() for _ in range(8))]
+    n, a, r, u = map(np.array, zip(*((*c, x) for c in cases for x in numbers), strict=True))
+    for n, a, r, u, got in zip(*(x.tolist() for x in (n, a, r, u, binomial(n, a, r, u))), strict=True):
+        k, passed = 0, (r - a) ** n
+        while passed <= Fraction(u) * r**n:
+            k += 1
+            passed += math.comb(n, k) * a**k * (r - a) ** (n - k)
+        assert got == k, (n, a, r, u)
+
+
+def test_large_splits_have_the_binomial_mean_and_variance():
+    u = np.random.default_rng(1).random(4000)
+    n, a, r = 10**9, 3 * 10**8, 10**9
+    got = binomial(np.full(4000, n), np.full(4000, a), np.full(4000, r), u)
+    apart = (got - n * 0.3) / math.sqrt(n * 0.21)
+    assert abs(apart.mean()) < 0.06 and apart.std() == pytest.approx(1, abs=0.05)
+
+
+def test_block_draws_follow_the_blocks(spark):
+    """A hundred times the trips in blocks a hundred times as large: the same rows of draws."""
+    counts = []
+    for rows, block in ((4000, 100), (400_000, 10_000)):
+        sizes = spark.createDataFrame([("A", rows)], "`GROUP` string, N long")
+        found = boot.block_draws(sizes, 50, 10, block)
+        total = found.agg(F.count("*").alias("n"), F.sum("DRAWS").alias("draws")).first()
+        assert total.draws == 50 * rows
+        counts.append(total.n)
+    assert counts == [50 * 40] * 2
 
 
 def test_stream_names_do_not_collide(spark):
