@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulback import schemas
@@ -49,41 +49,62 @@ def first_observer_rows(observers: DataFrame) -> DataFrame:
     )
 
 
-def exact_matches(landings: DataFrame, observers: DataFrame) -> DataFrame:
-    """Landings with the first observer row of their vessel and landing date, null = null."""
-    first = first_observer_rows(observers).withColumnsRenamed(
-        {"TRIP": "TRIP_OBS", "TRIPCD_ID": "TRIPCD_OBS"}
-    )
-    return null_safe_join(
-        landings, first.select(*VESSEL_DAY, "TRIP_OBS", "TRIPCD_OBS"), VESSEL_DAY
-    )
+def exact_matches(landings: DataFrame, observers: DataFrame, *, by_vessel: bool = False) -> DataFrame:
+    """Landings with the first observer row of their vessel and landing date, null = null.
+
+    ``by_vessel`` says that both tables are laid out by vessel and day (``sources.by_vessel``): the
+    landings that have both then meet their observer rows where they lie, without a shuffle, and only
+    the others are matched apart.  Tables that are not are shuffled once, so that adaptive execution
+    can split a vessel-day of very many landings.
+    """
+    first = first_observer_rows(observers).withColumnsRenamed({"TRIP": "TRIP_OBS", "TRIPCD_ID": "TRIPCD_OBS"})
+    first = first.select(*VESSEL_DAY, "TRIP_OBS", "TRIPCD_OBS")
+    if not by_vessel:
+        return null_safe_join(landings, first, VESSEL_DAY)
+    known = landings.filter(_known()).join(first.filter(_known()), VESSEL_DAY, "left")
+    apart = null_safe_join(landings.filter(~_known()), first.filter(~_known()), VESSEL_DAY)
+    return known.select(*apart.columns).unionByName(apart)
 
 
-def near_observer_days(
-    observers: DataFrame, tolerance: int = 2, nearest_only: bool = False
-) -> DataFrame:
-    """Every (vessel, day) an observer trip can match, so the range join becomes an equi-join.
+def _known() -> Column:
+    return F.col("VR_NUMBER_FISHING").isNotNull() & F.col("LANDED_DATE").isNotNull()
 
-    Rows alike in what the reconciliation reads are folded into one with a count before they are
-    spread over the days; ``nearest_only`` keeps the smallest day gap, then the lowest trip.
+
+def _bin(day: Column, tolerance: int) -> Column:
+    return F.floor(F.unix_date(day) / (2 * tolerance + 1))
+
+
+def binned_observers(observers: DataFrame, tolerance: int = 2) -> DataFrame:
+    """Observer trips in the two bins of days that their tolerance can reach: BIN beside each row.
+
+    Bins are as wide as the reach, 2 x tolerance + 1 days, so a trip is listed twice whatever the
+    tolerance.  Rows alike in what the reconciliation reads are folded into one with a count.
     """
-    known = observers.filter(
-        F.col("VR_NUMBER_FISHING").isNotNull() & F.col("LANDED_DATE").isNotNull()
-    )
-    folded = known.groupBy(
+    folded = observers.filter(_known()).groupBy(
         *VESSEL_DAY, F.col("TRIP").alias("TRIP_NEAR"), F.col("TRIPCD_ID").isNotNull().alias("CODED")
     ).agg(F.count(F.lit(1)).alias("N_NEAR"))
-    days = folded.withColumn(
-        "DAY",
-        F.explode(
-            F.sequence(
-                F.date_sub("LANDED_DATE", tolerance), F.date_add("LANDED_DATE", tolerance)
-            )
-        ),
-    )
-    if not nearest_only:
-        return days.select("VR_NUMBER_FISHING", "DAY", "TRIP_NEAR", "CODED", "N_NEAR")
+    first = _bin(F.date_sub("LANDED_DATE", tolerance), tolerance)
+    return folded.withColumn("BIN", F.explode(F.array(first, first + 1)))
+
+
+def near_observer_days(
+    landings: DataFrame, observers: DataFrame, tolerance: int = 2, nearest_only: bool = False
+) -> DataFrame:
+    """The observer trips that each (vessel, day) of the landings can match.
+
+    The landings' distinct days meet the trips of their bin and keep those within the tolerance, so
+    the landings themselves join by (vessel, day), as in the exact pass.  COPIES is how many trips
+    that day matches.  ``nearest_only`` keeps the
+    smallest day gap, then the lowest trip.
+    """
+    days = landings.select("VR_NUMBER_FISHING", F.col("LANDED_DATE").alias("DAY")).dropna().distinct()
+    days = days.withColumn("BIN", _bin(F.col("DAY"), tolerance))
+    trips = binned_observers(observers, tolerance)
     gap = F.abs(F.datediff("DAY", "LANDED_DATE"))
+    days = days.join(trips, ["VR_NUMBER_FISHING", "BIN"]).filter(gap <= tolerance)
+    if not nearest_only:
+        copies = F.sum("N_NEAR").over(Window.partitionBy("VR_NUMBER_FISHING", "DAY"))
+        return days.select("VR_NUMBER_FISHING", "DAY", "TRIP_NEAR", "CODED", "N_NEAR", copies.alias("COPIES"))
     best = F.min(F.struct(gap.alias("gap"), *nulls_last("TRIP_NEAR"), F.col("CODED")))
     return (
         days.groupBy("VR_NUMBER_FISHING", "DAY")
@@ -94,6 +115,7 @@ def near_observer_days(
             F.col("b.TRIP_NEAR").alias("TRIP_NEAR"),
             F.col("b.CODED").alias("CODED"),
             F.lit(1).cast("long").alias("N_NEAR"),
+            F.lit(1).cast("long").alias("COPIES"),
         )
     )
 
@@ -103,15 +125,17 @@ def near_matches(
     observers: DataFrame,
     tolerance: int = 2,
     nearest_only: bool = False,
-    only=None,
 ) -> DataFrame:
-    """Landings with every observer trip of their vessel landed within the tolerance.
+    """Landings with every observer trip of their vessel landed within the tolerance."""
+    return join_near(landings, near_observer_days(landings, observers, tolerance, nearest_only))
+
+
+def join_near(landings: DataFrame, days: DataFrame, only: Column | None = None) -> DataFrame:
+    """Landings with the trips of their vessel and day.
 
     ``only`` limits which landings may match; the others come through once, unmatched.
     """
-    days = near_observer_days(observers, tolerance, nearest_only).withColumnsRenamed(
-        {"VR_NUMBER_FISHING": "VR_NEAR"}
-    )
+    days = days.withColumnRenamed("VR_NUMBER_FISHING", "VR_NEAR")
     cond = (
         F.col("VR_NUMBER_FISHING").eqNullSafe(F.col("VR_NEAR"))
         & F.col("LANDED_DATE").eqNullSafe(F.col("DAY"))
@@ -119,7 +143,7 @@ def near_matches(
     if only is not None:
         cond = cond & only
     joined = landings.join(days, cond, "left").drop("VR_NEAR", "DAY")
-    return joined.withColumn("N_NEAR", F.coalesce("N_NEAR", F.lit(1)))
+    return joined.withColumns({c: F.coalesce(c, F.lit(1)) for c in ("N_NEAR", "COPIES")})
 
 
 def reconcile(
@@ -133,13 +157,14 @@ def reconcile(
 ) -> DataFrame:
     """Landings labelled with how they met the observer data, trip numbers repaired.
 
-    Adds TRIP_LANDING (as landed), TRIP_OBS (observer's), OUTCOME; TRIP is the repaired number.
-    Both passes join on vessel and date, so the landings are shuffled once for the two of them.
+    Adds TRIP_LANDING (as landed), TRIP_OBS (observer's), OUTCOME, and COPIES, the rows that the
+    landing has become; TRIP is the repaired number.
+    Both passes join on vessel and date, so the landings are shuffled once for the two of them; their
+    distinct vessels and days are read beside that, so pass a written table.
     """
-    exact = exact_matches(landings, observers).withColumn(
-        "EXACT", F.col("TRIPCD_OBS").isNotNull()
-    )
-    joined = near_matches(exact, observers, tolerance, nearest_only, only=~F.col("EXACT"))
+    exact = exact_matches(landings, observers).withColumn("EXACT", F.col("TRIPCD_OBS").isNotNull())
+    days = near_observer_days(landings, observers, tolerance, nearest_only)
+    joined = join_near(exact, days, only=~F.col("EXACT"))
     near = ~F.col("EXACT") & F.coalesce("CODED", F.lit(False))
     joined = joined.withColumn(
         "TRIP_OBS", F.when(F.col("EXACT"), F.col("TRIP_OBS")).when(near, F.col("TRIP_NEAR"))
@@ -173,7 +198,7 @@ def reconcile(
         .withColumn("TRIP", repaired)
     )
     return repeat_rows(labelled, "N_NEAR").select(
-        *schemas.LANDING, "TRIP_LANDING", "TRIP_OBS", "OUTCOME"
+        *schemas.LANDING, "TRIP_LANDING", "TRIP_OBS", "OUTCOME", "COPIES"
     )
 
 

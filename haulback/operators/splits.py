@@ -1,17 +1,16 @@
 """Splits that take records out of the estimate, each with its reason.
 
 ``label_landings`` brings the evidence of all splits to the landings with one join on the trip
-number and one grouping by trip; ``splits_of`` reads every kept and removed side off its columns.
+number, and what the directed trips and records amount to with two on small tables; ``splits_of`` reads every kept and removed side off its columns.
 The functions of single splits do the same for a caller who needs one of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulback import schemas
@@ -21,7 +20,13 @@ from haulback.functions.codes import (
     TARGET_SPECIES_SOUGHT,
 )
 from haulback.functions.missing import count_where, ieee_divide, is_finite
-from haulback.operators.joins import Split, join_on_trip, null_safe_join, repeat_rows
+from haulback.operators.joins import (
+    TRIP_SALTS,
+    Split,
+    join_on_trip,
+    null_safe_join,
+    repeat_rows,
+)
 
 __all__ = ["Split", "no_panel", "non_commercial", "observed_quarters", "species_sought"]
 
@@ -136,7 +141,7 @@ def pollock_directed():
 def tag_directed(landings: DataFrame, sought: DataFrame) -> DataFrame:
     """Landings with the evidence of the four direction rules."""
     tagged = join_on_trip(landings, other_species_trips(sought))
-    tagged = null_safe_join(tagged, cod_directed_trips(landings), ["TRIP_ID"], salts=16)
+    tagged = null_safe_join(tagged, cod_directed_trips(landings), ["TRIP_ID"], salts=TRIP_SALTS)
     turned = F.coalesce("TURNED_TO_COD", F.lit(False))
     return tagged.select(
         *landings.columns,
@@ -170,6 +175,18 @@ def directed_records(tagged: DataFrame) -> DataFrame:
     return out.drop(*EVIDENCE)
 
 
+def directed_keys(tagged: DataFrame) -> DataFrame:
+    """The keys under which directed records are reported, each once: with their weights as they
+    are, or filled, by the rules they meet."""
+    raw = F.struct(*RECORD_KEYS)
+    filled = F.struct(*(_filled(c).alias(c) if c in schemas.WEIGHTS else F.col(c) for c in RECORD_KEYS))
+    reported = F.array(
+        F.when((F.col("N_OTHER") > 0) | F.col("ALL_COD"), raw), F.when(F.col("LAST_COD") | F.col("POLLOCK"), filled)
+    )
+    keys = tagged.select(F.explode(reported).alias("k")).filter("k IS NOT NULL")
+    return keys.select("k.*").distinct()
+
+
 def species_sought(landings: DataFrame, sought: DataFrame, *, by_record: bool = False) -> Split:
     """Records directed at other species leave.
 
@@ -186,8 +203,7 @@ def split_directed(tagged: DataFrame, *, by_record: bool = False) -> Split:
         kept = tagged.filter((F.col("N_OTHER") == 0) & ~F.col("ALL_COD") & ~F.col("LAST_COD"))
         kept = kept.filter(~F.col("POLLOCK"))
     else:
-        gone = directed.select(*RECORD_KEYS).distinct()
-        kept = null_safe_join(tagged, gone, RECORD_KEYS, "left_anti")
+        kept = null_safe_join(tagged, directed_keys(tagged), RECORD_KEYS, "left_anti")
     return Split(kept=kept.drop(*EVIDENCE), removed=directed)
 
 
@@ -269,51 +285,49 @@ LABELS = [
 ]
 
 
-def label_landings(zoned: DataFrame, evidence: DataFrame, *, exclusive: bool = False) -> DataFrame:
+def as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def label_landings(
+    zoned: DataFrame,
+    evidence: DataFrame,
+    *,
+    exclusive: bool = False,
+    keep: Callable[[DataFrame], DataFrame] = as_is,
+) -> DataFrame:
     """Landings, in a zone or not, with all that the splits look at (``LABELS``).
 
     N_KEPT is how often the panel split keeps the landing.  Direction is judged among the landings
     it keeps, by trip; TWIN says that a directed record is reported with the landing's vessel, trip,
-    dates and weights.  All groupings hold the trip, so one shuffle by trip serves them.
+    dates and weights.
+
+    Trips are folded in the tasks that read them, and only those whose sets turn out directed come
+    back to the landings; so do the distinct keys of directed records.  Neither holds a trip's
+    landings in one task, however many these are.  ``keep`` writes a table that is read more than
+    once: the landings with their evidence, and the two small ones, whose size Spark then knows.
     """
     joined = join_evidence(zoned, evidence)
     left = F.when(F.col("N_BARE") + F.col("N_PANEL") == 0, 1).otherwise(F.col("N_PANEL"))
     if exclusive:
         left = F.when(F.col("N_BARE") == 0, 1).otherwise(0)
     here = in_zone() & ~F.col("NON_COMMERCIAL")
-    joined = joined.withColumn("N_KEPT", F.when(here, left).otherwise(0).cast("long"))
+    joined = keep(joined.withColumn("N_KEPT", F.when(here, left).otherwise(0).cast("long")))
     judged = F.col("N_KEPT") > 0
-    flag = F.when(_cod_directed(), 1).otherwise(0)
-    set_id = F.col("LOG_EFRT_STD_INFO_ID")
-    finite = is_finite(_cod_ratio())
-    place = F.struct(set_id.isNull().alias("late"), set_id, flag.alias("flag"))
-    place = F.when(judged & finite, place)
-    trip = Window.partitionBy("TRIP_ID")
-    joined = joined.withColumns(
-        {
-            "_all": F.min(F.when(judged, flag)).over(trip) == 1,
-            "_first": F.min(place).over(trip).getField("flag"),
-            "_last": F.max(place).over(trip).getField("flag"),
-        }
-    )
-    turned = F.coalesce((F.col("_first") == 0) & (F.col("_last") == 1), F.lit(False))
+    trips = keep(cod_directed_trips(joined.filter(judged)))
+    joined = null_safe_join(joined, trips, ["TRIP_ID"], salts=TRIP_SALTS)
+    turned = F.coalesce("TURNED_TO_COD", F.lit(False))
     joined = joined.withColumns(
         {
             "N_OTHER": F.when(judged, F.col("N_OTHER")).otherwise(0),
-            "ALL_COD": judged & F.coalesce("_all", F.lit(False)),
-            "LAST_COD": judged & turned & finite & _cod_directed(),
+            "ALL_COD": judged & F.coalesce("ALL_DIRECTED", F.lit(False)),
+            "LAST_COD": judged & turned & is_finite(_cod_ratio()) & _cod_directed(),
             "POLLOCK": judged & pollock_directed(),
         }
-    ).drop("_all", "_first", "_last")
-    # A directed record is reported with its weights as they are, or filled, by the rule it meets.
-    as_is = (F.col("N_OTHER") > 0) | F.col("ALL_COD")
-    filled = F.col("LAST_COD") | F.col("POLLOCK")
-    keys = [k for k in RECORD_KEYS if k not in schemas.WEIGHTS]
-    raw = Window.partitionBy(*RECORD_KEYS)
-    full = Window.partitionBy(*keys, *[_filled(c) for c in schemas.WEIGHTS])
-    whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in schemas.WEIGHTS])
-    twin = F.max(as_is).over(raw) | (whole & F.max(filled).over(full))
-    return joined.withColumn("TWIN", twin)
+    ).drop("ALL_DIRECTED", "TURNED_TO_COD")
+    keys = keep(directed_keys(joined))
+    joined = null_safe_join(joined, keys.withColumn("TWIN", F.lit(True)), RECORD_KEYS)
+    return joined.withColumn("TWIN", F.coalesce("TWIN", F.lit(False)))
 
 
 def in_zone() -> Column:

@@ -8,6 +8,7 @@ from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from haulback.operators.coverage import CoverageSummary, coverage_summary
 from haulback.operators.lineage import cut_lineage
@@ -24,6 +25,7 @@ from haulback.operators.splits import (
 )
 from haulback.operators.trips import aggregate_trips, grouping_table
 from haulback.operators.zones import CELL, locate, split_by_zone, with_fallback, zone_cells
+from haulback.plans.accounting import Accounts, label_counts, reconciled_counts
 from haulback.sources.landings import LandingTables, pull_landings
 from haulback.sources.observers import (
     ObserverTables,
@@ -31,7 +33,7 @@ from haulback.sources.observers import (
     pull_observer_trips,
     sought_sets,
 )
-from haulback.sources.reports import write_coverage, write_reports
+from haulback.sources.reports import write_reports
 
 
 class ReadyData(NamedTuple):
@@ -47,10 +49,7 @@ class ReadyData(NamedTuple):
     zoned: Split
     splits: LandingSplits
     quarters: Split
-
-
-def as_is(df: DataFrame) -> DataFrame:
-    return df
+    accounts: Accounts
 
 
 def ready_data(
@@ -75,22 +74,26 @@ def ready_data(
     """Reconcile, classify, locate, split and aggregate one year's landings.
 
     Where one result feeds several tables it is written once, to ``folder`` or else to the session's
-    ``spark.checkpoint.dir``: the observer trips, the index of the zones, and the landings twice, as
-    reconciled and with the labels of all splits.  With ``keep=as_is`` the whole graph stays lazy,
-    for a caller who reads one table only.
+    ``spark.checkpoint.dir``: the observer trips, the index of the zones, the landings as pulled, as
+    reconciled, with the evidence on their trips and with the labels of all splits, and the directed
+    trips and records.  ``accounts`` has the rows of every step, counted as they were written.  ``keep`` is
+    another way to write a table and read it again; it must cut the lineage, as most of these are
+    read several times over and the plan would double with each.
     """
     keep = keep or partial(cut_lineage, folder=folder)
     observers = keep(pull_observer_trips(observer_tables, year))
-    labelled = keep(
-        reconcile(
-            pull_landings(landing_tables, year),
-            observers,
-            tolerance=tolerance,
-            null_trip_as_blank=null_trip_as_blank,
-            replace_incorrect=replace_incorrect,
-            nearest_only=nearest_only,
-        )
+    accounts = Accounts()
+    watch = accounts.watch
+    wide = keep(watch(pull_landings(landing_tables, year), "pulled", {"rows": F.count(F.lit(1))}))
+    labelled = reconcile(
+        wide,
+        observers,
+        tolerance=tolerance,
+        null_trip_as_blank=null_trip_as_blank,
+        replace_incorrect=replace_incorrect,
+        nearest_only=nearest_only,
     )
+    labelled = keep(watch(labelled, "reconciled", reconciled_counts()))
     reports = trip_reports(labelled, observers)
 
     cells = keep(zone_cells(zone_edges, cell))
@@ -99,7 +102,8 @@ def ready_data(
     zoned = with_fallback(located, observers, positions, cells, cell)
     features, sought = panel_features(observer_tables, year), sought_sets(observer_tables, year)
     evidence = trip_evidence(observers, features, sought)
-    tagged = keep(label_landings(zoned, evidence, exclusive=exclusive))
+    tagged = label_landings(zoned, evidence, exclusive=exclusive, keep=keep)
+    tagged = keep(watch(tagged, "labelled", label_counts(exclusive)))
 
     by_zone = split_by_zone(tagged)
     splits = splits_of(tagged, exclusive=exclusive, by_record=by_record)
@@ -121,14 +125,15 @@ def ready_data(
         by_zone,
         splits,
         quarters,
+        accounts,
     )
 
 
 def write_ready_data(
     ready: ReadyData, directory: str, year: int, run_date: dt.date | None = None
 ) -> dict[str, str]:
-    """Write the five report tables and the coverage report."""
-    paths = write_reports(
+    """Write the five report tables and the coverage report, put in place as one set."""
+    return write_reports(
         {
             "MissingTrips": ready.reports.missing,
             "ObserverCheck": ready.reports.observer_check,
@@ -139,5 +144,5 @@ def write_ready_data(
         directory,
         year,
         run_date,
+        coverage=ready.coverage,
     )
-    return paths | write_coverage(ready.coverage, directory, run_date)

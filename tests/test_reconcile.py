@@ -113,3 +113,22 @@ def test_reports(spark):
         ("3", "T3", None),
         ("X2", "match", rec.CHECK_COMMENT),
     ]
+
+
+def test_bins_hold_two_rows_of_a_trip_whatever_the_tolerance(spark):
+    import random
+
+    draw = random.Random(3)
+    rows = [{"VR_NUMBER_FISHING": draw.choice([1, 2, None]), "LANDED_DATE": day(draw.randint(-400, 400)), "TRIP": f"T{i}"} for i in range(60)]
+    obs = observers(spark, *rows)
+    known = sum(r["VR_NUMBER_FISHING"] is not None for r in rows)
+    days = [(v, d) for v in (1, 2, 3, None) for d in range(-420, 421, 3)]
+    land = landings(spark, *[{"VR_NUMBER_FISHING": v, "LANDED_DATE": day(d), "TRIP_ID": i} for i, (v, d) in enumerate(days)])
+    for tolerance in (0, 2, 60):
+        assert rec.binned_observers(obs, tolerance).count() == 2 * known
+        got = rec.near_matches(land, obs, tolerance).select("TRIP_ID", "TRIP_NEAR").collect()
+        expected = []
+        for i, (v, d) in enumerate(days):
+            near = [r["TRIP"] for r in rows if v is not None and r["VR_NUMBER_FISHING"] == v and abs((r["LANDED_DATE"] - day(d)).days) <= tolerance]
+            expected += [(i, t) for t in near or [None]]
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected)), tolerance

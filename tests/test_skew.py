@@ -97,3 +97,22 @@ def test_long_trip_is_folded_before_its_shuffle(skewed):
     ]
     assert "partial_min" in plan(got) and "Window" not in plan(got)
 
+
+
+def test_null_and_giant_trips_are_split_when_labelled(skewed):
+    """A third of the landings without a trip id, a third of one trip: both are dealt out again."""
+    n = 30000
+    kind = F.col("TRIP_ID") % 3
+    trip = F.when(kind == 0, F.lit(None)).when(kind == 1, F.lit(7)).otherwise(F.col("TRIP_ID") + 10).cast("long")
+    land = many_landings(skewed, n, 1).withColumns(
+        {"TRIP_ID": trip, "100": F.lit(9.0), "110": F.lit(1.0), "VR_NUMBER_FISHING": F.col("TRIP_ID")}
+    )
+    none = skewed.createDataFrame([], "TRIP string, X int")
+    evidence = splits.trip_evidence(
+        observers(skewed, {"TRIP": "T1"}), none.withColumnRenamed("X", "GEARFCD_ID"), none.withColumnRenamed("X", "SPECSCD_ID")
+    )
+    labelled = splits.label_landings(land, evidence)
+    rows = labelled.groupBy("ALL_COD", "TWIN").agg(F.count("*").alias("n"), F.sum("LOG_EFRT_STD_INFO_ID"))
+    assert [(r.ALL_COD, r.TWIN, r.n) for r in rows.collect()] == [(True, True, n)]
+    text = plan(rows)
+    assert "Window" not in text and "SortMergeJoin(skew=true)" in text and "_salt" in text
