@@ -1,3 +1,7 @@
+import random
+
+import pytest
+
 from haulback import schemas
 from haulback.operators.sector import assign_sector
 from haulback.operators.zones import assign_zone, locate, mean_positions, zone_cells
@@ -40,6 +44,32 @@ def test_grid_cell_size_does_not_matter(spark):
     assert {z for _, _, z in found[0]} == {0, 1, 2}
 
 
+@pytest.mark.parametrize("max_edges, depth", [(16, 6), (1, 4), (2, 2), (1, 0)])
+def test_index_against_all_edges(spark, max_edges, depth):
+    """Random zones with corners on the grid, holes, doubled edges and slivers, however divided."""
+    draw = random.Random(depth)
+    shapes = []
+    for z in range(1, 5):
+        rings = [[(draw.choice([draw.uniform(-2, 3), draw.randint(-2, 3)]), draw.choice([draw.uniform(-2, 3), draw.randint(-8, 12) / 4]))
+                  for _ in range(draw.randint(3, 9))] for _ in range(draw.randint(1, 2))]
+        shapes.append((z, rings + (rings[:1] * 2 if z == 3 else [])))
+    table = edges(spark, shapes)
+    rows = table.collect()
+    points = [(draw.choice([draw.uniform(-3, 4), draw.randint(-12, 16) / 4]), draw.choice([draw.uniform(-3, 4), draw.randint(-12, 16) / 4]))
+              for _ in range(1500)]
+
+    def zone_of(x, y):
+        for z in range(1, 5):
+            own = [e for e in rows if e.zone_id == z and (e.y1 > y) != (e.y2 > y)]
+            if sum(x < e.x1 + (y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) for e in own) % 2:
+                return z
+        return 0
+
+    df = spark.createDataFrame(points, "x double, y double")
+    got = locate(df, zone_cells(table, 0.5, max_edges, depth), "y", "x", "z", 0.5).collect()
+    assert len(got) == len(points) and [r.z for r in got] == [zone_of(r.x, r.y) for r in got]
+
+
 def test_fallback_positions_and_no_zone(spark):
     shapes = edges(spark, [(1, [[(-67, 41), (-66, 41), (-66, 42), (-67, 42)]])])
     land = assign_sector(
