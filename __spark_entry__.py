@@ -7,7 +7,6 @@ import sys
 import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
-from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -157,6 +156,20 @@ class Work:
     def coverage(self) -> coverage.CoverageSummary:
         return self.ready.coverage
 
+    @cached_property
+    def snapshot(self) -> str:
+        """Folder of the written snapshot, with the pulled tables laid out by vessel and date."""
+        path, i = self.folder(), self.inputs
+        snapshots.write_snapshot(
+            path, sql.YEAR, i.landings, i.observers, self.fleets(), self.position_classes(), buckets=8
+        )
+        return path
+
+    @cached_property
+    def written(self) -> dict[str, str]:
+        """Paths of the written reports and coverage sheets, one set."""
+        return write_ready_data(self.ready, self.folder(), sql.YEAR)
+
     def folder(self) -> str:
         """A new folder beside the session's written steps, for what a query writes and reads."""
         return f"{work_folder(self.spark)}/haulback/{uuid.uuid4().hex}"
@@ -225,39 +238,84 @@ def _landing_dates_from_text(w: Work) -> DataFrame:
     return read.select("trip_id", F.col("landed_date").cast("string").alias("landed_date")).distinct()
 
 
-def _snapshot(w: Work) -> str:
-    path = w.folder()
-    i = w.inputs
-    snapshots.write_snapshot(
-        path, sql.YEAR, i.landings, i.observers, w.fleets(), w.position_classes()
-    )
-    return path
-
-
 def _snapshot_round_trip(w: Work) -> DataFrame:
-    path = _snapshot(w)
     parts = {
-        "records": landings.LandingTables.from_parquet(w.spark, f"{path}/landings").records,
-        "positions": positions.read_positions(w.spark, path, sql.YEAR),
-        "fleets": w.spark.read.parquet(f"{path}/fleets"),
+        "records": landings.LandingTables.from_parquet(w.spark, f"{w.snapshot}/landings").records,
+        "positions": positions.read_positions(w.spark, w.snapshot, sql.YEAR),
+        "fleets": w.spark.read.parquet(f"{w.snapshot}/fleets"),
     }
     rows = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("name"), "n") for k, df in parts.items()]
     return reduce(DataFrame.unionByName, rows)
 
 
 def _positions_from_snapshot(w: Work) -> DataFrame:
-    return positions.read_positions(w.spark, _snapshot(w), sql.YEAR)
-
-
-def _reports_round_trip(w: Work) -> DataFrame:
-    path = write_ready_data(w.ready, w.folder(), sql.YEAR)["DataforGrouping"]
-    types = "SECTOR int, ZONE int, Q int, UNOBS long, OBS long, COVERAGE double, DGROUP int"
-    return _rounded(w.spark.read.schema(types).csv(path, header=True, enforceSchema=False), "COVERAGE")
-
-
-def _coverage_round_trip(w: Work) -> DataFrame:
-    path = reports.write_coverage(w.coverage, w.folder(), fmt="parquet")["FLEET-ZONE-Q SUMMARY"]
-    return _rounded(w.spark.read.parquet(path), "COVERAGE")
+    return positions.read_positions(w.spark, w.snapshot, sql.YEAR)
+
+
+def _fleets_from_snapshot(w: Work) -> DataFrame:
+    return w.spark.read.parquet(f"{w.snapshot}/fleets")
+
+
+def _exact_matches_by_vessel(w: Work) -> DataFrame:
+    """The year's landings and observer trips met where they lie."""
+    return rec.exact_matches(*snapshots.read_pulled(w.spark, w.snapshot, sql.YEAR), by_vessel=True)
+
+
+def _stored(group: str, name: str) -> Callable[[Work], DataFrame]:
+    kinds = {"landings": landings.LandingTables, "observers": observers.ObserverTables}
+    return lambda w: getattr(kinds[group].from_parquet(w.spark, f"{w.snapshot}/{group}"), name)
+
+
+def _report(name: str, frame: Callable[[Work], DataFrame], fmt: str = "csv") -> Callable[[Work], DataFrame]:
+    """A written report read again under the types of the frame it was written from."""
+
+    def read(w: Work) -> DataFrame:
+        reader = w.spark.read.schema(frame(w).schema)
+        if fmt == "csv":
+            reader = reader.options(header=True, enforceSchema=False, nullValue=None)
+        found = reader.format(fmt).load(w.written[name])
+        return _rounded(found, *(c for c in ("COVERAGE", "value") if c in found.columns))
+
+    return read
+
+
+_SETS_PER_TRIP = "istrips, range(3) AS sets(s)"
+# Every table of the snapshot, from the supplied tables.
+_SNAPSHOT_TABLES = {
+    ("landings", "records"): """SELECT * REPLACE (CAST(landed_date AS VARCHAR) AS landed_date,
+        CAST(date_fished AS VARCHAR) AS date_fished), 12 AS gear_code, vr_number_fishing AS licence_id,
+        trip_id AS mon_doc_id, vr_number_fishing % 5 AS nafo_unit_area_id,
+        vr_number_fishing % 25 AS lic_quota_id FROM records""",
+    ("landings", "vessels"): "SELECT * FROM vessels",
+    ("landings", "areas"): """SELECT r_regionkey AS area_id,
+        CASE WHEN r_regionkey < 3 THEN '5Z' || r_name ELSE r_name END AS area FROM region""",
+    ("landings", "lic_quotas"): """SELECT n_nationkey AS lic_quota_id, n_nationkey + 100 AS sflt_quota_id
+        FROM nation""",
+    ("landings", "sflt_quotas"): """SELECT n_nationkey + 100 AS sflt_quota_id, sflt_desc_id,
+        n_nationkey % 7 AS fleet_quota_id FROM nation JOIN codes ON nation = n_nationkey""",
+    ("landings", "sflt_descs"): """SELECT sflt_desc_id, n_name AS desc_eng
+        FROM nation JOIN codes ON nation = n_nationkey""",
+    ("landings", "fleet_quotas"): "SELECT n_nationkey AS fleet_quota_id FROM nation WHERE n_nationkey < 6",
+    ("landings", "doc_attributes"): """SELECT k AS mon_doc_id,
+        CASE WHEN st = 'O' AND v % 25 <> 17 THEN 742 ELSE 741 END AS column_defn_id,
+        CASE WHEN st = 'F' OR v % 25 = 17 THEN 'T' || k ELSE '' END AS data_value
+        FROM ord, range(CASE WHEN st = 'F' AND k % 53 = 0 THEN 2 ELSE 1 END) AS copies(n)""",
+    ("observers", "isvessels"): """SELECT c_custkey AS vess_id, CAST(c_custkey AS VARCHAR) AS cfv,
+        c_name AS vessel_name FROM customer""",
+    ("observers", "istrips"): """SELECT k AS trip_id, v AS vess_id, TRIP AS trip, TRIPCD_ID AS tripcd_id,
+        CONF_NUMBER AS conf_number, CAST(LANDED_DATE AS VARCHAR) AS landing_date FROM istrips""",
+    ("observers", "isfishsets"): f"""SELECT k * 3 + s AS fishset_id, k AS trip_id, k AS gear_id, s + 1 AS set_no,
+        CASE WHEN unnumbered THEN 4 WHEN k % 13 = 0 AND s = 0 THEN 7 WHEN k % 4 = 0 AND s = 2 THEN 4
+            ELSE 1 END AS setcd_id, CASE WHEN k % 12 = 2 THEN 16 WHEN k % 12 = 7 THEN NULL
+            WHEN (k + s) % 2 = 0 THEN 10 ELSE 11 END AS specscd_id,
+        CASE WHEN v % 5 < 3 THEN '5Z' || s ELSE '4X' END AS nafarea_id FROM {_SETS_PER_TRIP}""",
+    ("observers", "issetprofile"): f"""SELECT k * 3 + s AS fishset_id, p AS pntcd_id,
+        CAST(d - CAST(s AS INTEGER) AS VARCHAR) AS setdate,
+        CAST(40.0 + k % 4 + s * 0.25 + p * 0.125 AS DOUBLE) AS latitude,
+        CAST(-(66.0 + k % 5 + s * 0.25) AS DOUBLE) AS longitude FROM {_SETS_PER_TRIP}, range(1, 3) AS points_of(p)""",
+    ("observers", "isgears"): "SELECT k AS gear_id, GEARCD_ID AS gearcd_id FROM istrips",
+    ("observers", "isgearfeatures"): "SELECT k AS gear_id, feature AS gearfcd_id FROM features",
+}
 
 
 def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
@@ -331,11 +389,40 @@ def _definitions() -> dict[str, tuple[Callable[[Work], DataFrame], str]]:
             _positions_from_snapshot,
             f"SELECT * EXCLUDE (year, gear_class) FROM ({_POSITION_SNAPSHOT})",
         ),
-        "reports_round_trip": (
-            _reports_round_trip,
-            _select("strata", "COVERAGE"),
+        "fleets_from_snapshot": (_fleets_from_snapshot, f"SELECT *, {year} AS year FROM year_fleets"),
+        **{f"snapshot_{name}": (_stored(group, name), text) for (group, name), text in _SNAPSHOT_TABLES.items()},
+        "exact_matches_by_vessel": (
+            _exact_matches_by_vessel,
+            sql.exact_of(f"SELECT * FROM wide WHERE {in_year}", year),
+        ),
+        "reports_round_trip": (_report("DataforGrouping", lambda w: w.strata), _select("strata", "COVERAGE")),
+        "missing_trips_report": (_report("MissingTrips", lambda w: w.reports.missing), _select("missing")),
+        "observer_check_report": (
+            _report("ObserverCheck", lambda w: w.reports.observer_check),
+            _select("check_list"),
+        ),
+        "removed_records_report": (_report("RemovedRecords", lambda w: w.ready.removed), _select("removed")),
+        "ready_trips_report": (_report("Aggregated", lambda w: w.trips), _select("trips")),
+        "coverage_round_trip": (
+            _report("FLEET-ZONE-Q SUMMARY", lambda w: w.coverage.stratum),
+            _select("stratum_coverage", "COVERAGE"),
+        ),
+        "fleet_coverage_sheet": (
+            _report("FLEET SUMMARY", lambda w: w.coverage.fleet),
+            _select("fleet_coverage", "COVERAGE"),
+        ),
+        "mean_coverage_sheet": (
+            _report("MEAN COVERAGE", lambda w: w.coverage.mean),
+            "SELECT 'MEAN COVERAGE' AS desc, round(avg(COVERAGE), 6) AS value FROM fleet_coverage",
+        ),
+        "fleets_all_observed_sheet": (
+            _report("FLEETS ALL OBS", lambda w: w.coverage.fleet_all_observed),
+            "SELECT * FROM fleet_coverage WHERE COVERAGE = 1",
+        ),
+        "strata_all_observed_sheet": (
+            _report("FLEET-ZONE-Q ALL OBS", lambda w: w.coverage.stratum_all_observed),
+            "SELECT * FROM stratum_coverage WHERE COVERAGE = 1",
         ),
-        "coverage_round_trip": (_coverage_round_trip, _select("stratum_coverage", "COVERAGE")),
         # Reconciliation.
         "first_observer_rows": (
             lambda w: rec.first_observer_rows(w.observers),
@@ -621,11 +708,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """Queries and statements of the training-data operators; none where the subpackage is absent."""
-    if find_spec("haulback.llm") is None or find_spec("corpus_pipeline") is None:
+    try:
+        import corpus_pipeline
+        from haulback.llm import queries as llm
+    except ImportError:
         return {}, {}
-    import corpus_pipeline
-
-    from haulback.llm import queries as llm
 
     statement = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {**llm.SQL, **statement}
@@ -657,4 +744,6 @@ _WITHOUT_DATES = {
     "bootstrap_summary", "bootstrap_curves",
     "vessel_totals", "significant_totals", "vessel_discards", "vessel_discards_ignoring_empty",
     "groups_from_csv", "landing_dates_from_text", "snapshot_round_trip", "reports_round_trip", "coverage_round_trip",
+    "fleet_coverage_sheet", "mean_coverage_sheet", "fleets_all_observed_sheet", "strata_all_observed_sheet",
+    *(f"snapshot_{name}" for _, name in _SNAPSHOT_TABLES),
 }
