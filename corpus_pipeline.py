@@ -1,8 +1,8 @@
 """Filter, deduplicate, decontaminate and encode the documents, one operator after another.
 
 Every stage works on all that its predecessor kept. Rows are told apart by ``doc_id``: rows that
-repeat one stay or go together, and a row without one has nothing to be matched by, so only the
-quality rules can remove it. Columns beyond ``doc_id``, ``text``, ``lang`` and ``n_chars`` pass
+repeat one stay or go together, but for those that lose all their words as repeated passages, and a
+row without one has nothing to be matched by, so only the quality rules can remove it. Columns beyond ``doc_id``, ``text``, ``lang`` and ``n_chars`` pass
 through the filters as they are.
 """
 
@@ -26,10 +26,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near copies."""
-    found = jaccard.near_duplicates(docs)
-    other = found.filter("doc_id != component_id").select(F.col("doc_id").alias("other_id")).distinct()
-    return docs.join(other, docs["doc_id"] == other["other_id"], "left_anti")
+    """The document of least id of each group of near copies.
+
+    Of rows that share an id, all stay if one of them has no copy under a smaller id.
+    """
+    found = jaccard.near_duplicates(docs).filter("component_id <=> doc_id")
+    kept = found.select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
