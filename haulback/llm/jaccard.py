@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from haulback.llm.arrays import LOWER, distinct, gram_hashes, list_array, text_blocks, word_bounds, word_hashes
 from haulback.llm.components import connected_components
+from haulback.llm.numbering import number_texts
 from haulback.llm.shipping import ship_package
 from haulback.operators.lineage import clear_work, cut_lineage, work_folder
 
@@ -360,8 +361,9 @@ def near_duplicates(
     Documents link when the distinct word shingles (A-Z lower-cased) that they share are at least
     ``percent`` hundredths of those that either has; a component is all that links reach, named by
     its least key. Fewer words than a shingle's make one shingle; a null text or one without words
-    has none and links with nothing. Keys are long integers; repeated rows of a key each return its
-    result, and a null key links with nothing and has a null component. An empty table gives no
+    has none and links with nothing. Keys are long integers; rows that repeat key and text each return
+    its result, different texts under one key are documents of their own that each return theirs, and
+    a null key links with nothing and has a null component. An empty table gives no
     rows; other columns are not read.
     """
     ship_package(docs.sparkSession)
@@ -369,6 +371,8 @@ def near_duplicates(
     scratch = f"{work_folder(docs.sparkSession)}/haulback/{uuid4().hex}"
     keep = partial(cut_lineage, folder=scratch)
     named = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    keyed, anew = number_texts(named, keep)
+    named = keyed.drop("_key")
     described = keep(document_sets(named, settings))
     named = named.filter("doc IS NOT NULL")
     # Equal sets are one node, named by the least document.
@@ -416,6 +420,11 @@ def near_duplicates(
     out = described.drop("bits").join(labelled, same, "left")
     component = F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")))
     result = out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    if anew:
+        keys = keep(keyed.filter("doc IS NOT NULL").select(F.col("doc").alias("_number"), "_key").distinct())
+        for c in (key, "component_id"):
+            result = result.join(keys, F.col(c) == F.col("_number"), "left").withColumn(c, F.col("_key"))
+            result = result.drop("_number", "_key")
     result = cut_lineage(result)
     clear_work(docs.sparkSession, scratch)
     return result

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from haulback.llm.arrays import _BASE, _mixed, gram_hashes, signed, sliding_min, text_blocks
+from haulback.llm.numbering import number_texts
 from haulback.llm.shipping import ship_package
 from haulback.operators.lineage import cut_lineage
 
@@ -77,7 +78,7 @@ def find_anchors(
     n, w = len(values) - scheme.window + 1, scheme.window - scheme.gram + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return Anchors(none, none, none, none, none.astype(np.int32), none)
+        return Anchors(none, none, none, none, none, none)
     grams = gram_hashes(values, scheme.gram)
     keys = (grams & _HIGH) | np.arange(len(grams), dtype=np.uint64)
     row = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))[:n]
@@ -96,8 +97,7 @@ def find_anchors(
     inverse = _powers(True, size)
     shape = (place - start).astype(np.uint64) * np.uint64(1 << 20) + count.astype(np.uint64)
     context = _mixed(covered * inverse[start] + _mixed(shape))
-    gram = (grams[place] & _LOW).astype(np.uint32).view(np.int32)
-    return Anchors(row[start], place, start, count, gram, signed(context))
+    return Anchors(row[start], place, start, count, signed(grams[place]), signed(context))
 
 
 class _Firsts:
@@ -147,7 +147,7 @@ def first_contexts(docs: DataFrame, scheme: Scheme) -> DataFrame:
                 yield from firsts.take()
         yield from firsts.take()
 
-    found = docs.filter("doc IS NOT NULL").mapInArrow(anchors, "gram int, context long, doc long, place long")
+    found = docs.filter("doc IS NOT NULL").mapInArrow(anchors, "gram long, context long, doc long, place long")
     firsts = (
         found.repartition("gram")
         .groupBy("gram", "context")
@@ -263,12 +263,14 @@ def remove_repeats(
     """Rows (key, *schema, *carry): what ``output`` makes of each text and of its symbols to be removed.
 
     ``output`` gets a block's bytes, their offsets, the removed symbols and the texts' bounds in
-    them. A text without a key takes no part in the comparison and keeps all. Columns of ``carry``
-    go along unchanged.
+    them. A text without a key takes no part in the comparison and keeps all. Several texts of one
+    key are texts of their own, in the order of ``number_texts``. Columns of ``carry`` go along
+    unchanged.
     """
     ship_package(docs.sparkSession)
     carried = [docs[c].alias(f"_{i}") for i, c in enumerate(carry)]
     whole = docs.select(docs[key].cast("long").alias("doc"), docs[text].alias("text"), *carried)
+    whole = number_texts(whole).rows
     docs = whole.select("doc", "text")
     marks = cut_lineage(first_contexts(docs, scheme))
     later = cut_lineage(resolve(with_marks(docs.filter("doc IS NOT NULL"), marks), scheme))
@@ -281,14 +283,14 @@ def remove_repeats(
             values, cuts, found, how = marked_anchors(data, offsets, rows.column(2), scheme)
             how[rows.column(0).is_null().to_numpy(zero_copy_only=False)[found.row]] = 0
             gone = removed_symbols(len(values), cuts, found, how, rows.column(3), scheme)
-            arrays = [rows.column(0), *output(data, offsets, gone, cuts), *rows.columns[4:]]
+            arrays = [rows.column(4), *output(data, offsets, gone, cuts), *rows.columns[5:]]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     own = ["doc", *(part.split()[0] for part in schema.split(", "))]
-    kept = [c for c in whole.columns if c.startswith("_")]
+    kept = [f"_{i}" for i in range(len(carry))]
     names = [*own, *kept]
     out_schema = StructType([*_parse_datatype_string(f"doc long, {schema}"), *whole.select(*kept).schema])
-    found = joined.select("doc", "text", "marks", "later", *kept).mapInArrow(finish, out_schema)
+    found = joined.select("doc", "text", "marks", "later", "_key", *kept).mapInArrow(finish, out_schema)
     return found.toDF(key, *own[1:], *carry)
 
 

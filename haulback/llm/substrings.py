@@ -52,9 +52,10 @@ def remove_passages(
 
     A word goes if it lies in ``window`` consecutive words that also start earlier: in a text of
     smaller key, or before in the same text. ``kept`` holds the other words, joined by one space.
-    A null or empty text has no words. Keys are long integers and name a text: rows that repeat key
-    and text are one text and each return its result. A text without a key is returned whole, and is
-    no earlier place for others. Texts shorter than the window lose nothing; an empty table gives no
+    A null or empty text has no words. Keys are long integers. Rows that repeat key and text are one
+    text and each return its result; different texts under one key are texts of their own, of which
+    the one whose text has the smaller 64-bit hash is the earlier. A text without a key is returned
+    whole, and is no earlier place for others. Texts shorter than the window lose nothing; an empty table gives no
     rows; other columns are not read, but for those of ``carry``, which go along.
     """
     gram = max(1, window // 4)

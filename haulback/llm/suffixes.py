@@ -182,9 +182,10 @@ def remove_strings(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
 
     A byte goes if it lies in ``length`` bytes of UTF-8 that also start earlier: in a text of smaller
     key, or before in the same text. ``kept`` (binary) holds the other bytes, which need not be valid
-    UTF-8; ``n_spans`` counts the maximal removed runs. A null text is empty. Keys are long integers
-    and name a text: rows that repeat key and text are one text and each return its result. A text
-    without a key is returned whole, and is no earlier place for others. Texts shorter than
+    UTF-8; ``n_spans`` counts the maximal removed runs. A null text is empty. Keys are long integers.
+    Rows that repeat key and text are one text and each return its result; different texts under one
+    key are texts of their own, of which the one whose text has the smaller 64-bit hash is the
+    earlier. A text without a key is returned whole, and is no earlier place for others. Texts shorter than
     ``length`` lose nothing; an empty table gives no rows; other columns are not read.
     """
     scheme = Scheme(_bytes, length, max(1, length * 8 // 25))

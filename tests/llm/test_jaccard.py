@@ -77,6 +77,16 @@ def test_against_all_pairs(spark, seed, broadcast):
             assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), label[r.doc_id]), r.doc_id
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_texts_that_share_a_key(spark, order):
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, one), (1, two), (2, two + " end"), (3, one + " end"), (3, one), (4, None), (4, "c d"), (None, one), (5, "c d")]
+    docs = spark.createDataFrame(rows[::order], "doc_id long, text string").repartition(3)
+    got = sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in near_duplicates(docs, settings=SETTINGS).collect())
+    expected = [(1, 36, 1), (1, 36, 1), (2, 37, 1), (3, 37, 1), (3, 36, 1), (4, 0, 4), (4, 1, 4), (None, 36, None), (5, 1, 4)]
+    assert got == sorted((repr(k), n, repr(c)) for k, n, c in expected)
+
+
 def test_signatures_bound_distances():
     draw = random.Random(5)
     base = [f"w{i}" for i in range(200)]

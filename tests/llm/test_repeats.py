@@ -94,3 +94,42 @@ def test_multikey_sort():
 @pytest.mark.parametrize("remove", [substrings.remove_passages, suffixes.remove_strings])
 def test_empty_table(spark, remove):
     assert remove(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+A = " ".join(f"a{i}" for i in range(60)) + " " + " ".join(f"s{i}" for i in range(30))
+B = " ".join(f"s{i}" for i in range(30)) + " " + " ".join(f"b{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, A), (1, B)],
+    [(1, B), (1, A)],
+    [(2, B), (1, A), (1, B), (None, A), (1, None)],
+    [(1, A), (1, A), (1, B), (1, B), (3, A + " c " + B), (-4, "short"), (-4, "other")],
+    [(5, A), (5, B), (5, A + " " + B), (7, B + " " + A), (7, B)],
+])
+@pytest.mark.parametrize("parts", [1, 5])
+def test_texts_that_share_a_key(spark, rows, parts):
+    """Texts of a key are judged as texts of their own: what occurs once in all of them stays."""
+    frame = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "doc_id long, text string, i int")
+    frame = frame.repartition(parts, "i") if parts > 1 else frame.coalesce(1)
+    hashes = {t: frame.sparkSession.range(1).selectExpr(f"xxhash64('{t or ''}') h").first().h for _, t in rows}
+    known = [(k, hashes[t], t) for k, t in rows if k is not None]
+    for remove, symbols, out, window in (
+        (substrings.remove_passages, lambda t: WORD.findall(t or ""), lambda w: " ".join(w), 8),
+        (suffixes.remove_strings, lambda t: list((t or "").encode()), bytes, 25),
+    ):
+        gone = brute({((k, h), tuple(symbols(t))) for k, h, t in known}, window)
+        expected = []
+        for k, t in rows:
+            left = gone.get((k, hashes[t]), set()) if k is not None else set()
+            expected.append((repr(k), out([x for i, x in enumerate(symbols(t)) if i not in left])))
+        got = remove(frame, window).collect()
+        kept = [(repr(r.doc_id), bytes(r.kept) if window == 25 else r.kept) for r in got]
+        assert sorted(kept) == sorted(expected)
+
+
+def test_carried_columns_stay_with_their_text(spark):
+    frame = spark.createDataFrame([(1, A, "x"), (1, B, "y"), (1, None, "z")], "doc_id long, text string, marks string")
+    got = substrings.remove_passages(frame, 8, carry=["text", "marks", "doc_id"]).collect()
+    assert sorted((r[5], r[0], r[6]) for r in got) == [("x", 1, 1), ("y", 1, 1), ("z", 1, 1)]
+    assert {r[4] for r in got} == {A, B, None}
