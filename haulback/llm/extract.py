@@ -27,6 +27,9 @@ RAW = "script|style|title|textarea|noscript|iframe|xmp"
 EMBEDDED = frozenset("template object svg canvas audio video annotation annotation-xml".split())
 OTHER = frozenset("nav header footer aside form button select menu dialog head label fieldset".split())
 CONTENT = frozenset(("article", "main"))
+#: Where an article may start; what a head can hold, which ends where anything else starts.
+STARTS = CONTENT | {"h1"}
+HEAD = frozenset("title base link meta style script noscript template".split())
 #: Elements whose end tag may be left out, with those that end them; what holds such elements.
 SIBLINGS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "tbody", "tfoot"),
@@ -95,9 +98,59 @@ def is_other(name: str, attributes: str) -> bool:
     return False
 
 
+class Skip:
+    """An element left out: where it starts, its name, whether by its marks, its words, whether it
+    ended, and where in it something starts that an article has."""
+
+    def __init__(self, start: int, name: str, marked: bool) -> None:
+        self.start, self.name, self.marked = start, name, marked
+        self.words, self.ended, self.article = 0, False, start if name in CONTENT else -1
+
+
+class Parsed(NamedTuple):
+    blocks: list[Block]
+    marked: bool
+    skips: list[Skip]
+
+    def share(self, skip: Skip) -> float:
+        """Of all words of the page, those in this element."""
+        words = sum(sum(b.contexts.values()) for b in self.blocks) + sum(s.words for s in self.skips)
+        return skip.words / max(words, 1)
+
+
 def page_blocks(html: str) -> tuple[list[Block], bool]:
-    """The blocks of a page that are not within other elements, in page order; has it an article?"""
+    """The blocks of a page that are not within other elements, in page order; has it an article?
+
+    An element that nothing ends is left out only up to an article, a main part or a first heading
+    that starts in it, and not at all if it holds half the page's words without one. A form, or an
+    element that is other by its marks alone, stays if it ends and holds half the words and one of
+    these, or, by its marks, three quarters of the words of a page that marks no article: it wraps the
+    text. Elements within one that stays are looked at again, to a depth of 8.
+    """
+    spare: dict[int, int] = {}
+    page = _parse(html, spare)
+    for _ in range(8):
+        more = {}
+        for skip in page.skips:
+            share = page.share(skip)
+            named = share > 0.5 and skip.article >= 0 and (skip.marked or skip.name == "form")
+            wraps = named or share > 0.75 and skip.marked and not page.marked
+            if not skip.ended and skip.article > skip.start:
+                more[skip.start] = skip.article
+            elif wraps or not skip.ended and skip.article < 0 and share > 0.5:
+                more[skip.start] = skip.start
+        if not more:
+            break
+        spare |= more
+        page = _parse(html, spare)
+    return page.blocks, page.marked
+
+
+def _parse(html: str, spare: dict[int, int]) -> Parsed:
+    """One pass over a page. ``spare`` names other elements by their start, and where to go on."""
     blocks: list[Block] = []
+    skips: list[Skip] = []
+    until = -1
     parts: list[str] = []
     contexts: dict[tuple[str, bool], int] = {}
     skipped, depth = "", 0
@@ -113,7 +166,9 @@ def page_blocks(html: str) -> tuple[list[Block], bool]:
         contexts = {}
 
     def text(piece: str) -> None:
-        if piece and not skipped:
+        if skipped:
+            skips[-1].words += len(piece.split())
+        elif piece:
             parts.append(piece)
             key = (kind, links > 0)
             contexts[key] = contexts.get(key, 0) + len(piece.split())
@@ -133,8 +188,14 @@ def page_blocks(html: str) -> tuple[list[Block], bool]:
                 end = stop.end()
                 continue
             unended.add(name)
+        if skipped and m.start() == until:
+            skipped, skips[-1].ended = "", True
         if skipped:
-            if skipped == "p" and name in BLOCKS and not (closing and name == "p"):
+            if not closing and name in STARTS and skips[-1].article < 0:
+                skips[-1].article = m.start()
+            if skipped == "head" and name not in HEAD and name != "head":
+                skipped = ""  # its end tag may be left out
+            elif skipped == "p" and name in BLOCKS and not (closing and name == "p"):
                 skipped = ""  # a paragraph ends where the next block starts
             elif skipped in SIBLINGS and depth == 1 and (
                 name in SIBLINGS[skipped] if not closing else name in HOLDERS
@@ -146,9 +207,13 @@ def page_blocks(html: str) -> tuple[list[Block], bool]:
                 elif closing and name == skipped and depth == 1:
                     depth = 0
                 if not depth:
-                    skipped = ""
+                    skipped, skips[-1].ended = "", True
                 continue
+            skips[-1].ended = True
         tags += 1
+        by_name = name in OTHER
+        other = not closing and (by_name or is_other(name, attributes))
+        other = other and name not in VOID and spare.get(m.start()) != m.start()
         if name == "br":
             parts.append(" ")
         elif name == "a":
@@ -156,15 +221,16 @@ def page_blocks(html: str) -> tuple[list[Block], bool]:
         if name in BLOCKS:
             close()
             kind = "body" if closing else name
-            if name in CONTENT and (closing or not is_other(name, attributes)):
+            if name in CONTENT and not other:
                 articles = max(0, articles - 1) if closing else articles + 1
                 links, marked = 0, True
-        if not closing and name not in VOID and is_other(name, attributes):
+        if other:
             close()
-            skipped, depth = name, 1
+            skipped, depth, until = name, 1, spare.get(m.start(), -1)
+            skips.append(Skip(m.start(), name, not by_name))
     text(html[end:])
     close()
-    return blocks, marked
+    return Parsed(blocks, marked, skips)
 
 
 def _places(blocks: list[Block], marked: bool) -> list[str]:

@@ -1,3 +1,5 @@
+import pytest
+
 from haulback.llm.extract import Weights, best_run, extract_text, learn_weights, main_text
 
 ARTICLE = (
@@ -84,3 +86,61 @@ def test_weights_come_from_the_pages_that_mark_an_article(spark):
     rows = [(i, "<div>no <p>mark</p></div>") for i in range(3000)] + [(5000 + i, page(ARTICLE, i)) for i in range(10)]
     pages = spark.createDataFrame(rows, "page_id long, html string")
     assert learn_weights(pages, sample=10) == learn_weights(pages.filter("page_id >= 5000"))
+
+
+BODY = "<h1>Title</h1><p>One two three four five six seven eight nine ten.</p><p>More of it here, and more.</p>"
+BODY_TEXT = "Title\nOne two three four five six seven eight nine ten.\nMore of it here, and more."
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>T</title><meta charset=x><body>" + BODY + "</body></html>",
+    "<html><head><title>T</title><link rel=x>" + BODY,
+    "<body><nav><ul><li><a href=/>Home</a></ul><article>" + BODY + "</article>",
+    "<body><nav><a href=/>Home</a> " + BODY,
+    "<body><form action=/find><article>" + BODY + "</article>",
+    "<body><label>Find <article>" + BODY + "</article>",
+    "<body><form id=aspnet><div>" + BODY + "</div><input type=hidden></form></body>",
+    "<body><form id=aspnet><article>" + BODY + "</article></form></body>",
+    *(f"<body><div {mark}><article>{BODY}</article></div></body>" for mark in (
+        "class='ad-free'", "class=social-science", "class='page share-price'", "class=elementor-widget", "id='notice-of-motion'")),
+    *(f"<body><div {mark}>{BODY}</div></body>" for mark in ("class='ad-free'", "id='notice-of-motion'")),
+    "<body><article class='ad-free'>" + BODY + "</article></body>",
+    "<div class=social-science><p>" + "</p><p>".join(BODY_TEXT.split("\n")) + "</p></div>",
+    "<div class=elementor-widget><div class=ad-free><form><main>" + BODY + "<div class=share>Share it</div></main></form></div></div>",
+])
+def test_ordinary_pages_keep_their_article(page):
+    """Missing end tags, pages in a form, and containers whose names only look like adverts."""
+    assert main_text(page, Weights({}, 0.01)) == BODY_TEXT
+
+
+@pytest.mark.parametrize("page", [
+    "<nav><a>Home</a></nav><article>" + BODY + "<form>name <input></form></article><footer>&copy; x",
+    "<article>" + BODY + "<div class='ad box'>buy <div>now</div></div></article><div class=comments><article class=comment>No!</article></div>",
+    "<article>" + BODY + "</article><div class=related><h1>See</h1><article><p>other</p></article></div>",
+    "<article>" + BODY + "</article><div class=sidebar><p>a note beside",
+    "<header>top<nav>menu</nav></header><main>" + BODY + "</main><footer>bottom</footer>",
+])
+def test_other_elements_still_go(page):
+    assert main_text(page, Weights({}, 0.01)) == BODY_TEXT
+
+
+def test_nested_elements_without_ends_take_bounded_time():
+    page = "<div class=ad-free><nav>" * 2000 + "<article>" + BODY + "</article>"
+    main_text(page, Weights({}, 0.01))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_runs_drop_blocks_outside_when_nothing_marks_them(seed):
+    """Menus without any mark: the scan itself leaves their blocks out."""
+    import random
+
+    draw = random.Random(seed)
+    weights = Weights({("unmarked", "div", True): -2.0, ("unmarked", "p", False): 1.0}, 0.01)
+    dropped = 0
+    for _ in range(40):
+        menu = "".join(f"<div><a href=/{i}>Item {i}</a></div>" for i in range(draw.randint(1, 9)))
+        text = [" ".join(draw.choices(["some", "words", "of", "text"], k=draw.randint(6, 30))) for _ in range(draw.randint(1, 6))]
+        page = menu * draw.randint(0, 1) + "".join(f"<p>{t}</p>" for t in text) + menu
+        assert main_text(page, weights) == "\n".join(text)
+        dropped += 1
+    assert dropped == 40
