@@ -16,7 +16,7 @@ def url_sql(rules: tuple[Rule, ...]) -> str:
     pattern = r"(?s)^.*?://([^/?#]*)([^?#]*)"
     host = _LOWER.format(f"coalesce(regexp_extract(url, '{pattern}', 1), '')")
     hits = lambda terms: " + ".join(
-        f"regexp_matches(lower(coalesce(url, '')), '(^|[^a-z0-9]){t}($|[^a-z0-9])')::INT" for t in terms
+        f"regexp_matches(lower(coalesce(url, '')), '(^|[^\\p{{L}}\\p{{N}}]){t}($|[^\\p{{L}}\\p{{N}}])')::INT" for t in terms
     )
     values = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in rules)
     return f"""WITH rules(v, h, p) AS (VALUES {values}),
