@@ -111,9 +111,21 @@ def _document_counts(docs: DataFrame, text: str, lang: str, settings: Settings)
     return counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def _ftrl(x: np.ndarray, y: np.ndarray, n_langs: int, s: Settings) -> np.ndarray:
+Row = tuple[np.ndarray, np.ndarray]
+
+
+def _sparse(x: np.ndarray) -> list[Row]:
+    """Of each row, the features that it has and their values."""
+    found = []
+    for row in x:
+        at = np.flatnonzero(row)
+        found.append((at.astype(np.int32), row[at]))
+    return found
+
+
+def _ftrl(x: list[Row], y: np.ndarray, n_langs: int, s: Settings) -> np.ndarray:
     """Weights fitted by follow-the-regularised-leader with elastic-net penalties."""
-    z, n = np.zeros((x.shape[1], n_langs)), np.zeros((x.shape[1], n_langs))
+    z, n = np.zeros((s.features, n_langs)), np.zeros((s.features, n_langs))
 
     def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
         shrunk = np.sign(z) * np.maximum(np.abs(z) - s.l1, 0)
@@ -122,8 +134,8 @@ def _ftrl(x: np.ndarray, y: np.ndarray, n_langs: int, s: Settings) -> np.ndarray
     order = np.random.default_rng(7)
     for _ in range(s.epochs):
         for i in order.permutation(len(x)):
-            at = np.flatnonzero(x[i])
-            value, w = x[i, at].astype(float), weights(z[at], n[at])
+            at, value = x[i]
+            value, w = value.astype(float), weights(z[at], n[at])
             p = _softmax((value @ w)[None])[0]
             p[y[i]] -= 1
             g = value[:, None] * p
@@ -157,8 +169,8 @@ def fit_language_model(
     """Learn the languages of the labelled texts.
 
     How many texts hold a feature is counted over all of them. The weights are fitted in one task on
-    a sample of about ``sample_per_lang`` texts of each language, and the temperature on a fold of
-    it. Rows without a language, and texts without a letter, teach nothing; without any other row
+    a sample of about ``sample_per_lang`` texts of each language, held as the features that each
+    has, and the temperature on a fold of it. Rows without a language, and texts without a letter, teach nothing; without any other row
     the model has no language. Repeated rows count as often as they stand there.
     """
     ship_package(docs.sparkSession)
@@ -183,15 +195,16 @@ def fit_language_model(
         x, y, held = [], [], []
         for rows, data, offsets in text_blocks(batches, "text", most_rows=512):
             counts, has_letter = gram_counts(data, offsets, settings)
-            x.append(_tf_idf(counts, idf)[has_letter])
+            x += _sparse(_tf_idf(counts, idf)[has_letter])
             names = np.array(rows.column(1).to_pylist(), object)[has_letter]
             y.append(np.searchsorted(langs, names.astype(str)) if len(names) else np.zeros(0, int))
             held.append(np.array(rows.column(2).to_pylist(), bool)[has_letter])
         if not x:
             return
-        x, y, held = np.concatenate(x), np.concatenate(y).astype(int), np.concatenate(held)
-        weights = _ftrl(x[~held], y[~held], len(langs), settings)
-        temperature = _best_temperature(x[held] @ weights, y[held])
+        y, held = np.concatenate(y).astype(int), np.concatenate(held)
+        weights = _ftrl([r for r, h in zip(x, held, strict=True) if not h], y[~held], len(langs), settings)
+        scores = [value.astype(float) @ weights[at] for (at, value), h in zip(x, held, strict=True) if h]
+        temperature = _best_temperature(np.array(scores).reshape(-1, len(langs)), y[held])
         yield pa.RecordBatch.from_arrays(
             [pa.array([weights.astype(np.float64).tobytes()]), pa.array([temperature])],
             names=["weights", "temperature"],
