@@ -50,26 +50,34 @@ class _Tally:
         self.codes: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.size = 0
+        self.merged = 0
 
     def add(self, codes: np.ndarray) -> None:
         found, n = np.unique(codes, return_counts=True)
         self.codes.append(found)
         self.counts.append(n.astype(np.int64))
         self.size += len(found)
-        if self.size > _MERGE and len(self.codes) > 1:
+        # Only when as much has come as there was, so that no code is merged again and again.
+        if self.size > _MERGE and self.size >= 2 * self.merged:
             self.merge()
 
     def merge(self) -> None:
-        codes, at = np.unique(np.concatenate(self.codes), return_inverse=True)
-        counts = np.bincount(at, weights=np.concatenate(self.counts), minlength=len(codes))
-        self.codes, self.counts, self.size = [codes], [counts.astype(np.int64)], len(codes)
+        codes, counts = np.concatenate(self.codes), np.concatenate(self.counts)
+        order = np.argsort(codes, kind="stable")  # the parts are sorted, so they are only merged
+        codes, counts = codes[order], counts[order]
+        fresh = np.ones(len(codes), bool)
+        fresh[1:] = codes[1:] != codes[:-1]
+        if len(codes):
+            counts = np.add.reduceat(counts, np.flatnonzero(fresh))
+        self.codes, self.counts = [codes[fresh]], [counts]
+        self.size = self.merged = len(self.codes[0])
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.codes:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.merge()
         out = self.codes[0].view(np.int64), self.counts[0]
-        self.codes, self.counts, self.size = [], [], 0
+        self.codes, self.counts, self.size, self.merged = [], [], 0, 0
         return out
 
 
@@ -113,7 +121,7 @@ def count_corpus(docs: DataFrame, text: str = "text", settings: Settings = Setti
             tallies[GRAM].add(_gram_codes(data, offsets, settings.order).view(np.uint64))
             ends += len(offsets) - 1
             for kind, tally in tallies.items():
-                if tally.size > _MERGE:
+                if tally.merged > _MERGE:
                     yield from out(kind)
         yield from out(WORD)
         yield from out(GRAM)
@@ -243,7 +251,7 @@ def build_automaton(model: GramModel, settings: Settings = Settings()) -> Automa
     full = sum(map(len, keys[:-1]))
     keys, logp, target = map(np.concatenate, (keys, logp, target))
     start = int(longest(np.array([sum(START << BITS * i for i in range(settings.order - 1))]), settings.order - 1)[0])
-    return Automaton(keys, _slots(keys), logp, target, fail, full, start)
+    return Automaton(keys, _slots(keys), logp, target.astype(np.int32), fail.astype(np.int32), full, start)
 
 
 def _hash(keys: np.ndarray, size: int) -> np.ndarray:
@@ -253,8 +261,8 @@ def _hash(keys: np.ndarray, size: int) -> np.ndarray:
 def _slots(keys: np.ndarray) -> np.ndarray:
     """An open hash table of the arcs: the arc in each slot, -1 where there is none."""
     size = 1 << int(len(keys) * 4).bit_length()
-    slots, at = np.full(size, -1, np.int64), _hash(keys, size)
-    left = np.arange(len(keys))
+    slots, at = np.full(size, -1, np.int32), _hash(keys, size)
+    left = np.arange(len(keys), dtype=np.int32)
     while len(left):
         free = slots[at[left]] < 0
         slots[at[left[free]]] = left[free]  # of several one stays; the others try the next slot
@@ -352,21 +360,32 @@ def train(docs: DataFrame, text: str = "text", settings: Settings = Settings())
 def unseen_grams(codes: DataFrame, model: GramModel) -> DataFrame:
     """Rows (code, p) of grams that the model does not hold: failure arcs lead to one that it does.
 
-    ``codes`` has distinct codes of the whole order.
+    ``codes`` has distinct codes of the whole order. Grams of one and two symbols, and their contexts,
+    are 66,563 rows at most, as there are 258 symbols: they go to the codes. Longer ones are joined.
     """
     orders = sorted(model.grams)
+    short, long = orders[:2], orders[2:]
     parts = [
         F.struct(
             F.lit(m).alias("m"), _low("code", m).alias("gram"), F.shiftright(_low("code", m), BITS).alias("context")
         )
-        for m in orders
+        for m in long
     ]
-    asked = codes.select("code", F.inline(F.array(*parts)))
-    held = [g.select(F.lit(m).alias("m"), F.col("code").alias("gram"), "p") for m, g in model.grams.items()]
-    found = asked.join(reduce(DataFrame.unionAll, held), ["m", "gram"], "left")
-    found = found.join(model.failures, ["m", "context"], "left")
-    at = lambda c, m: F.max(F.when(F.col("m") == m, F.col(c))).alias(f"{c}{m}")
-    levels = found.groupBy("code").agg(*(at(c, m) for m in orders for c in ("p", "weight")))
+    levels = codes
+    if long:
+        asked = codes.select("code", F.inline(F.array(*parts)))
+        held = [model.grams[m].select(F.lit(m).alias("m"), F.col("code").alias("gram"), "p") for m in long]
+        found = asked.join(reduce(DataFrame.unionAll, held), ["m", "gram"], "left")
+        found = found.join(model.failures.filter(F.col("m") > 2), ["m", "context"], "left")
+        at = lambda c, m: F.max(F.when(F.col("m") == m, F.col(c))).alias(f"{c}{m}")
+        levels = found.groupBy("code").agg(*(at(c, m) for m in long for c in ("p", "weight")))
+    for m in short:
+        grams = model.grams[m].select(F.col("code").alias("gram"), F.col("p").alias(f"p{m}"))
+        levels = levels.join(F.broadcast(grams), _low("code", m) == F.col("gram"), "left").drop("gram")
+        if m > 1:
+            failed = model.failures.filter(F.col("m") == m).select("context", F.col("weight").alias(f"weight{m}"))
+            context = F.shiftright(_low("code", m), BITS)
+            levels = levels.join(F.broadcast(failed), context == F.col("context"), "left").drop("context")
     p = F.col("p1")
     for m in orders[1:]:
         p = F.coalesce(F.col(f"p{m}"), F.coalesce(F.col(f"weight{m}"), F.lit(1.0)) * p)
