@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from typing import NamedTuple
 
 import numpy as np
@@ -67,41 +68,71 @@ def index_items(keys: list, texts: pa.Array, seed: int) -> Items:
     return Items(keys, words, cuts, seeds[order], owner[order], (inside - cuts[owner])[order], sieve)
 
 
-def tile(doc: np.ndarray, item: np.ndarray, starts: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+class Runs(NamedTuple):
+    """Maximal runs of shared seeds along a diagonal: document place, item place, words."""
+
+    place: np.ndarray
+    there: np.ndarray
+    size: np.ndarray
+
+
+def seed_runs(place: np.ndarray, there: np.ndarray, seed: int) -> Runs:
+    """The runs that shared seeds form which follow each other in the document and in the item."""
+    order = np.lexsort((place, place - there))
+    place, there = place[order], there[order]
+    opens = np.ones(len(place), bool)
+    opens[1:] = (place[1:] != place[:-1] + 1) | (there[1:] != there[:-1] + 1)
+    heads = np.flatnonzero(opens)
+    return Runs(place[heads], there[heads], np.diff(np.append(heads, len(place))) + seed - 1)
+
+
+def _joined(parts: list[Runs], seed: int) -> Runs:
+    """Runs that were cut where one part of a document ended, put together again."""
+    place, there, size = map(np.concatenate, zip(*parts, strict=True))
+    order = np.lexsort((place, place - there))
+    place, there, size = place[order], there[order], size[order]
+    seeds = size - seed + 1
+    opens = np.ones(len(place), bool)
+    opens[1:] = (place[1:] - there[1:] != place[:-1] - there[:-1]) | (place[1:] != place[:-1] + seeds[:-1])
+    heads = np.flatnonzero(opens)
+    return Runs(place[heads], there[heads], np.add.reduceat(seeds, heads) + seed - 1 if len(heads) else size)
+
+
+def tile(doc_words: int, item_words: int, runs: Runs, least: int) -> list[tuple[int, int, int]]:
     """Matches (document place, item place, words) of a greedy string tiling.
 
-    ``starts`` are the places (document, item) of all shared seeds, found by their running hash. In
-    every round the seeds whose words are still free are stretched to the right as far as the texts
-    agree and neither word is taken; the longest matches are marked, and the next round looks for
-    shorter ones, until none of ``least`` words is left. Ties go to the earlier place.
+    The longest run whose words are all free is marked, of several the one at the earlier place. A
+    run that has lost words is divided into the stretches still free, which wait for their turn by
+    their own length, until none of ``least`` words is left. So each run is looked at as often as a
+    match cuts into it, and not again in every round.
     """
-    used_doc, used_item = set(), np.zeros(len(item), bool)
+    used_doc, used_item = np.zeros(doc_words, bool), np.zeros(item_words, bool)
+    open_item = np.zeros(item_words + 1, np.int64)
+    np.add.at(open_item, runs.there, 1)
+    np.add.at(open_item, runs.there + runs.size, -1)
+    open_item = np.cumsum(open_item)[:-1] > 0
     tiles: list[tuple[int, int, int]] = []
-    while True:
-        best, found = least, []
-        for p, q in starts:
-            n = 0
-            while (
-                p + n < len(doc)
-                and q + n < len(item)
-                and doc[p + n] == item[q + n]
-                and not used_item[q + n]
-                and p + n not in used_doc
-            ):
-                n += 1
-            if n > best:
-                best, found = n, [(p, q)]
-            elif n == best:
-                found.append((p, q))
-        if not found:
-            return tiles
-        for p, q in found:
-            if used_item[q : q + best].any() or any(x in used_doc for x in range(p, p + best)):
-                continue
-            used_item[q : q + best] = True
-            used_doc.update(range(p, p + best))
-            tiles.append((p, q, best))
-        starts = [(p, q) for p, q in starts if p not in used_doc and not used_item[q]]
+    order = np.lexsort((runs.there, runs.place, -runs.size))
+    whole = zip((-runs.size[order]).tolist(), runs.place[order].tolist(), runs.there[order].tolist(), strict=True)
+    waiting: list[tuple[int, int, int]] = []
+    head = next(whole, None)
+    while head or waiting:
+        if head and (not waiting or head < waiting[0]):
+            (size, p, q), head = head, next(whole, None)
+        else:
+            size, p, q = heappop(waiting)
+        free = ~(used_doc[p : p - size] | used_item[q : q - size])
+        if free.all():
+            used_doc[p : p - size] = used_item[q : q - size] = True
+            tiles.append((p, q, -size))
+            if not (open_item & ~used_item).any():
+                break
+            continue
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], free, [False]]).astype(np.int8)))
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            if b - a >= least:
+                heappush(waiting, (a - b, p + a, q + a))
+    return tiles
 
 
 def _block_matches(
@@ -111,33 +142,56 @@ def _block_matches(
     grams = gram_hashes(words, s.seed)
     inside, row = _within(cuts, len(words), s.seed)
     hit = np.flatnonzero(items.sieve[_sieve(grams[inside])])
-    hashes = grams[inside[hit]]
+    hashes, at, row = grams[inside[hit]], inside[hit], row[hit]
     low = np.searchsorted(items.seeds, hashes, side="left")
     count = np.searchsorted(items.seeds, hashes, side="right") - low
-    at = np.arange(int(count.sum())) + np.repeat(low - np.cumsum(count) + count, count)
-    place, row = np.repeat(inside[hit], count), np.repeat(row[hit], count)
-    owner, there = items.owner[at], items.place[at]
+    some = count > 0
+    hashes, at, row, low, count = (x[some] for x in (hashes, at, row, low, count))
+    # All matches lie under shared seeds, so what those cover bounds a tiling from above. A seed that
+    # a document repeats counts once for it.
+    order = np.lexsort((hashes, row))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (hashes[order][1:] != hashes[order][:-1]) | (row[order][1:] != row[order][:-1])
+    first = order[fresh]
+    seeds = _spread(low[first], count[first])
     sizes = np.diff(items.cuts)
-    # All matches lie under shared seeds, so what those cover bounds a tiling from above.
-    pair = row.astype(np.int64) * len(sizes) + owner
-    under = np.unique(np.concatenate([pair * (1 << 32) + there + k for k in range(s.seed)]))
+    pair = np.repeat(row[first].astype(np.int64), count[first]) * len(sizes) + items.owner[seeds]
+    under = np.unique(np.concatenate([pair * (1 << 32) + items.place[seeds] + k for k in range(s.seed)]))
     pairs, covered = np.unique(under >> 32, return_counts=True)
     likely = pairs[covered >= s.coverage * sizes[pairs % len(sizes)]]
-    chosen = np.isin(pair, likely)
-    pair, place, there = pair[chosen], place[chosen], there[chosen]
-    order = np.lexsort((there, place, pair))
-    pair, place, there = pair[order], place[order], there[order]
-    bounds = np.searchsorted(pair, likely)
-    ends = np.searchsorted(pair, likely, side="right")
-    for key, a, b in zip(likely.tolist(), bounds.tolist(), ends.tolist(), strict=True):
+    for key in likely.tolist():
         r, i = divmod(key, len(sizes))
-        item = items.words[items.cuts[i] : items.cuts[i + 1]]
-        doc = words[cuts[r] : cuts[r + 1]]
-        starts = list(zip((place[a:b] - cuts[r]).tolist(), there[a:b].tolist(), strict=True))
-        tiles = tile(doc, item, starts, s.seed)
+        mine = slice(*np.searchsorted(row, [r, r + 1]).tolist())
+        n_doc, n_item = int(cuts[r + 1] - cuts[r]), int(sizes[i])
+        runs = _runs_with(items, i, at[mine] - cuts[r], low[mine], count[mine], s.seed)
+        tiles = tile(n_doc, n_item, runs, s.seed)
         covered = sum(n for _, _, n in tiles)
-        if covered >= s.coverage * len(item):
-            yield r, i, len(item), covered, max(n for _, _, n in tiles)
+        if covered >= s.coverage * n_item:
+            yield r, i, n_item, covered, max(n for _, _, n in tiles)
+
+
+def _spread(low: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The seeds of some stretches of an index, one after the other."""
+    return np.arange(int(count.sum())) + np.repeat(low - np.cumsum(count) + count, count)
+
+
+#: Pairs of a document's and an item's places that are held at a time.
+_PAIRS = 1 << 20
+
+
+def _runs_with(items: Items, item: int, place: np.ndarray, low: np.ndarray, count: np.ndarray, seed: int) -> Runs:
+    """The runs of a document's seeds with those of one item, found for some places at a time."""
+    parts = [seed_runs(place[:0], place[:0], seed)]
+    total = np.cumsum(count)
+    start = 0
+    while start < len(place):
+        done = total[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(total, done + _PAIRS, side="right")))
+        seeds = _spread(low[start:end], count[start:end])
+        own = items.owner[seeds] == item
+        parts.append(seed_runs(np.repeat(place[start:end], count[start:end])[own], items.place[seeds][own], seed))
+        start = end
+    return _joined(parts, seed)
 
 
 def find_contaminated(
@@ -153,7 +207,8 @@ def find_contaminated(
 
     A greedy string tiling of the whole document by the item covers at least ``coverage`` of the
     item's words (A-Z lower-cased) with matches of ``seed`` words or more, whatever their order in
-    the document. Items of fewer words cannot be matched. Rows without a document key or an item
+    the document. Items of fewer words cannot be matched. Long texts that repeat a few words meet an
+    item that does so along their diagonals, some places at a time. Rows without a document key or an item
     key, and null texts, match nothing; repeated rows give one result. Other columns are not read.
 
     Items are a query set: they are compared with all documents in blocks of ``item_chars``, so what

@@ -1,10 +1,11 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
-from haulback.llm.tiling import Settings, find_contaminated, tile
+from haulback.llm.tiling import Settings, _joined, find_contaminated, seed_runs, tile
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -51,7 +52,26 @@ def test_tile_as_defined():
             for q in range(len(item) - 2)
             if (doc[p : p + 3] == item[q : q + 3]).all()
         ]
-        assert tile(doc, item, starts, 3) == brute(list(doc), list(item), 3)
+        place, there = np.array(starts, np.int64).reshape(-1, 2).T
+        runs = seed_runs(place, there, 3)
+        assert tile(len(doc), len(item), runs, 3) == brute(list(doc), list(item), 3)
+        # Runs found for parts of the document are the same.
+        cut = draw.randint(0, len(doc))
+        parts = [seed_runs(place[own], there[own], 3) for own in (place < cut, place >= cut)]
+        joined = _joined(parts, 3)
+        assert sorted(zip(*(x.tolist() for x in joined))) == sorted(zip(*(x.tolist() for x in runs)))
+
+
+def test_equal_words_without_end(spark):
+    """20,000 equal words against 200 of them, and two words that alternate."""
+    docs = [(1, "spam " * 20_000), (2, "a b " * 10_000), (3, "spam " * 150 + "other"), (4, "ham " * 20_000)]
+    items = [(1, "spam " * 200), (2, "a b " * 100), (3, "b a x y " + "a b " * 20)]
+    frames = [spark.createDataFrame(rows, schema) for rows, schema in (
+        (docs, "doc_id long, text string"), (items, "item_id long, text string"))]
+    began = time.time()
+    got = sorted(tuple(r) for r in find_contaminated(*frames).collect())
+    assert got == [(1, 1, 200, 200, 200), (2, 2, 200, 200, 200), (2, 3, 44, 40, 40), (3, 1, 200, 150, 150)]
+    assert time.time() - began < 60
 
 
 @pytest.mark.parametrize("item_chars", [4 << 20, 300])
