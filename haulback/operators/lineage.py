@@ -17,17 +17,23 @@ def work_folder(spark: SparkSession, folder: str | None = None) -> str:
     return folder
 
 
+def _own(spark: SparkSession, folder: str | None) -> str:
+    """The folder of this application's tables: others may share the storage."""
+    return f"{work_folder(spark, folder)}/haulback/{spark.sparkContext.applicationId}"
+
+
 def cut_lineage(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write the rows as Parquet and go on from there; readers prune columns and push filters."""
-    path = f"{work_folder(df.sparkSession, folder)}/haulback/{uuid.uuid4().hex}"
+    path = f"{_own(df.sparkSession, folder)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def clear_work(spark: SparkSession, folder: str | None = None) -> bool:
-    """Delete the tables that ``cut_lineage`` has left in the folder; true if there were any.
+    """Delete the tables that ``cut_lineage`` has left in the folder for this application; true if
+    there were any. Those of other applications stay.
 
     Frames that still read them fail from then on, so only their owner can tell when to do this.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{work_folder(spark, folder)}/haulback")
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own(spark, folder))
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

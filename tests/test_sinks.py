@@ -173,8 +173,10 @@ def test_folder_for_intermediate_tables(spark, stored, tmp_path):  # noqa: F811
         edges,
         folder=folder,
     )
-    assert ready.trips.count() == 0 and len(os.listdir(f"{folder}/haulback")) == 8
-    assert clear_work(spark, folder) and not os.path.exists(f"{folder}/haulback")
+    (own,) = os.listdir(f"{folder}/haulback")
+    assert ready.trips.count() == 0 and len(os.listdir(f"{folder}/haulback/{own}")) == 8
+    os.makedirs(f"{folder}/haulback/another-application")
+    assert clear_work(spark, folder) and os.listdir(f"{folder}/haulback") == ["another-application"]
     assert not clear_work(spark, folder)
 
 
