@@ -6,8 +6,8 @@ stay apart when merged on their own. So the arcs between two pieces get the weig
 apart and minus infinity where they do not, and the path of weight 0, of which there is one, is the
 result. Being a path, it can be scanned in parallel: a giant document is cut into chunks anywhere,
 each chunk gives a matrix from the pieces that can lie across its first cut to those across its
-second, matrices are multiplied associatively (a maximum of sums), and with the pieces at its cuts
-known each chunk traces its own part back.
+second, and with the pieces at its cuts known each chunk traces its own part back. Matrices multiply
+associatively, a maximum of sums (``multiply``); here a document's are walked in order, in one task.
 """
 
 from __future__ import annotations

@@ -1,9 +1,8 @@
-"""Substring removal: texts are factored against the passages that the corpus holds before them.
+"""Substring removal: texts lose the passages that the corpus holds before them.
 
-The corpus is indexed in blocks by the grams of its anchors (``repeats``). Parsed from left to right,
-a text's consecutive anchors whose contexts an index block holds from an earlier place form a factor:
-a maximal stretch copied from before. The windows at the boundaries of factors, where a context is
-new but its gram is not, are looked up one by one.
+Windows that occur earlier are found by the anchors of ``repeats``: contexts that an earlier text
+holds decide whole stretches at once, and only the windows of a new context whose gram is not new are
+compared one by one. Texts are not parsed into Lempel-Ziv factors; README says so.
 """
 
 from __future__ import annotations
