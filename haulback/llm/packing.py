@@ -220,8 +220,9 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     Offsets in a sequence start at 0 and leave no gap. Rows of equal length are ranked as they lie in
     the written table. Every row is a piece of its own, repeated rows and rows of nulls included. A
     length that is null, below 1 or above the capacity is an error. An empty table gives no rows; a
-    column ``sequence_id`` or ``offset`` is replaced. Columns go along, so leave out long ones and
-    join them by a key. The plan that goes to all tasks is bounded by the capacity.
+    column ``sequence_id`` or ``offset`` is replaced, and columns ``_row``, ``_part``, ``_n``, ``_before``,
+    ``_own`` and ``_rank`` are the operator's own. Columns go along, so leave out long ones and join
+    them by a key. The plan that goes to all tasks is bounded by the capacity.
     """
     ship_package(items.sparkSession)
     items = items.drop("sequence_id", "offset")
