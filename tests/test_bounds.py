@@ -31,6 +31,18 @@ def large(spark):
         spark.conf.set(k, v)
 
 
+def test_first_half_writes_what_is_asked_for(spark, stored):  # noqa: F811
+    kept = []
+
+    def keep(df):
+        kept.append(df.columns)
+        return cut_lineage(df)
+
+    half = Matched(LandingTables.from_parquet(spark, stored), ObserverTables.from_parquet(spark, stored), 2023, keep=keep)
+    assert rec.first_observer_rows(half.observers).count() == 1 and len(kept) == 1
+    assert half.labelled.count() == 1 and len(kept) == 3 and half.reports.errors.count() == 0
+
+
 def test_a_task_takes_a_bounded_share(large):
     large.conf.set(ADVISORY, "64MB")
     large.conf.set(FILES, "2000")
