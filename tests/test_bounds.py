@@ -31,6 +31,12 @@ def large(spark):
         spark.conf.set(k, v)
 
 
+def test_fleets_are_sent_to_the_records(large, stored):  # noqa: F811
+    wide = pull_landings(LandingTables.from_parquet(large, stored), 2023)
+    assert "hashpartitioning(lic_quota_id" not in plan(wide)
+    assert [r.SFLT_DESC_ID for r in wide.collect()] == [90]
+
+
 def test_first_half_writes_what_is_asked_for(spark, stored):  # noqa: F811
     kept = []
 
