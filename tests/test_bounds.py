@@ -37,6 +37,15 @@ def test_fleets_are_sent_to_the_records(large, stored):  # noqa: F811
     assert [r.SFLT_DESC_ID for r in wide.collect()] == [90]
 
 
+def test_positions_are_folded_where_they_are_read(large):
+    stamp = DAY.strftime("%Y/%m/%d")
+    rows = [(3, f"{stamp} 01:00:00", 1.0, -2.0), (3, f"{stamp} 02:00:00", 2.0, None), (3, f"{stamp} 03:00:00", None, None),
+            (4, f"{stamp} 01:00:00", None, 5.0), (3, "2023/01/01 00:00:00", 9.0, 9.0)]
+    means = mean_positions(large.createDataFrame(rows, schemas.POSITIONS), zoned(large, {"VR_NUMBER_FISHING": 3}, {"VR_NUMBER_FISHING": 4}))
+    assert "partial_sum(LATITUDE" in plan(means)
+    assert values(means, "VR_NUMBER", "DATE", "MEAN_LAT", "MEAN_LON") == [(3, DAY, 1.5, -2.0), (4, DAY, None, 5.0)]
+
+
 def test_first_half_writes_what_is_asked_for(spark, stored):  # noqa: F811
     kept = []
 
