@@ -46,6 +46,19 @@ def test_positions_are_folded_where_they_are_read(large):
     assert values(means, "VR_NUMBER", "DATE", "MEAN_LAT", "MEAN_LON") == [(3, DAY, 1.5, -2.0), (4, DAY, None, 5.0)]
 
 
+def test_landings_are_shuffled_once_for_both_directed_tables(large):
+    land = zoned(large, {"TRIP_ID": 5, "100": 9.0, "110": 1.0}, {"TRIP_ID": None, "100": 9.0, "110": 1.0}, {"100": 1.0, "110": 9.0})
+    none = large.createDataFrame([], "TRIP string, X int")
+    evidence = splits.trip_evidence(
+        observers(large, {"TRIP": "T1"}), none.withColumnRenamed("X", "GEARFCD_ID"), none.withColumnRenamed("X", "SPECSCD_ID")
+    )
+    labelled = splits.label_landings(land, evidence, keep=cut_lineage)
+    assert len(re.findall(r"hashpartitioning\(coalesce\(TRIP_ID", plan(labelled))) == 1
+    assert "hashpartitioning(coalesce(VR_NUMBER_FISHING" not in plan(labelled)
+    assert labelled.columns == [*schemas.ZONED, "NON_COMMERCIAL", "N_BARE", "N_PANEL", "N_OTHER", "N_KEPT", "ALL_COD", "LAST_COD", "POLLOCK", "TWIN"]
+    assert values(labelled, "TRIP_ID", "TWIN") == [(1, False), (5, True), (None, True)]
+
+
 def test_first_half_writes_what_is_asked_for(spark, stored):  # noqa: F811
     kept = []
 
