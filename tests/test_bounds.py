@@ -37,6 +37,25 @@ def test_fleets_are_sent_to_the_records(large, stored):  # noqa: F811
     assert [r.SFLT_DESC_ID for r in wide.collect()] == [90]
 
 
+def test_strata_are_sent_to_the_landings_and_trips(large):
+    split = splits.observed_quarters(zoned(large, {"TRIP": "T"}, {"Q": 3}))
+    assert "SortMergeJoin" not in plan(split.kept) and split.kept.count() == split.removed.count() == 1
+    groups = large.createDataFrame([(90, 1, 2, "A"), (90, None, 2, "B")], schemas.GROUPS)
+    grouped = bootstrap.attach_groups(trips(large, {}, {"ZONE": None}), groups)
+    assert "SortMergeJoin" not in plan(grouped) and values(grouped, "GROUP") == [("A",), ("B",)]
+
+
+def test_groups_are_not_shuffled_whole(large):
+    groups = large.createDataFrame([(90, 1, 2, "A")], schemas.GROUPS)
+    own = trips(large, {"TRIP_ID": 1}, {"TRIP_ID": 2, "HAD": 3.0})
+    numbered = bootstrap.number_rows(bootstrap.grouped_trips(own, groups))
+    results = large.createDataFrame([("A", "Y", 8.0)], schemas.GROUP_RESULTS)
+    shared = allocate.assign_discards(own, groups, results)
+    for df in (numbered, shared):
+        assert not re.search(r"SortMergeJoin \[_?GROUP#\d+\]", plan(df), re.I)
+    assert values(numbered, "IDX") == [(0,), (1,)] and values(shared, "DISCARDS") == [(8.0,)]
+
+
 def test_positions_are_folded_where_they_are_read(large):
     stamp = DAY.strftime("%Y/%m/%d")
     rows = [(3, f"{stamp} 01:00:00", 1.0, -2.0), (3, f"{stamp} 02:00:00", 2.0, None), (3, f"{stamp} 03:00:00", None, None),
