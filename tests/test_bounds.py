@@ -65,6 +65,12 @@ def test_positions_are_folded_where_they_are_read(large):
     assert values(means, "VR_NUMBER", "DATE", "MEAN_LAT", "MEAN_LON") == [(3, DAY, 1.5, -2.0), (4, DAY, None, 5.0)]
 
 
+def test_points_are_folded_by_set_where_they_are_read(large, stored):  # noqa: F811
+    pulled = pull_observer_trips(ObserverTables.from_parquet(large, stored), 2023)
+    assert re.search(r"keys=\[fishset_id#\d+L\], functions=\[partial_min\(setdate", plan(pulled))
+    assert values(pulled, "TRIP", "MINDATE", "LAT", "LON") == [("T1", DAY, 40.5, -66.0)]
+
+
 def test_landings_are_shuffled_once_for_both_directed_tables(large):
     land = zoned(large, {"TRIP_ID": 5, "100": 9.0, "110": 1.0}, {"TRIP_ID": None, "100": 9.0, "110": 1.0}, {"100": 1.0, "110": 9.0})
     none = large.createDataFrame([], "TRIP string, X int")
@@ -95,3 +101,8 @@ def test_a_task_takes_a_bounded_share(large):
     large.conf.set(FILES, "2000")
     tune(large)
     assert (large.conf.get(ADVISORY), large.conf.get(FILES)) == (f"{4 << 20}b", "2000")
+
+
+def test_written_steps_are_packed_tightly(spark, tmp_path):
+    cut_lineage(spark.range(3), str(tmp_path))
+    assert glob.glob(f"{tmp_path}/**/*.zstd.parquet", recursive=True)
